@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,6 +94,13 @@ def conform_sales(channel_a: DataFrame, channel_b: DataFrame, refs: References)
         conform_channel(channel_b, FEED_B, refs))
 
 
+def sources(raw_sales: Mapping[ChannelFeed, DataFrame]) -> DataFrame:
+    """The ``source`` column of the conformed sales, read without conforming them."""
+    tagged = [raw.select(F.lit(feed.channel).alias("source"))
+              for feed, raw in raw_sales.items()]
+    return reduce(DataFrame.unionByName, tagged)
+
+
 def conform_events(events: DataFrame, refs: References) -> DataFrame:
     """Landed order events in the sales contract: the live lane meets the batch lane here.
 
@@ -142,12 +150,9 @@ def conform_products(raw: DataFrame) -> DataFrame:
 def status_coverage(raw_sales: Mapping[ChannelFeed, DataFrame],
                     status_map: Lookup) -> DataFrame:
     """How often each channel's raw status occurs and what it maps to (NULL: unmapped)."""
-    counted = None
-    for feed, raw in raw_sales.items():
-        counts = raw.groupBy(
-            F.lit(feed.channel).alias("channel"),
-            F.col(feed.columns["raw_status"]).cast("string").alias("raw_status")
-        ).agg(F.count(F.lit(1)).alias("orders"))
-        counted = counts if counted is None else counted.unionByName(counts)
-    return status_map.left_join(counted, ["channel", "raw_status"]) \
+    counts = [raw.groupBy(
+        F.lit(feed.channel).alias("channel"),
+        F.col(feed.columns["raw_status"]).cast("string").alias("raw_status")
+    ).agg(F.count(F.lit(1)).alias("orders")) for feed, raw in raw_sales.items()]
+    return status_map.left_join(reduce(DataFrame.unionByName, counts), ["channel", "raw_status"]) \
         .select("channel", "raw_status", "canonical_status", "orders")

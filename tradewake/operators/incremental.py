@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.operators.lookups import measured
-from tradewake.session import run_folder
+from tradewake.session import stored
 from tradewake.sources import files
 
 
@@ -100,10 +100,7 @@ def replace_in_table(delta: DataFrame, path: str, key: str, column: str) -> Repl
     range so that Parquet statistics skip most row groups.
     """
     spark = delta.sparkSession
-    staged_path = run_folder(spark, "delta")
-    delta.write.parquet(staged_path)
-    staged = spark.read.schema(delta.schema).parquet(staged_path)
-
+    staged = stored(delta, "delta")
     target = spark.read.parquet(path)
     span = staged.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"),
                       F.max(key).alias("hi")).first()

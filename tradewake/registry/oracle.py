@@ -227,6 +227,7 @@ def _fact(sales: str, products: str) -> str:
 
 
 _CTES["fact_sales"] = _fact("sales", "products")
+_CTES["run_fact_sales"] = _fact("sales", "first_products")
 _CTES["fact_settlement"] = """
     SELECT s.settlement_id, s.order_ref, c.channel_sk, s.channel, s.payout_date, s.gross_usd,
            s.fees_usd, s.net_usd
@@ -323,19 +324,16 @@ _FILLED_TABLES = ["fct_sales", "fct_settlement", "mart_reconciliation", "agg_cha
                   "dim_product"]
 
 
-def _of(subject: str) -> tuple[str, str]:
-    table, column = subject.split(".")
-    return _TABLES[table], column
+def _checks(product: str = "products", fact: str = "fact_sales") -> dict[str, list[str]]:
+    """Check texts by kind, for the given product dimension and the fact keyed by it."""
+    named = {**_TABLES, "dim_product": product, "fct_sales": fact}
 
-
-def _checks(product: str = "products") -> dict[str, list[str]]:
-    """Check texts by kind; ``product`` names the product dimension to look at."""
     def table_of(subject: str) -> tuple[str, str]:
-        table, column = _of(subject)
-        return (product if table == "products" else table), column
+        table, column = subject.split(".")
+        return named[table], column
 
     def parent(name: str) -> str:
-        return product if _TABLES[name] == "products" else _TABLES[name]
+        return named[name]
 
     kinds: dict[str, list[str]] = {"not_null": [], "unique": [], "relationships": [],
                                    "non_empty": []}
@@ -359,7 +357,7 @@ def _checks(product: str = "products") -> dict[str, list[str]]:
             "non_empty", name,
             f"(SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {parent(name)})"))
     kinds["orphans"] = [_check(
-        "orphans", "fct_sales.channel_sk", "(SELECT count(*) FROM fact_sales f LEFT JOIN channels"
+        "orphans", "fct_sales.channel_sk", f"(SELECT count(*) FROM {fact} f LEFT JOIN channels"
         " c ON f.channel_sk = c.channel_sk WHERE c.channel_sk IS NULL)")]
     kinds["one_current_version"] = [_check(
         "one_current_version", "dim_product.product_id", "(SELECT count(*) FROM (SELECT "
@@ -417,8 +415,8 @@ _SUM = "CAST(sum(CAST({0} AS decimal(18,2))) AS double)"
 
 def oracle_queries() -> dict[str, str]:
     checks = _checks()
-    # The stored run takes one snapshot, so every product has one open version.
-    run_checks = _checks("first_products")
+    # The stored run takes one snapshot: every product has one open version, which the fact uses.
+    run_checks = _checks("first_products", "run_fact_sales")
     texts = {
         "bronze_landing": _bronze_counts(),
         "staging_sales": "SELECT * FROM sales",

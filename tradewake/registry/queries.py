@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewake.operators import conform, incremental, quality, scd2, snapshot_table
-from tradewake.operators.lookups import measure, measured
+from tradewake.operators.lookups import Lookup, measure, measured
 from tradewake.plans import daily_run, dashboards, gold, publish, refresh_timing
-from tradewake.session import prepare, run_folder
+from tradewake.session import prepare, run_folder, stored
 from tradewake.sources.derived_feeds import DerivedFeeds
 from tradewake.sources.lake import Lake
 from tradewake.sources.messages import from_files
@@ -43,48 +43,69 @@ def registered() -> dict[str, Query]:
     return dict(_REGISTERED)
 
 
-def _references(f: DerivedFeeds) -> conform.References:
-    return conform.references(f.ref_sku_map(), f.ref_status_map(), f.ref_fx())
-
-
 def _at(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+# Shared steps; a query refers to them through ``f.once`` so that each is planned, and its
+# lookups measured, a single time.
+
+def _references(f: DerivedFeeds) -> conform.References:
+    return conform.references(f.ref_sku_map(), f.ref_status_map(), f.ref_fx())
+
+
 def _sales(f: DerivedFeeds) -> DataFrame:
-    return conform.conform_sales(f.sales_amazon(), f.sales_backmarket(), _references(f))
+    return conform.conform_sales(f.sales_amazon(), f.sales_backmarket(), f.once(_references))
 
 
 def _settlements(f: DerivedFeeds) -> DataFrame:
-    return conform.conform_settlements(f.settlements_oms(), _references(f).fx)
+    return conform.conform_settlements(f.settlements_oms(), f.once(_references).fx)
 
 
-def _versions(f: DerivedFeeds, first: str = FIRST_SNAPSHOT,
-              second: str = SECOND_SNAPSHOT) -> DataFrame:
+def _two_snapshots(f: DerivedFeeds, first: str, second: str) -> DataFrame:
     before = conform.conform_products(f.ref_product())
     after = conform.conform_products(f.ref_product_v2())
     return scd2.merge_snapshot(scd2.first_versions(before, _at(first)), after, _at(second))
 
 
-def _fct_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
-    dims = measure({"channels": gold.channel_keys(gold.dim_channel(sales)),
-                    "products": gold.current_products(products)})
-    return gold.fct_sales(sales, dims["channels"], dims["products"])
+def _versions(f: DerivedFeeds) -> DataFrame:
+    return _two_snapshots(f, FIRST_SNAPSHOT, SECOND_SNAPSHOT)
+
+
+def _products(f: DerivedFeeds) -> DataFrame:
+    return gold.dim_product(f.once(_versions))
+
+
+def _channels(f: DerivedFeeds) -> DataFrame:
+    """The channels that have sales: known from the feeds, before any join."""
+    feeds = {conform.FEED_A: f.sales_amazon(), conform.FEED_B: f.sales_backmarket()}
+    return gold.dim_channel(conform.sources(feeds))
+
+
+def _dimensions(f: DerivedFeeds) -> dict[str, Lookup]:
+    return measure({"channels": stored(f.once(_channels), "channels"),
+                    "products": stored(gold.current_products(f.once(_products)), "products")})
+
+
+def _keyed_sales(sales: DataFrame, dims: Mapping[str, Lookup]) -> DataFrame:
+    return gold.fct_sales(sales, dims["channels"].map(gold.channel_keys), dims["products"])
+
+
+def _fct_sales(f: DerivedFeeds) -> DataFrame:
+    return _keyed_sales(f.once(_sales), f.once(_dimensions))
 
 
-def _fct_settlement(settlements: DataFrame, sales: DataFrame) -> DataFrame:
-    channels = measured(gold.channel_keys(gold.dim_channel(sales)))
-    return gold.fct_settlement(settlements, channels)
+def _fct_settlement(f: DerivedFeeds) -> DataFrame:
+    channels = f.once(_dimensions)["channels"].map(gold.channel_keys)
+    return gold.fct_settlement(f.once(_settlements), channels)
 
 
 def _reconciliation(f: DerivedFeeds) -> DataFrame:
-    return gold.mart_reconciliation(fct_sales(f), fct_settlement(f))
+    return gold.mart_reconciliation(f.once(_fct_sales), f.once(_fct_settlement))
 
 
 def _rollup(f: DerivedFeeds) -> DataFrame:
-    sales = _sales(f)
-    facts = _fct_sales(sales, gold.dim_product(_versions(f)))
-    return gold.agg_channel_daily(facts, measured(gold.dim_channel(sales)))
+    return gold.agg_channel_daily(f.once(_fct_sales), f.once(_dimensions)["channels"])
 
 
 # --- landing and staging ---------------------------------------------------------------------
@@ -112,14 +133,14 @@ def bronze_landing(f: DerivedFeeds) -> DataFrame:
 @_query
 def staging_sales(f: DerivedFeeds) -> DataFrame:
     lake = _new_lake(f, "silver")
-    incremental.write_full(_sales(f), lake.path("silver", "sales"), "order_date")
+    incremental.write_full(f.once(_sales), lake.path("silver", "sales"), "order_date")
     return lake.silver_sales()
 
 
 @_query
 def staging_settlements(f: DerivedFeeds) -> DataFrame:
     lake = _new_lake(f, "silver")
-    incremental.write_full(_settlements(f), lake.path("silver", "settlements"), "payout_date")
+    incremental.write_full(f.once(_settlements), lake.path("silver", "settlements"), "payout_date")
     return lake.silver_settlements()
 
 
@@ -140,22 +161,22 @@ def conform_fx(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def conform_channel_a(f: DerivedFeeds) -> DataFrame:
-    return conform.conform_channel(f.sales_amazon(), conform.FEED_A, _references(f))
+    return conform.conform_channel(f.sales_amazon(), conform.FEED_A, f.once(_references))
 
 
 @_query
 def conform_channel_b(f: DerivedFeeds) -> DataFrame:
-    return conform.conform_channel(f.sales_backmarket(), conform.FEED_B, _references(f))
+    return conform.conform_channel(f.sales_backmarket(), conform.FEED_B, f.once(_references))
 
 
 @_query
 def conform_sales(f: DerivedFeeds) -> DataFrame:
-    return _sales(f)
+    return f.once(_sales)
 
 
 @_query
 def conform_settlement(f: DerivedFeeds) -> DataFrame:
-    return _settlements(f)
+    return f.once(_settlements)
 
 
 @_query
@@ -174,64 +195,64 @@ def status_map_coverage(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def dim_channel(f: DerivedFeeds) -> DataFrame:
-    return gold.dim_channel(_sales(f))
+    return f.once(_channels)
 
 
 @_query
 def dim_date(f: DerivedFeeds) -> DataFrame:
-    return gold.dim_date(_sales(f))
+    return gold.dim_date(f.once(_sales))
 
 
 @_query
 def dim_product(f: DerivedFeeds) -> DataFrame:
-    return gold.dim_product(_versions(f))
+    return f.once(_products)
 
 
 @_query
 def fct_sales(f: DerivedFeeds) -> DataFrame:
-    return _fct_sales(_sales(f), gold.dim_product(_versions(f)))
+    return f.once(_fct_sales)
 
 
 @_query
 def fct_settlement(f: DerivedFeeds) -> DataFrame:
-    return _fct_settlement(_settlements(f), _sales(f))
+    return f.once(_fct_settlement)
 
 
 @_query
 def mart_reconciliation(f: DerivedFeeds) -> DataFrame:
-    return _reconciliation(f)
+    return f.once(_reconciliation)
 
 
 @_query
 def agg_channel_daily(f: DerivedFeeds) -> DataFrame:
-    return _rollup(f)
+    return f.once(_rollup)
 
 
 # --- dashboards ------------------------------------------------------------------------------
 
 @_query
 def recon_tiles(f: DerivedFeeds) -> DataFrame:
-    return dashboards.reconciliation_tiles(_reconciliation(f))
+    return dashboards.reconciliation_tiles(f.once(_reconciliation))
 
 
 @_query
 def gap_split(f: DerivedFeeds) -> DataFrame:
-    return dashboards.gap_split(_reconciliation(f))
+    return dashboards.gap_split(f.once(_reconciliation))
 
 
 @_query
 def daily_booked_series(f: DerivedFeeds) -> DataFrame:
-    return dashboards.daily_series(_rollup(f), "booked_usd")
+    return dashboards.daily_series(f.once(_rollup), "booked_usd")
 
 
 @_query
 def daily_orders_series(f: DerivedFeeds) -> DataFrame:
-    return dashboards.daily_series(_rollup(f), "orders")
+    return dashboards.daily_series(f.once(_rollup), "orders")
 
 
 @_query
 def return_rate_series(f: DerivedFeeds) -> DataFrame:
-    return dashboards.daily_series(_rollup(f), "return_rate_pct")
+    return dashboards.daily_series(f.once(_rollup), "return_rate_pct")
 
 
 def _live_backfill(f: DerivedFeeds) -> DataFrame:
@@ -259,12 +280,12 @@ def realtime_units_series(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def scd2_two_snapshots(f: DerivedFeeds) -> DataFrame:
-    return _versions(f)
+    return f.once(_versions)
 
 
 @_query
 def scd2_current(f: DerivedFeeds) -> DataFrame:
-    return gold.dim_product(_versions(f)).filter("is_current")
+    return f.once(_products).filter("is_current")
 
 
 @_query
@@ -280,8 +301,8 @@ def scd2_stored(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def asof_product_join(f: DerivedFeeds) -> DataFrame:
-    versions = gold.dim_product(_versions(f, ASOF_FIRST, ASOF_SECOND))
-    facts = _sales(f).select("order_id", "product_id", "order_date", "revenue_usd")
+    versions = gold.dim_product(_two_snapshots(f, ASOF_FIRST, ASOF_SECOND))
+    facts = f.once(_sales).select("order_id", "product_id", "order_date", "revenue_usd")
     return scd2.asof_product_join(facts, measured(versions))
 
 
@@ -302,15 +323,16 @@ def _first_load(sales: DataFrame) -> DataFrame:
 def _loaded_twice(f: DerivedFeeds, lookback_days: int | None) -> DataFrame:
     """First load with the first product snapshot, second load with the second one."""
     path = _new_lake(f, "facts").path("gold", "fct_sales")
-    sales = _sales(f)
+    sales = f.once(_sales)
     old = gold.dim_product(scd2.first_versions(conform.conform_products(f.ref_product()),
                                                _at(FIRST_SNAPSHOT)))
-    incremental.write_full(_fct_sales(_first_load(sales), old), path, "order_date")
+    dims = f.once(_dimensions)
+    old_dims = {**dims, "products": measured(gold.current_products(old))}
+    incremental.write_full(_keyed_sales(_first_load(sales), old_dims), path, "order_date")
     target = f.spark.read.parquet(path)
     delta = incremental.delta_strict(sales, target, "order_date") if lookback_days is None else \
         incremental.delta_lookback(sales, target, "order_date", lookback_days)
-    facts = _fct_sales(delta, gold.dim_product(_versions(f)))
-    incremental.replace_in_table(facts, path, "order_id", "order_date")
+    incremental.replace_in_table(_keyed_sales(delta, dims), path, "order_id", "order_date")
     return f.spark.read.parquet(path)
 
 
@@ -327,7 +349,7 @@ def incremental_lookback(f: DerivedFeeds) -> DataFrame:
 @_query
 def incremental_equals_full(f: DerivedFeeds) -> DataFrame:
     """A lookback over everything must end where a full refresh ends."""
-    loaded, full = _loaded_twice(f, EVERYTHING), fct_sales(f)
+    loaded, full = _loaded_twice(f, EVERYTHING), f.once(_fct_sales)
     tagged = loaded.select(*full.columns, F.lit(1).alias("side")) \
         .unionByName(full.withColumn("side", F.lit(-1)))
     balance = tagged.groupBy(*full.columns).agg(
@@ -341,7 +363,7 @@ def incremental_equals_full(f: DerivedFeeds) -> DataFrame:
 @_query
 def incremental_settlement(f: DerivedFeeds) -> DataFrame:
     path = _new_lake(f, "facts").path("gold", "fct_settlement")
-    facts = fct_settlement(f)
+    facts = f.once(_fct_settlement)
     ends = facts.select(F.date_sub(F.max("payout_date"), FIRST_LOAD_ENDS)).scalar()
     incremental.write_full(facts.filter(F.col("payout_date") <= ends), path, "payout_date")
     delta = incremental.delta_strict(facts, f.spark.read.parquet(path), "payout_date")
@@ -353,10 +375,9 @@ def incremental_settlement(f: DerivedFeeds) -> DataFrame:
 def append_delta_day(f: DerivedFeeds) -> DataFrame:
     """Silver per day after one more day was added."""
     path = _new_lake(f, "silver").path("silver", "sales")
-    sales = _sales(f)
+    sales = f.once(_sales)
     incremental.write_full(sales, path, "order_date")
-    day = refresh_timing.next_day_sales(f.spark.read.parquet(path),
-                                        gold.dim_product(_versions(f)))
+    day = refresh_timing.next_day_sales(f.spark.read.parquet(path), f.once(_products))
     incremental.write_partitioned(day, path, "order_date")
     return f.spark.read.parquet(path).groupBy("order_date").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("quantity").alias("units"),
@@ -366,16 +387,11 @@ def append_delta_day(f: DerivedFeeds) -> DataFrame:
 # --- quality ---------------------------------------------------------------------------------
 
 def _gold(f: DerivedFeeds) -> Mapping[str, DataFrame]:
-    sales = _sales(f)
-    products = gold.dim_product(_versions(f))
-    facts = _fct_sales(sales, products)
-    settled = _fct_settlement(_settlements(f), sales)
-    channels = gold.dim_channel(sales)
     return {
-        "dim_channel": channels, "dim_product": products, "dim_date": gold.dim_date(sales),
-        "fct_sales": facts, "fct_settlement": settled,
-        "mart_reconciliation": gold.mart_reconciliation(facts, settled),
-        "agg_channel_daily": gold.agg_channel_daily(facts, measured(channels)),
+        "dim_channel": f.once(_channels), "dim_product": f.once(_products),
+        "dim_date": gold.dim_date(f.once(_sales)),
+        "fct_sales": f.once(_fct_sales), "fct_settlement": f.once(_fct_settlement),
+        "mart_reconciliation": f.once(_reconciliation), "agg_channel_daily": f.once(_rollup),
     }
 
 
@@ -416,7 +432,7 @@ def dq_gap_tolerance(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def dq_gap_breaches(f: DerivedFeeds) -> DataFrame:
-    return quality.gap_breaches(_reconciliation(f))
+    return quality.gap_breaches(f.once(_reconciliation))
 
 
 def _finished_run(f: DerivedFeeds) -> Lake:
@@ -434,8 +450,8 @@ def gate_report(f: DerivedFeeds) -> DataFrame:
 
 def _published(f: DerivedFeeds) -> Lake:
     lake = _new_lake(f, "serving")
-    incremental.write_full(_rollup(f), lake.path("gold", "agg_channel_daily"))
-    incremental.write_full(_reconciliation(f), lake.path("gold", "mart_reconciliation"))
+    incremental.write_full(f.once(_rollup), lake.path("gold", "agg_channel_daily"))
+    incremental.write_full(f.once(_reconciliation), lake.path("gold", "mart_reconciliation"))
     publish.publish(lake)
     return lake
 
@@ -492,7 +508,7 @@ def stream_distinct_ids(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def conform_stream_orders(f: DerivedFeeds) -> DataFrame:
-    return conform.conform_events(_landed(f), _references(f))
+    return conform.conform_events(_landed(f), f.once(_references))
 
 
 def _drain_aggregate(f: DerivedFeeds, root: str, checkpoint: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. Shuffle width is left to the cluster and AQE.
 SQL_SETTINGS = {
@@ -58,6 +58,17 @@ def shared_folder(spark: SparkSession) -> str:
     return root
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and continue from there.
+
+    Used where several jobs need the same small result of a long lineage: it is computed once,
+    and a lost executor costs a re-read instead of a recomputation.
+    """
+    path = run_folder(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below the shared one."""
     return f"{shared_folder(spark)}/tradewake/{name}-{uuid.uuid4().hex}"

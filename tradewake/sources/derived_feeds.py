@@ -9,13 +9,17 @@ remittances, gaps beyond tolerance, malformed messages). `FIXTURES.md` lists the
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewake.functions.money import amount
 
+T = TypeVar("T")
+
 # The channels' names, status vocabularies and fee rates.
 CHANNEL_A, CHANNEL_B = "amazon", "backmarket"
 STATUS_WORDS = ("Pending", "Shipped", "Delivered", "Cancelled", "Returned")
@@ -43,13 +47,22 @@ def sku_b(key: Column) -> Column:
     return F.format_string("SKU%07d", key)
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class DerivedFeeds:
     spark: SparkSession
     folder: str
+    _built: dict = field(default_factory=dict, repr=False)
+
+    def once(self, build: Callable[[DerivedFeeds], T]) -> T:
+        """Build a plan once for this set of feeds, however many steps refer to it."""
+        if build not in self._built:
+            self._built[build] = build(self)
+        return self._built[build]
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._built:
+            self._built[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._built[name]
 
     def feed(self, entity: str) -> DataFrame:
         return getattr(self, entity)()
