@@ -1,18 +1,33 @@
-"""Every registered query against its SQL on the small tables, complete results."""
+"""Every registered query against its SQL, complete results.
+
+The tables are the smallest given ones, with the order days thinned out to 120 so that day
+folders stay few. `tests/compare.py` does the same on any of the given folders as they are.
+"""
 
 from __future__ import annotations
 
 import pytest
-from compare import connect, differences
+from compare import TABLES, connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-FOLDER = "/root/testdata/sf0.001"
+GIVEN = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    made = tmp_path_factory.mktemp("tables")
+    con = connect(GIVEN)
+    for table in TABLES:
+        con.execute(f"COPY (SELECT * FROM {table}) TO '{made}/{table}.parquet'")
+    con.execute(f"""COPY (SELECT * REPLACE (TIMESTAMP '1995-01-01' + INTERVAL 20 DAY *
+                (o_orderkey % 120) AS o_orderdate) FROM orders) TO '{made}/orders.parquet'""")
+    return str(made)
 
 
 @pytest.fixture(scope="module")
-def sql():
-    return connect(FOLDER)
+def sql(folder):
+    return connect(folder)
 
 
 def test_every_query_has_sql():
@@ -27,6 +42,6 @@ def test_entry_is_the_rollup(spark):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query_matches_sql(spark, sql, name):
-    result = queries()[name](spark, FOLDER).toPandas()
+def test_query_matches_sql(spark, sql, folder, name):
+    result = queries()[name](spark, folder).toPandas()
     assert differences(result, sql.execute(oracle_sql()[name]).df()) == ""

@@ -144,6 +144,10 @@ def business_checks(tables: Tables) -> DataFrame:
                    gap_tolerance(tables)])
 
 
+def full_report(tables: Tables) -> DataFrame:
+    return _stack([column_tests(tables), business_checks(tables)])
+
+
 def served_parity(gold: Tables, served: Mapping[str, DataFrame | None]) -> DataFrame:
     """Every published mart must exist, hold rows, and as many as Gold.
 

@@ -132,6 +132,5 @@ def daily_run(lake: Lake, snapshot_ts: str, full_refresh: bool = False,
     refresh_fct_settlement(lake, full_refresh, lookback_days)
     build_marts(lake)
     if gate:
-        quality.enforce(quality.column_tests(gold_tables(lake)))
-        quality.enforce(quality.business_checks(gold_tables(lake)))
+        quality.enforce(quality.full_report(gold_tables(lake)))
     return outcome

@@ -444,8 +444,7 @@ def _finished_run(f: DerivedFeeds) -> Lake:
 @_query
 def gate_report(f: DerivedFeeds) -> DataFrame:
     """All checks over the tables of a complete stored run."""
-    tables = daily_run.gold_tables(_finished_run(f))
-    return quality.column_tests(tables).unionByName(quality.business_checks(tables))
+    return quality.full_report(daily_run.gold_tables(_finished_run(f)))
 
 
 def _published(f: DerivedFeeds) -> Lake:
