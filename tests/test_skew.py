@@ -1,0 +1,44 @@
+"""Hot keys in joins behind an aggregation."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradewake.operators import skew
+
+
+@pytest.fixture
+def crowded(spark):
+    """A third of the rows under one id, a fifth of the others without any."""
+    return spark.range(0, 60_000, 1, 8).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 5 = 1 then null else concat('k', id) end as id",
+        "id as v")
+
+
+@pytest.fixture
+def sums(spark):
+    return spark.range(0, 60_000, 2, 4).selectExpr("concat('k', id) as ref", "id * 2 as total") \
+        .unionAll(spark.sql("SELECT 'hot', 7L")).groupBy("ref").agg(F.sum("total").alias("total"))
+
+
+def test_finds_hot_keys_and_null(crowded):
+    assert set(skew.hot_keys(crowded, "id", fraction=0.05)) == {"hot", None}
+
+
+def test_no_hot_keys_in_a_unique_column(crowded):
+    assert skew.hot_keys(crowded, "v", fraction=0.05) == []
+
+
+@pytest.mark.parametrize("hot", [["hot"], [None], ["hot", None], ["hot", "k4", "absent"]])
+def test_split_join_equals_the_plain_join(crowded, sums, hot):
+    plain = skew.left_join_unique(crowded, sums, "id", "ref", [])
+    split = skew.left_join_unique(crowded, sums, "id", "ref", hot)
+    assert split.count() == plain.count() == 60_000
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+
+
+def test_hot_rows_do_not_enter_the_shuffle(crowded, sums):
+    plan = skew.left_join_unique(crowded, sums, "id", "ref", ["hot"]) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

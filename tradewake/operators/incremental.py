@@ -10,10 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.operators.lookups import measured
+from tradewake.operators.skew import is_one_of
 from tradewake.session import stored
 from tradewake.sources import files
 
@@ -84,13 +85,6 @@ def _partition_values(frame: DataFrame, column: str) -> list:
     return [row[0] for row in frame.select(column).distinct().collect()]
 
 
-def _is_one_of(column: str, values: list) -> Column:
-    """Membership in partition values, NULL included; a plain predicate so folders are pruned."""
-    present = [v for v in values if v is not None]
-    condition = F.col(column).isin(present) if present else F.lit(False)
-    return condition | F.col(column).isNull() if None in values else condition
-
-
 def replace_in_table(delta: DataFrame, path: str, key: str, column: str) -> Replaced:
     """Delete+insert ``delta`` into the table at ``path``, partitioned by ``column``.
 
@@ -114,11 +108,11 @@ def replace_in_table(delta: DataFrame, path: str, key: str, column: str) -> Repl
     stale = _partition_values(in_range.select(key, column).join(keys, key, "left_semi"), column)
     touched = list({*incoming, *stale})
 
-    kept = target.filter(_is_one_of(column, touched)).join(keys, key, "left_anti")
+    kept = target.filter(is_one_of(column, touched)).join(keys, key, "left_anti")
     moved_from = [v for v in stale if v not in incoming]
     emptied = []
     if moved_from:
-        left = kept.filter(_is_one_of(column, moved_from))
+        left = kept.filter(is_one_of(column, moved_from))
         emptied = [v for v in moved_from if v not in _partition_values(left, column)]
 
     rows = kept.unionByName(staged.select(*target.columns))
@@ -136,5 +130,5 @@ def upsert_in_table(changes: DataFrame, path: str, keys: list[str], column: str)
     spark = changes.sparkSession
     target = spark.read.schema(changes.schema).parquet(path)
     touched = _partition_values(changes, column)
-    merged = upsert(target.filter(_is_one_of(column, touched)), changes, keys)
+    merged = upsert(target.filter(is_one_of(column, touched)), changes, keys)
     write_partitioned(merged.select(*changes.columns), path, column)

@@ -1,0 +1,50 @@
+"""Left joins that survive a hot key where adaptive execution cannot split it.
+
+Adaptive execution splits an overloaded partition only if both join inputs come directly from a
+shuffle. Behind an aggregation they do not. There the hot keys, if any, are looked up in a
+sample first; their rows skip the shuffle and meet the few matching rows by broadcast. The
+sample only decides which way a row takes: the result is the plain join's, row for row.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot from this share of the rows on, so there are at most fifty hot keys.
+HOT_SHARE = 0.02
+SAMPLE_FRACTION = 0.001
+MIN_SAMPLED = 50
+
+
+def hot_keys(frame: DataFrame, key: str, share: float = HOT_SHARE,
+             fraction: float = SAMPLE_FRACTION, min_sampled: int = MIN_SAMPLED) -> list:
+    """Keys (NULL may be one) that hold at least ``share`` of the sampled rows."""
+    counted = frame.select(key).sample(fraction, seed=7).groupBy(key) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    total = counted.select(F.sum("n")).scalar()
+    hot = counted.filter((F.col("n") >= min_sampled) & (F.col("n") >= total * share))
+    return [row[0] for row in hot.select(key).collect()]
+
+
+def is_one_of(column: str, values: list) -> Column:
+    """Membership that counts NULL as a value; never NULL itself."""
+    present = [F.col(column).isin([v for v in values if v is not None])] \
+        if any(v is not None for v in values) else []
+    missing = [F.col(column).isNull()] if None in values else []
+    member = reduce(lambda a, b: a | b, present + missing, F.lit(False))
+    return F.coalesce(member, F.lit(False))
+
+
+def left_join_unique(rows: DataFrame, side: DataFrame, key: str, side_key: str,
+                     hot: list) -> DataFrame:
+    """Left join to a side with at most one row per key, hot keys handled apart."""
+    match = F.col(key) == F.col(side_key)
+    if not hot:
+        return rows.join(side, match, "left")
+    few = side.filter(is_one_of(side_key, [v for v in hot if v is not None]))
+    apart = rows.filter(is_one_of(key, hot)).join(F.broadcast(few), match, "left")
+    rest = rows.filter(~is_one_of(key, hot)).join(side, match, "left")
+    return apart.unionByName(rest)

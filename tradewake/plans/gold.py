@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradewake.functions.dates import iso_weekday
 from tradewake.functions.keys import channel_key, product_version_key
 from tradewake.functions.money import cents, share_pct
+from tradewake.operators import skew
 from tradewake.operators.lookups import Lookup
 
 # Display name and marketplace fee rate per channel, settleable states.
@@ -86,7 +87,9 @@ def mart_reconciliation(sales: DataFrame, settlements: DataFrame) -> DataFrame:
     """Booked revenue against cash received, per fulfilled order.
 
     Remittances are summed to order grain first, so the join is one to one and its exchange is
-    the one the sum already needed; only the narrow sales side is shuffled on top.
+    the one the sum already needed; only the narrow sales side is shuffled on top. Order ids
+    should be unique, but a broken feed may repeat one (or none) for much of its rows, and the
+    gate comes later: such ids are kept out of the shuffle.
     """
     received = settlements.groupBy("order_ref").agg(
         F.sum(cents("net_usd")).alias("net"), F.sum(cents("fees_usd")).alias("fees"))
@@ -94,7 +97,8 @@ def mart_reconciliation(sales: DataFrame, settlements: DataFrame) -> DataFrame:
         "order_id", "source", "order_date", "canonical_status", "revenue_usd")
     zero = F.lit(0).cast("decimal(28,2)")
     gap = cents("revenue_usd") - F.coalesce("net", zero) - F.coalesce("fees", zero)
-    return fulfilled.join(received, F.col("order_id") == F.col("order_ref"), "left").select(
+    hot = skew.hot_keys(fulfilled, "order_id")
+    return skew.left_join_unique(fulfilled, received, "order_id", "order_ref", hot).select(
         "order_id", "source", "order_date", "canonical_status",
         F.col("revenue_usd").alias("booked_usd"),
         F.col("net").cast("double").alias("net_received_usd"),

@@ -51,7 +51,7 @@ def _at(text: str) -> Column:
 # lookups measured, a single time.
 
 def _references(f: DerivedFeeds) -> conform.References:
-    return conform.references(f.ref_sku_map(), f.ref_status_map(), f.ref_fx())
+    return conform.references(f.ref_sku_map(), f.ref_status_map(), stored(f.ref_fx(), "fx"))
 
 
 def _sales(f: DerivedFeeds) -> DataFrame:
