@@ -117,6 +117,14 @@ def build_marts(lake: Lake) -> None:
     incremental.write_full(rollup, lake.path("gold", "agg_channel_daily"))
 
 
+def build_gold(lake: Lake, full_refresh: bool = False,
+               lookback_days: int | None = None) -> None:
+    build_dimensions(lake)
+    refresh_fct_sales(lake, full_refresh, lookback_days)
+    refresh_fct_settlement(lake, full_refresh, lookback_days)
+    build_marts(lake)
+
+
 def gold_tables(lake: Lake) -> dict[str, DataFrame]:
     return {name: lake.read("gold", name) for name in GOLD_TABLES}
 
@@ -127,10 +135,7 @@ def daily_run(lake: Lake, snapshot_ts: str, full_refresh: bool = False,
     outcome = land_bronze(lake)
     build_silver(lake)
     snapshot_products(lake, snapshot_ts)
-    build_dimensions(lake)
-    refresh_fct_sales(lake, full_refresh, lookback_days)
-    refresh_fct_settlement(lake, full_refresh, lookback_days)
-    build_marts(lake)
+    build_gold(lake, full_refresh, lookback_days)
     if gate:
         quality.enforce(quality.full_report(gold_tables(lake)))
     return outcome
