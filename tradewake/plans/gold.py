@@ -83,13 +83,15 @@ def fct_settlement(settlements: DataFrame, channels: Lookup) -> DataFrame:
         "gross_usd", "fees_usd", "net_usd")
 
 
-def mart_reconciliation(sales: DataFrame, settlements: DataFrame) -> DataFrame:
+def mart_reconciliation(sales: DataFrame, settlements: DataFrame,
+                        hot_orders: list | None = None) -> DataFrame:
     """Booked revenue against cash received, per fulfilled order.
 
     Remittances are summed to order grain first, so the join is one to one and its exchange is
     the one the sum already needed; only the narrow sales side is shuffled on top. Order ids
     should be unique, but a broken feed may repeat one (or none) for much of its rows, and the
-    gate comes later: such ids are kept out of the shuffle.
+    gate comes later: such ids are kept out of the shuffle. They are looked for in ``sales``
+    unless the caller knows them.
     """
     received = settlements.groupBy("order_ref").agg(
         F.sum(cents("net_usd")).alias("net"), F.sum(cents("fees_usd")).alias("fees"))
@@ -97,8 +99,10 @@ def mart_reconciliation(sales: DataFrame, settlements: DataFrame) -> DataFrame:
         "order_id", "source", "order_date", "canonical_status", "revenue_usd")
     zero = F.lit(0).cast("decimal(28,2)")
     gap = cents("revenue_usd") - F.coalesce("net", zero) - F.coalesce("fees", zero)
-    hot = skew.hot_keys(fulfilled, "order_id")
-    return skew.left_join_unique(fulfilled, received, "order_id", "order_ref", hot).select(
+    if hot_orders is None:
+        hot_orders = skew.hot_keys(fulfilled, "order_id")
+    joined = skew.left_join_unique(fulfilled, received, "order_id", "order_ref", hot_orders)
+    return joined.select(
         "order_id", "source", "order_date", "canonical_status",
         F.col("revenue_usd").alias("booked_usd"),
         F.col("net").cast("double").alias("net_received_usd"),

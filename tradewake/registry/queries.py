@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.operators import conform, incremental, quality, scd2, snapshot_table
+from tradewake.operators import conform, incremental, quality, scd2, skew, snapshot_table
 from tradewake.operators.lookups import Lookup, measure, measured
 from tradewake.plans import daily_run, dashboards, gold, publish, refresh_timing
 from tradewake.session import prepare, run_folder, stored
@@ -100,8 +100,16 @@ def _fct_settlement(f: DerivedFeeds) -> DataFrame:
     return gold.fct_settlement(f.once(_settlements), channels)
 
 
+def _hot_orders(f: DerivedFeeds) -> list:
+    """Looked for in the feeds' id columns, which is cheaper than in the conformed fact."""
+    ids = f.sales_amazon().select(F.col("amazon_order_id").alias("order_id")) \
+        .unionByName(f.sales_backmarket().select(F.col("bm_order_ref").alias("order_id")))
+    return skew.hot_keys(ids, "order_id")
+
+
 def _reconciliation(f: DerivedFeeds) -> DataFrame:
-    return gold.mart_reconciliation(f.once(_fct_sales), f.once(_fct_settlement))
+    return gold.mart_reconciliation(f.once(_fct_sales), f.once(_fct_settlement),
+                                    f.once(_hot_orders))
 
 
 def _rollup(f: DerivedFeeds) -> DataFrame:
