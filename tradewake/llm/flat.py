@@ -26,11 +26,11 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-NOT_SPACE = np.ones(256, dtype=bool)
-NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
+NOT_SPACE = np.ones(256, dtype=np.uint8)
+NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = 0
 
-ALPHANUMERIC = np.zeros(256, dtype=bool)
-ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+ALPHANUMERIC = np.zeros(256, dtype=np.uint8)
+ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,17 +78,19 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray,
           fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end byte of every word, and the number of words of every row.
 
-    A word is a longest run of bytes of the class ``kind`` within a row; ``fold`` is applied to
-    its bytes before hashing.
+    ``kind`` gives each byte a class, 0 for none. A word is a longest run of bytes of one class
+    within a row; ``fold`` is applied to its bytes before hashing.
     """
     if not len(data):
         return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 2,
                 np.zeros(len(offsets) - 1, np.int64))
-    inside = kind[data]
+    classes = kind[data]
+    inside = classes > 0
+    change = classes[1:] != classes[:-1]
     first = inside.copy()
-    first[1:] &= ~inside[:-1]
+    first[1:] &= change
     last = inside.copy()
-    last[:-1] &= ~inside[1:]
+    last[:-1] &= change
     borders = offsets[1:-1]
     borders = borders[(borders > 0) & (borders < len(data))]
     first[borders] = inside[borders]
@@ -146,10 +148,10 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, size: int,
     own = np.maximum(counts - size + 1, 0)
     short = (counts > 0) & (counts < size) if whole else np.zeros(len(counts), bool)
     for row in np.flatnonzero(short):
-        value = np.zeros(1, np.uint64)
+        value = np.uint64(counts[row:row + 1]) * _STEP
         for h in hashes[begins[row]:ends[row]]:
             value = value * _MULTIPLIER + h
-        total[begins[row]] = value[0] + np.uint64(counts[row]) * _STEP
+        total[begins[row]] = value[0]
     own = own + short
     positions = np.repeat(begins - (np.cumsum(own) - own), own) + np.arange(own.sum())
     return mix(total[positions]), positions, own

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewake.operators.lookups import measured
+
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -44,3 +46,8 @@ def rows_of(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     same = docs["doc_id"].cast("long").eqNullSafe(keys["key_id"]) & \
         (fingerprint(docs["text"]) == keys["key_text"])
     return docs.join(keys, same, how)
+
+
+def sized(frame: DataFrame) -> DataFrame:
+    """The frame, to be broadcast if its measured size is within the library's budget."""
+    return F.broadcast(frame) if measured(frame).fits else frame

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewake.llm import byte_bpe, exact_dedup
+from tradewake.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, quality
 from tradewake.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,12 +36,30 @@ SELECT doc_id,
 FROM t"""
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(
+        table(spark, folder, "documents"), size=3, num=90, den=100).drop("key_text")
+
+
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")) \
+        .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op8_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, folder, "documents"), vocabulary_path(), full=False)
 
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_decontamination": op7_decontamination,
     "op8_bpe_coding": op8_bpe_coding,
 }
 
