@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tradewake.llm import byte_bpe, decontaminate, exact_dedup, jaccard_join, quality
+from pyspark.sql import functions as F
+
+from tradewake.llm import (
+    byte_bpe,
+    chat_tree,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    line_dedup,
+    pii,
+    quality,
+)
 from tradewake.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +46,29 @@ SELECT doc_id,
 FROM t"""
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_frequent_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH t AS (
+    SELECT doc_id, generate_subscripts(lines, 1) AS place, unnest(lines) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (
+    SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''),
+                                       '[\x20\x09-\x0D]+$', ''),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM t),
+often AS (
+    SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(often.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+                       FILTER (WHERE often.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN often USING (key)
+GROUP BY doc_id"""
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(
         table(spark, folder, "documents"), size=3, num=90, den=100).drop("key_text")
@@ -55,15 +88,32 @@ def op8_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, folder, "documents"), vocabulary_path(), full=False)
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(table(spark, folder, "documents")).drop("found")
+
+
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    probe = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").cast("int").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(probe).alias("text"))
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_tree.read_back(chat_tree.pack(turns.unionByName(extra)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_decontamination": op7_decontamination,
     "op8_bpe_coding": op8_bpe_coding,
+    "op9_pii": op9_pii,
+    "op10_chat_format": op10_chat_format,
 }
 
-SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
+SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL}
 
 
 def queries() -> dict[str, Query]:
