@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewake.operators.lookups import measured
+from tradewake.session import stored
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -51,3 +52,18 @@ def rows_of(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 def sized(frame: DataFrame) -> DataFrame:
     """The frame, to be broadcast if its measured size is within the library's budget."""
     return F.broadcast(frame) if measured(frame).fits else frame
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text) with a number for every row that stays the same in all later reads.
+
+    That is the doc_id where ids are unique and never null. Otherwise rows are numbered in a
+    table of their own in the shared folder.
+    """
+    texts = doc_texts(docs)
+    ids = texts.groupBy("doc_id").agg(F.count("*").alias("n")) \
+        .filter("n > 1 OR doc_id IS NULL")
+    if ids.isEmpty():
+        return texts.select(F.col("doc_id").alias("row"), "doc_id", "text")
+    return stored(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
+                  "identified")

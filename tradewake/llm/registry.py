@@ -13,7 +13,9 @@ from tradewake.llm import (
     decontaminate,
     exact_dedup,
     jaccard_join,
+    language_id,
     line_dedup,
+    passages,
     pii,
     quality,
 )
@@ -46,6 +48,10 @@ SELECT doc_id,
 FROM t"""
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents")).drop("shares")
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_frequent_lines(table(spark, folder, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -74,6 +80,10 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), size=3, num=90, den=100).drop("key_text")
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -104,8 +114,10 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_decontamination": op7_decontamination,
     "op8_bpe_coding": op8_bpe_coding,
