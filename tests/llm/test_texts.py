@@ -1,0 +1,188 @@
+"""Byte-pair coding, benchmark passages, personal data and repeated passages."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import brute
+import numpy as np
+import pytest
+from conftest import ODD, SMALL, ordered, pairs
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tradewake.llm import byte_bpe, decontaminate, passages, pii, registry
+from tradewake.llm.frames import vocabulary_path
+
+TOKENIZER = Tokenizer.from_file(vocabulary_path())
+
+
+def tokenized(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
+
+
+def digests(doc_id, text):
+    ids = tokenized(text)
+    decoded = TOKENIZER.decode(ids, skip_special_tokens=False)
+    return (doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+            brute.sha(decoded))
+
+
+def test_coding_like_the_tokenizers_library(spark, small, odd):
+    found = registry.queries()["op8_bpe_coding"](spark, SMALL).collect()
+    assert ordered(found) == ordered(digests(*p) for p in pairs(small))
+    whole = byte_bpe.encode_decode(odd, vocabulary_path()).collect()
+    assert ordered(tuple(r)[:4] for r in whole) == ordered(digests(r[0], r[1]) for r in ODD)
+    assert sorted(r["decoded"] for r in whole) == sorted(r[1] or "" for r in ODD)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aab \n\t'sé<|endoftext>日\U0001f642\x000-"), max_size=60)))
+def test_coding_of_any_text(texts):
+    coder = byte_bpe.Encoder(vocabulary_path())
+    ids, counts = coder.encode(texts)
+    bounds = np.r_[0, np.cumsum(counts)]
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert ids[a:b].tolist() == tokenized(text)
+        assert coder.decode(ids[a:b])[0].tobytes().decode() == text
+
+
+def test_forgetting_words_changes_nothing(small, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 50)
+    coder = byte_bpe.Encoder(vocabulary_path())
+    for _, text in pairs(small)[:40]:
+        assert coder.encode([text])[0].tolist() == tokenized(text)
+
+
+RESULT = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def found_in(docs, items, window=10):
+    return ordered(decontaminate.contamination(docs, items, window).select(RESULT).collect())
+
+
+def test_contamination_like_brute_force(small, benchmark):
+    items = [tuple(r) for r in benchmark.select("item_id", "text").collect()]
+    found = found_in(small, benchmark)
+    assert found == ordered(brute.contamination(pairs(small), items))
+    assert any(r[5] for r in found)
+
+
+def test_contamination_of_odd_rows(spark, odd, none, benchmark):
+    items = [(1, "Word"), (2, "twice the SAME"), (3, None), (4, ""), (5, "a b c d e f g h i j k"), (6, "--"),
+             (None, "same id"), (7, "b c d e f g h i j k l m"), (7, "same id, other text"), (8, "zzz")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    expected = brute.contamination([(r[0], r[1]) for r in ODD],
+                                   [i for i in items if i[0] is not None] + [("", "")])
+    whole = decontaminate.contamination(odd, frame).collect()
+    without = [tuple(r[c] for c in RESULT) for r in whole if r["doc_id"] != 11]
+    assert ordered(without) == ordered(r for r in expected if r[0] != 11)
+    assert all(r["contaminated"] for r in whole if r["doc_id"] == 11)
+    left = decontaminate.drop_contaminated(odd, frame)
+    assert left.columns == odd.columns
+    assert left.count() == sum(not r["contaminated"] for r in whole)
+    assert found_in(none, benchmark) == []
+    assert not any(r[5] for r in found_in(odd, benchmark.limit(0)))
+
+
+def test_contamination_by_other_windows(small, benchmark):
+    items = [tuple(r) for r in benchmark.select("item_id", "text").collect()]
+    for window in (1, 2, 4):
+        assert found_in(small, benchmark, window) == ordered(
+            brute.contamination(pairs(small), items, window))
+
+
+def base(doc_id, text):
+    spans = brute.base_spans(text)
+    kinds = [s[0] for s in spans]
+    return (doc_id, *(kinds.count(k) for k in pii.BASE), brute.sha(pii.joined(spans)))
+
+
+def test_personal_data_like_plain_search(spark, small, odd, none):
+    found = registry.queries()["op9_pii"](spark, SMALL).collect()
+    assert ordered(tuple(r)[:6] for r in found) == ordered(base(*p) for p in pairs(small))
+    assert ordered(tuple(r)[:6] for r in pii.personal_data(odd).collect()) == \
+        ordered(base(r[0], r[1]) for r in ODD)
+    assert pii.personal_data(none).collect() == []
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aZ09.19@+- ()%é\n25:/"), max_size=40))
+def test_base_spans_of_any_text(text):
+    assert [s for s in pii.find_spans(text) if s[0] in pii.BASE] == brute.base_spans(text)
+
+
+@pytest.mark.parametrize(("text", "kind", "value"), [
+    ("see https://bob:pw1@host.example/x", "url_login", "bob:pw1"),
+    ("write to ann.lee at mail dot example now", "mailbox", "ann.lee at mail dot example"),
+    ("IBAN: DE89 3704 0044 0532 0130 00.", "iban", "DE89 3704 0044 0532 0130 00"),
+    ("ssn 123-45-6789", "ssn", "123-45-6789"),
+    ('token = "a5da8e9b33fb57beea5cace8e768dbb6a7b2fce6" x', "secret", "a5da8e9b33fb57beea5cace8e768dbb6a7b2fce6"),
+])
+def test_cued_kinds(text, kind, value):
+    assert [text[a:b] for k, a, b in pii.find_spans(text) if k == kind] == [value]
+
+
+@pytest.mark.parametrize("text", ["ssn 000-45-6789", "IBAN: DE88 3704 0044 0532 0130 00", "token of thanks",
+                                  "we met at noon", "https://host.example/a:b"])
+def test_cues_alone_are_nothing(text):
+    assert pii.find_spans(text) == []
+
+
+def test_repeated_passages(spark, none):
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(30_000)]
+    passage = draw.sample(words, 70)
+    fuzzy = list(passage)
+    for at in (11, 30, 47):
+        fuzzy[at] = "other"
+    del fuzzy[55]
+    rows = [draw.sample(words, 120) for _ in range(40)]
+    rows[3][20:20] = passage
+    rows[9] += passage
+    rows[17] = fuzzy + rows[17]
+    rows[25][50:50] = passage[:20]
+    rows[30] = rows[31] = draw.sample(words, 45)
+    docs = spark.createDataFrame(
+        [(i, " ".join(r), "clash") for i, r in enumerate(rows)] + [(100, None, ""), (101, "", "")],
+        "doc_id long, text string, row string")
+    found = {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+    assert len(found) == 42
+    assert {i for i, r in found.items() if r["shared"]} == {3, 9, 17, 30, 31}
+    assert found[3]["source_words"] >= 70 and found[3]["n_passages"] == 0
+    one = found[9]["passages"][0]
+    assert (one["start"], one["end"], one["of_doc"], one["first_start"], one["first_end"]) == \
+        (120, 190, 3, 20, 90)
+    one = found[17]["passages"][0]
+    assert one["of_doc"] == 3 and one["end"] - one["start"] >= 60 and one["similarity"] >= 0.9
+    assert found[31]["repeated_words"] == 45 and found[30]["source_words"] == 45
+    assert passages.repeated_passages(none).collect() == []
+
+
+def test_passages_of_odd_rows(odd):
+    found = passages.repeated_passages(odd).collect()
+    assert len(found) == odd.count()
+    assert not any(r["shared"] for r in found)
+
+
+def test_chains_choose_the_best_line():
+    line = [(i, 100 + i) for i in range(0, 60, 5)]
+    noise = [(3, 400), (22, 5), (41, 300), (30, 30)]
+    best = passages.chains(line + noise)[0]
+    assert best == line
+
+
+def test_winnowing_picks_the_smallest_of_every_window():
+    draw = np.random.default_rng(2)
+    for sizes in ([30], [3, 25, 0, 11, 1]):
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        values = draw.integers(0, 9, len(owner))
+        picked = set()
+        for o in set(owner.tolist()):
+            own = np.flatnonzero(owner == o)
+            for i in range(max(1, len(own) - 9)):
+                part = own[i:i + 10]
+                picked.add(int(part[values[part].argmin()]))
+        assert passages.winnow(values, owner, 10).tolist() == sorted(picked)

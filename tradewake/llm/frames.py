@@ -18,6 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary_path() -> str:
+    """Place of the public byte-level vocabulary that queries and pipeline use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def doc_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) alone, null texts as empty: no other column can clash with an operator's."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

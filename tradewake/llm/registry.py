@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tradewake.llm import (
     byte_bpe,
     chat_tree,
@@ -19,18 +20,11 @@ from tradewake.llm import (
     pii,
     quality,
 )
-from tradewake.llm.frames import table
+from tradewake.llm.frames import table, vocabulary_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def vocabulary_path() -> str:
-    """Place of the public byte-level vocabulary that the queries use."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("key_text")
 
@@ -77,7 +71,8 @@ GROUP BY doc_id"""
 
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(
-        table(spark, folder, "documents"), size=3, num=90, den=100).drop("key_text")
+        table(spark, folder, "documents"), size=3, num=90, den=100) \
+        .select("doc_id", "n_shingles", "component_id")
 
 
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_coding": op8_bpe_coding,
     "op9_pii": op9_pii,
     "op10_chat_format": op10_chat_format,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL}
