@@ -33,15 +33,14 @@ def _tokens(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarr
     return mix(values + np.uint64(size)).view(np.int64), positions
 
 
-def _lower_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
-    text = LOWER[data].tobytes()
+def _lower_words(text: bytes, starts: np.ndarray, ends: np.ndarray) -> list[str]:
     return [text[a:b].decode("utf-8", "replace") for a, b in zip(starts, ends, strict=True)]
 
 
 def _windows(batch: pa.RecordBatch, window: int):
     data, offsets = text_buffers(batch.column(1))
     hashes, starts, ends, counts = words(data, offsets, ALPHANUMERIC)
-    spelled = _lower_words(data, starts, ends)
+    spelled = _lower_words(LOWER[data].tobytes(), starts, ends)
     ids = batch.column(0).to_pylist()
     begins = np.cumsum(counts) - counts
     out = {"item_id": [], "words": [], "tokens": []}
@@ -99,6 +98,7 @@ def _probe(batch: pa.RecordBatch, maps, window: int):
         part = data[offsets[first]:offsets[last]]
         hashes, starts, ends, counts = words(part, offsets[first:last + 1] - offsets[first],
                                              ALPHANUMERIC)
+        lower = LOWER[part].tobytes()
         finish = np.cumsum(counts)
         begin = finish - counts
         owner = [np.arange(len(counts))]
@@ -115,7 +115,7 @@ def _probe(batch: pa.RecordBatch, maps, window: int):
             token += tokens.tolist()
             at += (positions - begin[doc]).tolist()
             low += (left - begin[doc]).tolist()
-            around += [_lower_words(part, starts[a:b], ends[a:b])
+            around += [_lower_words(lower, starts[a:b], ends[a:b])
                        for a, b in zip(left, right, strict=True)]
         owner = np.concatenate(owner)
         rows = pa.array(owner + first)
