@@ -24,7 +24,9 @@ def lines_of(text: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(WHITE)), UPPER, UPPER.lower())
+    key = F.btrim(line, F.lit(WHITE))
+    plain = F.octet_length(key) == F.char_length(key)  # then lower() changes A-Z alone, and is quick
+    return F.when(plain, F.lower(key)).otherwise(F.translate(key, UPPER, UPPER.lower()))
 
 
 def line_hashes(text: Column) -> Column:
@@ -47,10 +49,11 @@ def drop_frequent_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFr
     texts = doc_texts(docs).withColumn("key_text", fingerprint(F.col("text")))
     hashed = texts.select("doc_id", "key_text", line_hashes(F.col("text")).alias("hashes"))
     frequent = stored(
-        hashed.select(F.explode(F.array_distinct("hashes")).alias("hash"))
+        # explode() would test the arrays' size first and so compute them twice.
+        hashed.select(F.explode_outer(F.array_distinct("hashes")).alias("hash"))
         .filter("hash IS NOT NULL").groupBy("hash").agg(F.count("*").alias("n"))
         .filter(F.col("n") >= least).select("hash"), "frequent-lines")
-    places = hashed.select("doc_id", "key_text", F.posexplode("hashes").alias("at", "hash")) \
+    places = hashed.select("doc_id", "key_text", F.posexplode_outer("hashes").alias("at", "hash")) \
         .filter("hash IS NOT NULL").join(sized(frequent), "hash", "left_semi")
     dropped = stored(places.groupBy("doc_id", "key_text").agg(F.collect_set("at").alias("dropped"))
                      .withColumnsRenamed({"doc_id": "key_id", "key_text": "of_text"}),
@@ -61,6 +64,7 @@ def drop_frequent_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFr
         F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
     same = texts["doc_id"].eqNullSafe(F.col("key_id")) & (texts["key_text"] == F.col("of_text"))
     return texts.join(sized(dropped), same, "left").select(
-        "doc_id", F.size(lines).cast("long").alias("n_lines"),
+        "doc_id", (F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
+        .cast("long").alias("n_lines"),
         F.coalesce(F.array_size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         kept.alias("kept"))
