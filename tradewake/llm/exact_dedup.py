@@ -60,7 +60,7 @@ def exact_groups(docs: DataFrame,
         .alias("group_size"))
     best = narrow.groupBy("hash", "text_sha256").agg(
         F.min(F.struct((-F.col("chars")).alias("less"), "doc_id", "row")).alias("best"))
-    groups = groups.join(best, ["hash", "text_sha256"])
+    groups = stored(groups.join(best, ["hash", "text_sha256"]), "exact-groups")
     return narrow.join(groups, ["hash", "text_sha256"], "left").select(
         "doc_id",
         F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
