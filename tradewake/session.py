@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewake.sources import files
+
 # Runtime settings every job relies on. Shuffle width is left to the cluster and AQE.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,12 +18,7 @@ SQL_SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
-# A single machine writes and lists thousands of small day folders: spread them over its cores
-# although they hold few bytes, and list them in few tasks.
-LOCAL_SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
-}
+_scratch: list[str] = []
 
 
 def build_session(app_name: str = "tradewake", master: str | None = None,
@@ -37,25 +33,21 @@ def build_session(app_name: str = "tradewake", master: str | None = None,
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session somebody else created."""
-    local = spark.sparkContext.master.startswith("local")
-    for key, value in {**SQL_SETTINGS, **(LOCAL_SETTINGS if local else {})}.items():
+    for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or else ``setCheckpointDir()``.
 
-    Only a local session may go without the setting; it gets a temporary folder once.
+    It must be given. The driver cannot know which of its folders executors share, so there is
+    no default.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tradewake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/")
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
@@ -70,5 +62,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing folder below the shared one."""
-    return f"{shared_folder(spark)}/tradewake/{name}-{uuid.uuid4().hex}"
+    """A new, not yet existing folder below the shared one, remembered as scratch."""
+    path = f"{shared_folder(spark)}/tradewake/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has made. Frames read from them end with it."""
+    cleared = len(_scratch)
+    while _scratch:
+        files.delete(spark, _scratch.pop())
+    return cleared

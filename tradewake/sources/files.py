@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _resolve(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -15,17 +19,57 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """True if the folder holds at least one data file or partition folder."""
+    return any(not name.startswith(("_", ".")) for name in _names(spark, path))
+
+
+def partition_names(spark: SparkSession, table_path: str, column: str) -> list[str]:
+    """Values of a table's partition folders as text, by listing alone; NULL's is left out."""
+    start = f"{column}="
+    found = [unquote(name[len(start):]) for name in _names(spark, table_path)
+             if name.startswith(start)]
+    return sorted(value for value in found if value != NO_VALUE)
+
+
+def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _resolve(spark, path)
-    if not fs.exists(hadoop_path):
-        return False
-    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-    return any(not name.startswith(("_", ".")) for name in names)
+    fs.delete(hadoop_path, True)
 
 
 def drop_partition(spark: SparkSession, table_path: str, column: str, value: object) -> None:
     """Remove one partition folder (of a date or a plain word) of a table."""
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-    fs, hadoop_path = _resolve(spark, f"{table_path}/{column}={name}")
-    fs.delete(hadoop_path, True)
+    delete(spark, f"{table_path}/{column}={NO_VALUE if value is None else value}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under its name at once: no reader sees half of it."""
+    fs, hadoop_path = _resolve(spark, path)
+    _, draft = _resolve(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(hadoop_path, False)
+    if not fs.rename(draft, hadoop_path):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None if it is missing."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
