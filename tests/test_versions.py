@@ -109,6 +109,59 @@ def test_rerun_with_a_corrected_source_replaces_the_versions_it_opened(spark, ro
                 "valid_to") == [(1.0, WHEN[0], WHEN[1]), (2.0, WHEN[1], None)]
 
 
+def stored(spark, rows, path):
+    return rows(snapshot_table.read_versions(spark, path), "product_id", "list_price", "valid_from",
+                "valid_to")
+
+
+def test_empty_source_closes_every_product(spark, rows, tmp_path):
+    path = str(tmp_path / "versions")
+    snapshot_table.take_snapshot(source(spark, (1, "b", "A", 1.0), (2, "b", "A", 2.0)), path, T[0])
+    snapshot_table.take_snapshot(source(spark).limit(0), path, T[1])
+    closed = [(1, 1.0, WHEN[0], WHEN[1]), (2, 2.0, WHEN[0], WHEN[1])]
+    assert stored(spark, rows, path) == closed
+    snapshot_table.take_snapshot(source(spark, (1, "b", "A", 1.0)), path, T[2])
+    assert stored(spark, rows, path) == sorted(
+        [*closed, (1, 1.0, WHEN[2], None)], key=lambda r: tuple(str(v) for v in r))
+
+
+def test_first_snapshot_repeated_with_an_empty_source(spark, rows, tmp_path):
+    path = str(tmp_path / "versions")
+    snapshot_table.take_snapshot(source(spark, (1, "b", "A", 1.0)), path, T[0])
+    snapshot_table.take_snapshot(source(spark).limit(0), path, T[0])
+    assert stored(spark, rows, path) == []
+    snapshot_table.take_snapshot(source(spark).limit(0), path, T[0])
+    snapshot_table.take_snapshot(source(spark, (1, "b", "A", 1.0)), path, T[0])
+    assert stored(spark, rows, path) == [(1, 1.0, WHEN[0], None)]
+
+
+@pytest.mark.parametrize("wrong", [
+    [(1, "b", "A", 9.0), (2, "b", "A", 2.0)], [(2, "b", "A", 2.0)], [],
+    [(1, "b", "B", 1.0), (2, "b", "A", 8.0), (3, "b", "A", 3.0)]])
+def test_repeat_with_the_right_source_equals_one_right_run(spark, rows, tmp_path, wrong):
+    first, right = source(spark, (1, "b", "A", 1.0), (2, "b", "A", 2.0)), \
+        source(spark, (1, "b", "A", 1.0), (2, "b", "A", 3.0))
+    found = []
+    for name, sources in (("once", [right]), ("again", [source(spark, *wrong).limit(9), right])):
+        path = str(tmp_path / name)
+        snapshot_table.take_snapshot(first, path, T[0])
+        for frame in sources:
+            snapshot_table.take_snapshot(frame, path, T[1])
+        found.append(rows(snapshot_table.read_versions(spark, path)))
+    assert found[0] == found[1]
+
+
+def test_snapshot_cut_off_before_folders_are_dropped(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "versions")
+    snapshot_table.take_snapshot(source(spark, (1, "b", "A", 1.0)), path, T[0])
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshot_table.files, "drop_partition", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            snapshot_table.take_snapshot(source(spark).limit(0), path, T[1])
+    snapshot_table.take_snapshot(source(spark).limit(0), path, T[1])
+    assert stored(spark, rows, path) == [(1, 1.0, WHEN[0], WHEN[1])]
+
+
 def test_older_snapshot_is_refused(spark, tmp_path):
     path = str(tmp_path / "versions")
     snapshot_table.take_snapshot(source(spark, (1, "b", "A", 1.0)), path, T[1])

@@ -10,40 +10,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.operators.incremental import write_full, write_partitioned
-from tradewake.operators.scd2 import VERSION_COLUMNS, first_versions, step_versions
+from tradewake.operators.incremental import write_partitioned
+from tradewake.operators.scd2 import VERSION_COLUMNS, step_versions
+from tradewake.session import stored
 from tradewake.sources import files
 
 OPEN = "open"
+SCHEMA = ("product_id bigint, model_name string, brand string, grade string, unit_cost double, "
+          "list_price double, valid_from timestamp, valid_to timestamp")
 
 
 def _folder_name(closed: Column) -> Column:
     return F.coalesce(F.date_format(closed, "yyyyMMdd'T'HHmmss.SSSSSS"), F.lit(OPEN))
 
 
-def _foldered(versions: DataFrame) -> DataFrame:
-    return versions.withColumn("closed_at", _folder_name(F.col("valid_to")))
-
-
-def _folder(spark: SparkSession, path: str, name: Column | str) -> DataFrame:
-    """Versions of one folder; the name is a constant, so other folders are not read."""
-    return spark.read.parquet(path).filter(F.col("closed_at") == name).select(*VERSION_COLUMNS)
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """The table with its declared columns, which an empty folder has too."""
+    if not files.has_data(spark, path):
+        return spark.createDataFrame([], f"{SCHEMA}, closed_at string")
+    return spark.read.schema(f"{SCHEMA}, closed_at string").parquet(path)
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*VERSION_COLUMNS)
+    return _table(spark, path).select(*VERSION_COLUMNS)
 
 
 def take_snapshot(source: DataFrame, path: str, snapshot_ts: str) -> None:
-    """Bring the version table up to ``source`` as of ``snapshot_ts`` (UTC text). Repeatable."""
+    """Bring the version table up to ``source`` as of ``snapshot_ts`` (UTC text).
+
+    A snapshot that was taken before is taken back first: what it closed is open again, what it
+    opened is forgotten. So repeating one, with the same or a corrected source, or after it was
+    interrupted, ends where a single right one ends. An empty source closes every product.
+    """
     spark = source.sparkSession
     at = F.lit(snapshot_ts).cast("timestamp")
-    if not files.has_data(spark, path):
-        write_full(_foldered(first_versions(source, at)), path, "closed_at")
-        return
-    still_open = _folder(spark, path, OPEN)
+    closing = spark.range(1).select(_folder_name(at)).first()[0]
+    table = _table(spark, path)
+    still_open = table.filter(F.col("closed_at") == OPEN).select(*VERSION_COLUMNS)
     if not still_open.filter(F.col("valid_from") > at).isEmpty():
         raise ValueError(f"there are open versions newer than {snapshot_ts}")
-    closed_by_rerun = _folder(spark, path, _folder_name(at))
-    versions = step_versions(still_open, source, at).unionByName(closed_by_rerun)
-    write_partitioned(_foldered(versions), path, "closed_at")
+    reopened = table.filter(F.col("closed_at") == closing).select(*VERSION_COLUMNS) \
+        .withColumn("valid_to", F.lit(None).cast("timestamp"))
+    before = still_open.filter(F.col("valid_from") < at).unionByName(reopened).distinct()
+    after = stored(step_versions(before, source, at)
+                   .withColumn("closed_at", _folder_name(F.col("valid_to"))), "versions")
+    write_partitioned(after, path, "closed_at")
+    filled = {row[0] for row in after.select("closed_at").distinct().collect()}  # two at most
+    for folder in {OPEN, closing} - filled:
+        files.drop_partition(spark, path, "closed_at", folder)
