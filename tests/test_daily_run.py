@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,7 +49,8 @@ def finished(spark, tmp_path_factory):
     made = Lake(spark, str(tmp_path_factory.mktemp("finished")))
     fill(made)
     landed = daily_run.daily_run(made, FIRST)
-    assert set(landed.loaded) == set(RAW) and landed.skipped == []
+    assert landed.rows == {entity: len(data) for entity, data in RAW.items()}
+    assert landed.skipped == []
     return made
 
 
@@ -109,8 +112,27 @@ def test_second_run_loads_the_new_day_and_keeps_old_product_keys(lake, rows):
 
 def test_timing_refreshes_one_partition(finished):
     timing = refresh_timing.time_refresh(finished)
-    assert timing.partitions_rewritten == 1
-    assert timing.delta_rows >= 1000 and timing.fact_rows == 3 + timing.delta_rows
+    assert (timing.fact_rows, timing.delta_rows, timing.partitions_rewritten) == (3, 2, 1)
+
+
+def test_live_orders_fill_in_what_the_feeds_lack(lake, rows):
+    """The feed's row wins over events of its order; of several events the last one counts."""
+    stamp = datetime(2024, 1, 2, 10)
+    events = [("e1", "111-1", 9, stamp, 0), ("e2", "L-1", 1, stamp, 1),
+              ("e3", "L-1", 5, stamp + timedelta(hours=1), 2), ("e4", None, 1, stamp, 3)]
+    lake.spark.createDataFrame(
+        [(0, n, when, e, order, "amazon", "B01", qty, 10.0, "USD", "Shipped", when, when.date())
+         for e, order, qty, when, n in events],
+        "kafka_partition int, kafka_offset long, kafka_ts timestamp, event_id string, "
+        "order_id string, channel string, sku string, qty int, unit_price double, "
+        "currency string, status string, event_ts timestamp, event_date date") \
+        .write.parquet(lake.events_path())
+    daily_run.land_bronze(lake)
+    daily_run.build_silver(lake)
+    assert rows(lake.silver_sales(), "order_id") == [("111-1",), ("111-2",), ("BM-1",)]
+    daily_run.build_silver(lake, with_stream=True)
+    assert rows(lake.silver_sales(), "order_id", "quantity", "revenue_usd") == [
+        ("111-1", 2, 20.0), ("111-2", 1, 5.0), ("BM-1", 1, 108.0), ("L-1", 5, 50.0)]
 
 
 def test_missing_feed_is_skipped_with_a_report(spark, tmp_path):

@@ -105,6 +105,63 @@ def test_checks_find_orphans_nulls_and_lost_references(spark, rows):
         quality.enforce(quality.orphans(tables))
 
 
+def test_amounts_that_sums_would_leave_out_are_reported(spark, rows):
+    tables = {"fct_settlement": spark.createDataFrame(
+        [(1.0, 1.0, 1.0), (1e17, None, 1.0), (1.0, float("nan"), 1.0)],
+        "gross_usd double, fees_usd double, net_usd double")}
+    only = {"fct_settlement": quality.AMOUNTS["fct_settlement"]}
+    assert rows(quality.amounts(tables, only), "subject", "failing") == [
+        ("fct_settlement.fees_usd", 2), ("fct_settlement.gross_usd", 1),
+        ("fct_settlement.net_usd", 0)]
+
+
+def test_join_of_a_hot_order_id_is_split(spark):
+    """One id holds a hundredth of the rows; small limits stand for many rows a task."""
+    limits = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+              "spark.sql.shuffle.partitions": "200", "spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        sales = spark.range(0, 60_000, 1, 24).selectExpr(
+            "if(id % 100 = 0, 'hot', concat('k', id)) order_id", "md5(string(id)) source",
+            "date'2024-01-01' order_date", "sha1(string(id)) canonical_status",
+            "id * 1.37D revenue_usd", "true is_settleable")
+        settled = spark.range(0, 60_000, 1, 4).selectExpr(
+            "concat('k', id) order_ref", "1.0D net_usd", "0.0D fees_usd")
+        joined = gold.mart_reconciliation(sales, settled)
+        qe = joined._jdf.queryExecution()
+        assert len(joined.select("order_id").collect()) == 60_000
+        joined.collect()
+        assert "skew=true" in qe.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_gate_reads_the_sales_fact_three_times(spark, tmp_path):
+    from test_daily_run import FIRST, fill
+
+    from tradewake.plans import daily_run
+    from tradewake.sources.lake import Lake
+    lake = Lake(spark, str(tmp_path))
+    fill(lake)
+    daily_run.daily_run(lake, FIRST, gate=False)
+    seen = []
+
+    class Counting(dict):
+        def __getitem__(self, name):
+            seen.append(name)
+            return super().__getitem__(name)
+
+    report = quality.full_report(Counting(daily_run.gold_tables(lake)))
+    assert seen.count("fct_sales") == 3
+    assert report.filter("NOT passed").isEmpty()
+
+
 def test_parity_reports_missing_empty_and_short_copies(spark, rows):
     two = spark.range(2)
     report = quality.served_parity(

@@ -7,7 +7,6 @@ from datetime import datetime
 import pytest
 
 from tradewake.schemas import MESSAGE
-from tradewake.sources.jdbc import upsert_statement
 from tradewake.sources.messages import from_files
 from tradewake.streaming import orders as live
 
@@ -43,11 +42,10 @@ class Lane:
 
     def aggregate(self, checkpoint="ck_agg"):
         live.ensure_live_table(self.spark, self.table)
-        query = live.start_live_aggregate(
+        return live.drain_live_aggregate(
             from_files(self.spark, self.topic), str(self.root / checkpoint),
-            live.table_upserter(self.table))
-        query.awaitTermination()
-        return query
+            live.table_upserter(self.table),
+            lambda: live.orders_in(live.live_table(self.spark, self.table)))
 
     def minutes(self):
         found = live.live_table(self.spark, self.table) \
@@ -93,9 +91,28 @@ def test_events_beyond_the_watermark_are_dropped_and_counted(lane):
     lane.aggregate()
     # Watermark 12:08. Minute 12:07 ended by then, minute 12:08 did not.
     lane.send(event(2, 1), event(3, 7, 59), event(4, 8, 0))
-    query = lane.aggregate()
+    run = lane.aggregate()
     assert lane.minutes() == [(1, "amazon", 1, 1), (8, "amazon", 1, 1), (10, "amazon", 1, 1)]
-    assert live.dropped_late_rows(query) == 2
+    assert (run.arrived, run.counted, run.late) == (3, 1, 2)
+
+
+def test_late_events_are_counted_beyond_the_reports_a_query_keeps(lane, spark):
+    """One file a micro-batch, more of them than progress reports are remembered."""
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        lane.send(event(0, 50))
+        lane.aggregate()
+        for n in range(1, 9):
+            lane.send(event(n, n), event(100 + n, 50))
+        messages = lane.spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1) \
+            .parquet(lane.topic)
+        run = live.drain_live_aggregate(
+            messages, str(lane.root / "ck_agg"), live.table_upserter(lane.table),
+            lambda: live.orders_in(live.live_table(spark, lane.table)))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert (run.arrived, run.counted, run.late) == (16, 8, 8)
 
 
 def test_replay_into_the_same_table_changes_nothing(lane):
@@ -117,9 +134,3 @@ def test_unknown_quantity_gives_unknown_units(lane):
     lane.aggregate()
     found = live.live_table(lane.spark, lane.table).select("orders", "units").first()
     assert tuple(found) == (1, None)
-
-
-def test_database_upsert_statement():
-    assert upsert_statement("t", "s", ["a", "b", "c"], ["a", "b"]) == (
-        "INSERT INTO t (a, b, c) SELECT a, b, c FROM s ON CONFLICT (a, b) DO UPDATE SET "
-        "c = EXCLUDED.c")

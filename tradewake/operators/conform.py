@@ -44,17 +44,13 @@ class References:
     fx: Lookup
 
 
-def conform_fx(fx: DataFrame) -> DataFrame:
-    return fx.select(F.col("currency").alias("fx_currency"),
-                     parse_day("rate_date").alias("fx_date"), "rate_to_usd")
-
-
 def references(sku_map: DataFrame, status_map: DataFrame, fx: DataFrame,
                budget: int = BROADCAST_BUDGET) -> References:
     frames = {
         "sku_map": sku_map.select("channel", "source_sku", "product_id"),
         "status_map": status_map.select("channel", "raw_status", "canonical_status"),
-        "fx": conform_fx(fx),
+        "fx": fx.select("rate_to_usd", parse_day("rate_date").alias("fx_date"),
+                        F.col("currency").alias("fx_currency")),
     }
     return References(**measure(frames, budget))
 
@@ -120,6 +116,27 @@ def conform_events(events: DataFrame, refs: References) -> DataFrame:
     return _priced_sales(rows, refs.fx)
 
 
+def latest_events(events: DataFrame) -> DataFrame:
+    """One landed event per order: the last by its time, then by its source coordinates.
+
+    An order's events are reduced before the shuffle, so a hot order id arrives as a few rows.
+    """
+    order = ["event_ts", "kafka_ts", "kafka_partition", "kafka_offset"]
+    rest = [c for c in events.columns if c not in (*order, "order_id")]
+    return events.filter(F.col("order_id").isNotNull()).groupBy("order_id") \
+        .agg(F.max(F.struct(*order, *rest)).alias("last")).select("order_id", "last.*")
+
+
+def both_lanes(batch: DataFrame, live: DataFrame) -> DataFrame:
+    """Sales of the batch feeds, and those of the live lane that no feed has brought yet.
+
+    The feeds are the channels' own records and come with the settlements, so an order known
+    from both lanes is taken from the feed.
+    """
+    known = batch.select("order_id").filter(F.col("order_id").isNotNull()).distinct()
+    return batch.unionByName(live.join(known, "order_id", "left_anti").select(*batch.columns))
+
+
 def conform_settlements(raw: DataFrame, fx: Lookup) -> DataFrame:
     """Remittances at their own grain, in USD at the payout day's rate."""
     dated = raw.withColumn("payout_date", utc_day("payout_ts"))

@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewake.functions.money import cents
+from tradewake.session import stored
+
 TOLERANCE = 0.05
 
-# Columns that must be filled, must be unique, and must refer to another table.
+# Columns that must be filled, must be unique, and must refer to another table.
 NOT_NULL: dict[str, tuple[str, ...]] = {
     "dim_channel": ("channel_sk", "channel"),
     "dim_product": ("product_sk", "product_id"),
@@ -35,6 +38,11 @@ REFERENCES: tuple[tuple[str, str, str], ...] = (
 )
 NON_EMPTY = ("fct_sales", "fct_settlement", "mart_reconciliation", "agg_channel_daily",
              "dim_product")
+# Amounts that sums are made of: each must be there and be a whole number of cents in range.
+AMOUNTS: dict[str, tuple[str, ...]] = {
+    "fct_sales": ("revenue_usd",),
+    "fct_settlement": ("gross_usd", "fees_usd", "net_usd"),
+}
 
 Tables = Mapping[str, DataFrame]
 
@@ -59,16 +67,39 @@ def _failing(frame: DataFrame, check: str, subject: str) -> DataFrame:
     return counted.select(*_result(check, subject, F.col("n"), F.col("n") == 0))
 
 
+Counter = tuple[str, str, Column]  # check, subject, number of failing rows as an aggregate
+
+
+def _counted(frame: DataFrame, counters: Sequence[Counter]) -> DataFrame:
+    """Several checks of one table in one pass over it."""
+    names = [f"c{i}" for i in range(len(counters))]
+    counts = frame.agg(*[n.cast("long").alias(c) for c, (_, _, n) in zip(names, counters, strict=True)])
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(subject).alias("subject"), F.col(c).alias("failing"))
+        for c, (check, subject, _) in zip(names, counters, strict=True)]))
+    return counts.select(rows.alias("r")).select("r.*").withColumn("passed", F.col("failing") == 0)
+
+
+def _null_counters(table: str, columns: Sequence[str]) -> list[Counter]:
+    return [("not_null", f"{table}.{c}", F.count_if(F.col(c).isNull())) for c in columns]
+
+
+def _empty_counter(table: str) -> Counter:
+    return "non_empty", table, F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)
+
+
+def _amount_counters(table: str, columns: Sequence[str]) -> list[Counter]:
+    return [("amounts", f"{table}.{c}", F.count_if(cents(c).isNull())) for c in columns]
+
+
 def not_null(tables: Tables, rules: Mapping[str, Sequence[str]] = NOT_NULL) -> DataFrame:
     """All columns of a table in one pass."""
-    parts = []
-    for table, columns in rules.items():
-        counts = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        pairs = F.explode(F.array(*[F.struct(F.lit(f"{table}.{c}").alias("subject"),
-                                             F.col(c).alias("n")) for c in columns]))
-        parts.append(counts.select(pairs.alias("r")).select(
-            *_result("not_null", F.col("r.subject"), F.col("r.n"), F.col("r.n") == 0)))
-    return _stack(parts)
+    return _stack([_counted(tables[t], _null_counters(t, columns)) for t, columns in rules.items()])
+
+
+def amounts(tables: Tables, rules: Mapping[str, Sequence[str]] = AMOUNTS) -> DataFrame:
+    """Amounts that are missing or that sums in cents would silently leave out."""
+    return _stack([_counted(tables[t], _amount_counters(t, columns)) for t, columns in rules.items()])
 
 
 def duplicates(frame: DataFrame, key: str) -> DataFrame:
@@ -82,40 +113,43 @@ def unique(tables: Tables, rules: Mapping[str, str] = UNIQUE) -> DataFrame:
                    for t, k in rules.items()])
 
 
-def relationships(tables: Tables,
-                  rules: Sequence[tuple[str, str, str]] = REFERENCES) -> DataFrame:
-    """Non-NULL foreign keys without a partner.
+def key_uses(tables: Tables, child: str,
+             rules: Sequence[tuple[str, str, str]] = REFERENCES) -> DataFrame:
+    """Rows of a table per combination of its foreign keys, counted in one pass and stored.
 
-    Foreign keys are counted per value before the join, so a key held by a third of the fact
-    arrives at the join as one row.
+    Keys are counted before any join, so one held by a third of the fact arrives as one row.
     """
-    parts = []
-    for child, column, parent in rules:
-        used = tables[child].filter(F.col(column).isNotNull()).groupBy(column) \
-            .agg(F.count(F.lit(1)).alias("n"))
-        lost = used.join(tables[parent].select(column), column, "left_anti") \
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        parts.append(lost.select(*_result("relationships", f"{child}.{column}", F.col("n"),
-                                          F.col("n") == 0)))
-    return _stack(parts)
+    columns = [column for table, column, _ in rules if table == child]
+    return stored(tables[child].groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "key-uses")
+
+
+def _lost(uses: DataFrame, column: str, parent: DataFrame, check: str, subject: str) -> DataFrame:
+    """Rows whose key has no partner; a NULL key in ``uses`` has none."""
+    lost = uses.join(parent.select(column), column, "left_anti") \
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return lost.select(*_result(check, subject, F.col("n"), F.col("n") == 0))
+
+
+def relationships(tables: Tables, rules: Sequence[tuple[str, str, str]] = REFERENCES,
+                  uses: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Non-NULL foreign keys without a partner."""
+    if uses is None:
+        uses = {child: key_uses(tables, child, rules) for child in {r[0] for r in rules}}
+    return _stack([
+        _lost(uses[child].filter(F.col(column).isNotNull()), column, tables[parent],
+              "relationships", f"{child}.{column}") for child, column, parent in rules])
 
 
 def non_empty(tables: Tables, names: Sequence[str] = NON_EMPTY) -> DataFrame:
     """Here ``failing`` is 1 for an empty table."""
-    parts = []
-    for name in names:
-        counted = tables[name].agg(F.count(F.lit(1)).alias("n"))
-        empty = F.when(F.col("n") == 0, 1).otherwise(0).cast("long")
-        parts.append(counted.select(*_result("non_empty", name, empty, F.col("n") > 0)))
-    return _stack(parts)
+    return _stack([_counted(tables[name], [_empty_counter(name)]) for name in names])
 
 
-def orphans(tables: Tables) -> DataFrame:
+def orphans(tables: Tables, uses: DataFrame | None = None) -> DataFrame:
     """Sales whose channel key resolves to nothing, NULL keys included."""
-    used = tables["fct_sales"].groupBy("channel_sk").agg(F.count(F.lit(1)).alias("n"))
-    lost = used.join(tables["dim_channel"].select("channel_sk"), "channel_sk", "left_anti") \
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return lost.select(*_result("orphans", "fct_sales.channel_sk", F.col("n"), F.col("n") == 0))
+    if uses is None:
+        uses = tables["fct_sales"].groupBy("channel_sk").agg(F.count(F.lit(1)).alias("n"))
+    return _lost(uses, "channel_sk", tables["dim_channel"], "orphans", "fct_sales.channel_sk")
 
 
 def one_current_version(tables: Tables) -> DataFrame:
@@ -135,17 +169,19 @@ def gap_tolerance(tables: Tables) -> DataFrame:
                     "mart_reconciliation.gap_usd")
 
 
-def column_tests(tables: Tables) -> DataFrame:
-    return _stack([not_null(tables), unique(tables), relationships(tables)])
-
-
-def business_checks(tables: Tables) -> DataFrame:
-    return _stack([non_empty(tables), orphans(tables), one_current_version(tables),
-                   gap_tolerance(tables)])
-
-
 def full_report(tables: Tables) -> DataFrame:
-    return _stack([column_tests(tables), business_checks(tables)])
+    """Every check. A table is read once for all counts over its rows, once for each key that
+    must be unique, and once for its foreign keys."""
+    in_one_pass = []
+    for table in dict.fromkeys((*NOT_NULL, *NON_EMPTY, *AMOUNTS)):
+        counters = _null_counters(table, NOT_NULL.get(table, ()))
+        counters += [_empty_counter(table)] if table in NON_EMPTY else []
+        counters += _amount_counters(table, AMOUNTS.get(table, ()))
+        in_one_pass.append(_counted(tables[table], counters))
+    uses = {child: key_uses(tables, child) for child in {r[0] for r in REFERENCES}}
+    return _stack([*in_one_pass, unique(tables), relationships(tables, uses=uses),
+                   orphans(tables, uses["fct_sales"]), one_current_version(tables),
+                   gap_tolerance(tables)])
 
 
 def served_parity(gold: Tables, served: Mapping[str, DataFrame | None]) -> DataFrame:

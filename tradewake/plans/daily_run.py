@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tradewake.operators import conform, incremental, quality, snapshot_table
 from tradewake.operators.lookups import Lookup, measure
 from tradewake.plans import gold
 from tradewake.schemas import RAW_SCHEMAS
+from tradewake.sources import files
 from tradewake.sources.lake import Lake
 
 ENTITIES = tuple(RAW_SCHEMAS)
@@ -25,9 +26,15 @@ GOLD_TABLES = ("dim_channel", "dim_product", "dim_date", "fct_sales", "fct_settl
 
 @dataclass
 class Landed:
-    loaded: list[str] = field(default_factory=list)
+    """Entities that were there and their rows, and those that were not."""
+
+    rows: dict[str, int] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
 
+    @property
+    def loaded(self) -> list[str]:
+        return list(self.rows)
+
 
 def land_bronze(lake: Lake, entities: tuple[str, ...] = ENTITIES) -> Landed:
     """Copy every raw entity with its load time; a missing one is reported, not an error."""
@@ -36,17 +43,23 @@ def land_bronze(lake: Lake, entities: tuple[str, ...] = ENTITIES) -> Landed:
         if not lake.exists("raw", entity):
             outcome.skipped.append(entity)
             continue
+        counted = Observation(entity)
         lake.raw(entity).withColumn("_loaded_at", F.current_timestamp()) \
+            .observe(counted, F.count(F.lit(1)).alias("rows")) \
             .write.mode("overwrite").parquet(lake.path("bronze", entity))
-        outcome.loaded.append(entity)
+        outcome.rows[entity] = counted.get["rows"]
     return outcome
 
 
-def build_silver(lake: Lake) -> None:
+def build_silver(lake: Lake, with_stream: bool = False) -> None:
+    """``with_stream`` adds the orders that only the live lane knows (``conform.both_lanes``)."""
     refs = conform.references(*(lake.read("bronze", name)
                                 for name in ("ref_sku_map", "ref_status_map", "ref_fx")))
     sales = conform.conform_sales(lake.read("bronze", "sales_amazon"),
                                   lake.read("bronze", "sales_backmarket"), refs)
+    if with_stream and files.has_data(lake.spark, lake.events_path()):
+        events = conform.latest_events(lake.spark.read.parquet(lake.events_path()))
+        sales = conform.both_lanes(sales, conform.conform_events(events, refs))
     incremental.write_full(sales, lake.path("silver", "sales"), "order_date")
     settlements = conform.conform_settlements(lake.read("bronze", "settlements_oms"), refs.fx)
     incremental.write_full(settlements, lake.path("silver", "settlements"), "payout_date")
@@ -75,18 +88,19 @@ def fact_lookups(lake: Lake) -> dict[str, Lookup]:
 
 
 def _refresh(lake: Lake, table: str, source: DataFrame, day: str, key: str,
-             build: Callable[[DataFrame], DataFrame], clustered: bool, full_refresh: bool,
-             lookback_days: int | None) -> incremental.Replaced | None:
+             channel: str, build: Callable[[DataFrame], DataFrame], clustered: bool,
+             full_refresh: bool, lookback_days: int | None) -> incremental.Replaced | None:
     path = lake.path("gold", table)
     if full_refresh or not lake.exists("gold", table):
         incremental.write_full(build(source), path, day, clustered=clustered)
         return None
-    target = lake.read("gold", table)
+    incremental.finish_replace(lake.spark, path)
+    watermark = incremental.loaded_to(lake.spark, path, day)
     if lookback_days is None:
-        delta = incremental.delta_strict(source, target, day)
+        delta = incremental.delta_strict(source, watermark, day)
     else:
-        delta = incremental.delta_lookback(source, target, day, lookback_days)
-    return incremental.replace_in_table(build(delta), path, key, day)
+        delta = incremental.delta_lookback(source, watermark, day, lookback_days)
+    return incremental.replace_in_table(build(delta), path, key, day, channel)
 
 
 def refresh_fct_sales(lake: Lake, full_refresh: bool = False,
@@ -94,7 +108,7 @@ def refresh_fct_sales(lake: Lake, full_refresh: bool = False,
     """Load new sales days, or rebuild. ``lookback_days`` also reloads that many old days."""
     dims = fact_lookups(lake)
     return _refresh(
-        lake, "fct_sales", lake.silver_sales(), "order_date", "order_id",
+        lake, "fct_sales", lake.silver_sales(), "order_date", "order_id", "source",
         lambda rows: gold.fct_sales(rows, dims["channels"], dims["products"]),
         all(d.fits for d in dims.values()), full_refresh, lookback_days)
 
@@ -104,7 +118,7 @@ def refresh_fct_settlement(lake: Lake, full_refresh: bool = False,
     channels = fact_lookups(lake)["channels"]
     return _refresh(
         lake, "fct_settlement", lake.silver_settlements(), "payout_date", "settlement_id",
-        lambda rows: gold.fct_settlement(rows, channels), channels.fits, full_refresh,
+        "channel", lambda rows: gold.fct_settlement(rows, channels), channels.fits, full_refresh,
         lookback_days)
 
 
@@ -130,10 +144,12 @@ def gold_tables(lake: Lake) -> dict[str, DataFrame]:
 
 
 def daily_run(lake: Lake, snapshot_ts: str, full_refresh: bool = False,
-              lookback_days: int | None = None, gate: bool = True) -> Landed:
+              lookback_days: int | None = None, gate: bool = True,
+              with_stream: bool = False) -> Landed:
     """All stages in order; the first failing one ends the run."""
     outcome = land_bronze(lake)
-    build_silver(lake)
+    build_silver(lake, with_stream)
+    lake.create_staging_views()
     snapshot_products(lake, snapshot_ts)
     build_gold(lake, full_refresh, lookback_days)
     if gate:

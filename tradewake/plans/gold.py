@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tradewake.functions.dates import iso_weekday
 from tradewake.functions.keys import channel_key, product_version_key
 from tradewake.functions.money import cents, share_pct
-from tradewake.operators import skew
 from tradewake.operators.lookups import Lookup
+from tradewake.session import stored
 
 # Display name and marketplace fee rate per channel, settleable states.
 CHANNEL_FACTS = {"amazon": ("Amazon", 0.15), "backmarket": ("BackMarket", 0.12)}
@@ -83,25 +83,21 @@ def fct_settlement(settlements: DataFrame, channels: Lookup) -> DataFrame:
         "gross_usd", "fees_usd", "net_usd")
 
 
-def mart_reconciliation(sales: DataFrame, settlements: DataFrame,
-                        hot_orders: list | None = None) -> DataFrame:
+def mart_reconciliation(sales: DataFrame, settlements: DataFrame) -> DataFrame:
     """Booked revenue against cash received, per fulfilled order.
 
-    Remittances are summed to order grain first, so the join is one to one and its exchange is
-    the one the sum already needed; only the narrow sales side is shuffled on top. Order ids
-    should be unique, but a broken feed may repeat one (or none) for much of its rows, and the
-    gate comes later: such ids are kept out of the shuffle. They are looked for in ``sales``
-    unless the caller knows them.
+    Remittances are summed to order grain first, so the join is one to one. Order ids should be
+    unique, but a broken feed may repeat one (or none) for much of its rows, and the gate comes
+    later. The sums are stored, so that both sides of the join come straight from a shuffle:
+    then adaptive execution splits the partition of any such id, however many rows it has.
     """
-    received = settlements.groupBy("order_ref").agg(
-        F.sum(cents("net_usd")).alias("net"), F.sum(cents("fees_usd")).alias("fees"))
+    received = stored(settlements.filter(F.col("order_ref").isNotNull()).groupBy("order_ref").agg(
+        F.sum(cents("net_usd")).alias("net"), F.sum(cents("fees_usd")).alias("fees")), "received")
     fulfilled = sales.filter("is_settleable").select(
         "order_id", "source", "order_date", "canonical_status", "revenue_usd")
     zero = F.lit(0).cast("decimal(28,2)")
     gap = cents("revenue_usd") - F.coalesce("net", zero) - F.coalesce("fees", zero)
-    if hot_orders is None:
-        hot_orders = skew.hot_keys(fulfilled, "order_id")
-    joined = skew.left_join_unique(fulfilled, received, "order_id", "order_ref", hot_orders)
+    joined = fulfilled.join(received, F.col("order_id") == F.col("order_ref"), "left")
     return joined.select(
         "order_id", "source", "order_date", "canonical_status",
         F.col("revenue_usd").alias("booked_usd"),

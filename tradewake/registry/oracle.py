@@ -271,13 +271,6 @@ _CTES["delta_strict"] = """
     SELECT * FROM fact_sales WHERE order_date > (SELECT d FROM loaded_to)"""
 _CTES["delta_lookback"] = """
     SELECT * FROM fact_sales WHERE order_date >= (SELECT d - 30 FROM loaded_to)"""
-_CTES["next_day"] = """
-    SELECT (SELECT max(order_date) + 1 FROM sales) AS order_date,
-           CAST(1 + i % 3 AS integer) AS quantity,
-           CAST((1 + i % 3) * CAST(list_price AS decimal(16,2)) AS double) AS revenue_usd
-    FROM products, LATERAL (SELECT unnest(generate_series(1, greatest(5, CAST(ceil(1000.0 /
-         (SELECT count(*) FROM products WHERE is_current)) AS bigint)))) AS i)
-    WHERE is_current"""
 
 # --- live aggregate --------------------------------------------------------------------------
 
@@ -300,6 +293,15 @@ def _two_waves(first: str) -> str:
     GROUP BY ALL"""
 
 
+def _late_count(first: str) -> str:
+    """Events per run; late are those of the second whose minute the watermark has passed."""
+    late = (f"NOT ({first}) AND date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <= (SELECT "
+            f"max(event_ts) - INTERVAL 2 MINUTE FROM events_x WHERE readable AND ({first}))")
+    return (f"SELECT CASE WHEN {first} THEN 1 ELSE 2 END AS run, count(*) AS arrived, "
+            f"count(*) FILTER (WHERE NOT ({late})) AS counted, "
+            f"count(*) FILTER (WHERE {late}) AS late FROM events_x WHERE readable GROUP BY 1")
+
+
 # --- checks ----------------------------------------------------------------------------------
 
 def _check(check: str, subject: str, failing: str) -> str:
@@ -356,6 +358,11 @@ def _checks(product: str = "products", fact: str = "fact_sales") -> dict[str, li
         kinds["non_empty"].append(_check(
             "non_empty", name,
             f"(SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {parent(name)})"))
+    kinds["amounts"] = [_check(
+        "amounts", f"{table}.{column}", f"(SELECT count(*) FROM {parent(table)} WHERE "
+        f"TRY_CAST({column} AS decimal(18,2)) IS NULL)")
+        for table, column in (("fct_sales", "revenue_usd"), ("fct_settlement", "gross_usd"),
+                              ("fct_settlement", "fees_usd"), ("fct_settlement", "net_usd"))]
     kinds["orphans"] = [_check(
         "orphans", "fct_sales.channel_sk", f"(SELECT count(*) FROM {fact} f LEFT JOIN channels"
         " c ON f.channel_sk = c.channel_sk WHERE c.channel_sk IS NULL)")]
@@ -422,7 +429,9 @@ def oracle_queries() -> dict[str, str]:
         "staging_sales": "SELECT * FROM sales",
         "staging_settlements": "SELECT * FROM settlements",
         "staging_products": "SELECT * FROM products_1",
-        "conform_fx": "SELECT * FROM fx",
+        "conform_fx": (
+            "SELECT * FROM fx WHERE (fx_currency, fx_date) IN (SELECT CASE source WHEN 'amazon' "
+            "THEN 'USD' ELSE 'EUR' END, order_date FROM sales)"),
         "conform_channel_a": "SELECT * FROM sales_a",
         "conform_channel_b": "SELECT * FROM sales_b",
         "conform_sales": "SELECT * FROM sales",
@@ -468,6 +477,7 @@ def oracle_queries() -> dict[str, str]:
         "realtime_units_series": _live_series("units"),
         "scd2_two_snapshots": "SELECT * FROM versions",
         "scd2_stored": "SELECT * FROM versions",
+        "scd2_corrected_repeat": "SELECT * FROM versions",
         "scd2_current": "SELECT * FROM products WHERE is_current",
         "asof_product_join": (
             "SELECT s.order_id, s.product_id, s.order_date, s.revenue_usd, "
@@ -485,12 +495,11 @@ def oracle_queries() -> dict[str, str]:
         "incremental_settlement": "SELECT * FROM fact_settlement",
         "append_delta_day": (
             "SELECT order_date, count(*) AS orders, CAST(sum(quantity) AS bigint) AS units, "
-            f"{_SUM.format('revenue_usd')} AS revenue_usd FROM (SELECT order_date, quantity, "
-            "revenue_usd FROM sales UNION ALL SELECT order_date, quantity, revenue_usd FROM "
-            "next_day) GROUP BY order_date"),
+            f"{_SUM.format('revenue_usd')} AS revenue_usd FROM sales GROUP BY order_date"),
         "dq_not_null": _union(checks["not_null"]),
         "dq_unique": _union(checks["unique"]),
         "dq_relationships": _union(checks["relationships"]),
+        "dq_amounts": _union(checks["amounts"]),
         "dq_non_empty": _union(checks["non_empty"]),
         "dq_orphans": _union(checks["orphans"]),
         "dq_current_version": _union(checks["one_current_version"]),
@@ -514,8 +523,12 @@ def oracle_queries() -> dict[str, str]:
             "SELECT count(*) AS events, count(DISTINCT CASE WHEN readable THEN event_id END) "
             "AS distinct_ids FROM events_x"),
         "conform_stream_orders": "SELECT * FROM event_sales",
+        "silver_both_lanes": (
+            "SELECT * FROM sales UNION ALL BY NAME SELECT * FROM event_sales WHERE order_id NOT IN "
+            "(SELECT order_id FROM sales)"),
         "stream_orders_1m": _two_waves("early"),
         "stream_late_drop": _two_waves("early AND seq % 7 <> 3"),
+        "stream_late_count": _late_count("early AND seq % 7 <> 3"),
         "stream_rerun_idempotent": (
             "SELECT count(*) AS windows, count(*) AS distinct_windows, CAST(sum(orders) AS "
             "bigint) AS orders, CAST(sum(units) AS bigint) AS units FROM minutes"),

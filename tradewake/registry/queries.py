@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.operators import conform, incremental, quality, scd2, skew, snapshot_table
+from tradewake.functions.dates import parse_day
+from tradewake.operators import conform, incremental, quality, scd2, snapshot_table
 from tradewake.operators.lookups import Lookup, measure, measured
-from tradewake.plans import daily_run, dashboards, gold, publish, refresh_timing
+from tradewake.plans import daily_run, dashboards, gold, publish
 from tradewake.session import prepare, run_folder, stored
-from tradewake.sources.derived_feeds import DerivedFeeds
+from tradewake.registry.derived_feeds import DerivedFeeds
 from tradewake.sources.lake import Lake
 from tradewake.sources.messages import from_files
 from tradewake.streaming import orders as live
@@ -100,16 +101,8 @@ def _fct_settlement(f: DerivedFeeds) -> DataFrame:
     return gold.fct_settlement(f.once(_settlements), channels)
 
 
-def _hot_orders(f: DerivedFeeds) -> list:
-    """Looked for in the feeds' id columns, which is cheaper than in the conformed fact."""
-    ids = f.sales_amazon().select(F.col("amazon_order_id").alias("order_id")) \
-        .unionByName(f.sales_backmarket().select(F.col("bm_order_ref").alias("order_id")))
-    return skew.hot_keys(ids, "order_id")
-
-
 def _reconciliation(f: DerivedFeeds) -> DataFrame:
-    return gold.mart_reconciliation(f.once(_fct_sales), f.once(_fct_settlement),
-                                    f.once(_hot_orders))
+    return gold.mart_reconciliation(f.once(_fct_sales), f.once(_fct_settlement))
 
 
 def _rollup(f: DerivedFeeds) -> DataFrame:
@@ -164,7 +157,13 @@ def staging_products(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def conform_fx(f: DerivedFeeds) -> DataFrame:
-    return conform.conform_fx(f.ref_fx())
+    """The rates that sales are converted with, each currency and day once."""
+    needed = reduce(DataFrame.unionByName, [
+        frame.select(F.col(feed.columns["currency"]).alias("fx_currency"),
+                     parse_day(feed.columns["sold_on"], feed.date_pattern).alias("fx_date"))
+        for feed, frame in ((conform.FEED_A, f.sales_amazon()),
+                            (conform.FEED_B, f.sales_backmarket()))]).distinct()
+    return f.once(_references).fx.frame.join(needed, ["fx_currency", "fx_date"], "left_semi")
 
 
 @_query
@@ -206,9 +205,17 @@ def dim_channel(f: DerivedFeeds) -> DataFrame:
     return f.once(_channels)
 
 
+def _sale_days(f: DerivedFeeds) -> DataFrame:
+    """The days of both feeds: no lookup is needed for them."""
+    return reduce(DataFrame.unionByName, [
+        frame.select(parse_day(feed.columns["sold_on"], feed.date_pattern).alias("order_date"))
+        for feed, frame in ((conform.FEED_A, f.sales_amazon()),
+                            (conform.FEED_B, f.sales_backmarket()))])
+
+
 @_query
 def dim_date(f: DerivedFeeds) -> DataFrame:
-    return gold.dim_date(f.once(_sales))
+    return gold.dim_date(_sale_days(f))
 
 
 @_query
@@ -265,7 +272,7 @@ def return_rate_series(f: DerivedFeeds) -> DataFrame:
 
 def _live_backfill(f: DerivedFeeds) -> DataFrame:
     """The live aggregate computed over all messages as a batch."""
-    return live.per_minute(live.parse(f.order_messages()))
+    return live.per_minute(live.landed(f.order_messages()))
 
 
 @_query
@@ -307,6 +314,19 @@ def scd2_stored(f: DerivedFeeds) -> DataFrame:
     return snapshot_table.read_versions(f.spark, path)
 
 
+@_query
+def scd2_corrected_repeat(f: DerivedFeeds) -> DataFrame:
+    """The second snapshot sees a wrong source, then an empty one, and at last the right one."""
+    path = _new_lake(f, "versions").path("snapshots", "products")
+    before = conform.conform_products(f.ref_product())
+    after = conform.conform_products(f.ref_product_v2())
+    snapshot_table.take_snapshot(before, path, FIRST_SNAPSHOT)
+    wrong = after.withColumn("list_price", F.col("list_price") + F.col("product_id") % 3)
+    for source in (wrong, after.limit(0), after):
+        snapshot_table.take_snapshot(source, path, SECOND_SNAPSHOT)
+    return snapshot_table.read_versions(f.spark, path)
+
+
 @_query
 def asof_product_join(f: DerivedFeeds) -> DataFrame:
     versions = gold.dim_product(_two_snapshots(f, ASOF_FIRST, ASOF_SECOND))
@@ -337,10 +357,11 @@ def _loaded_twice(f: DerivedFeeds, lookback_days: int | None) -> DataFrame:
     dims = f.once(_dimensions)
     old_dims = {**dims, "products": measured(gold.current_products(old))}
     incremental.write_full(_keyed_sales(_first_load(sales), old_dims), path, "order_date")
-    target = f.spark.read.parquet(path)
-    delta = incremental.delta_strict(sales, target, "order_date") if lookback_days is None else \
-        incremental.delta_lookback(sales, target, "order_date", lookback_days)
-    incremental.replace_in_table(_keyed_sales(delta, dims), path, "order_id", "order_date")
+    loaded_to = incremental.loaded_to(f.spark, path, "order_date")
+    delta = incremental.delta_strict(sales, loaded_to, "order_date") if lookback_days is None \
+        else incremental.delta_lookback(sales, loaded_to, "order_date", lookback_days)
+    incremental.replace_in_table(_keyed_sales(delta, dims), path, "order_id", "order_date",
+                                 "source")
     return f.spark.read.parquet(path)
 
 
@@ -374,19 +395,20 @@ def incremental_settlement(f: DerivedFeeds) -> DataFrame:
     facts = f.once(_fct_settlement)
     ends = facts.select(F.date_sub(F.max("payout_date"), FIRST_LOAD_ENDS)).scalar()
     incremental.write_full(facts.filter(F.col("payout_date") <= ends), path, "payout_date")
-    delta = incremental.delta_strict(facts, f.spark.read.parquet(path), "payout_date")
-    incremental.replace_in_table(delta, path, "settlement_id", "payout_date")
+    loaded_to = incremental.loaded_to(f.spark, path, "payout_date")
+    delta = incremental.delta_strict(facts, loaded_to, "payout_date")
+    incremental.replace_in_table(delta, path, "settlement_id", "payout_date", "channel")
     return f.spark.read.parquet(path)
 
 
 @_query
 def append_delta_day(f: DerivedFeeds) -> DataFrame:
-    """Silver per day after one more day was added."""
+    """Silver per day after its last day was held back and then added."""
     path = _new_lake(f, "silver").path("silver", "sales")
     sales = f.once(_sales)
-    incremental.write_full(sales, path, "order_date")
-    day = refresh_timing.next_day_sales(f.spark.read.parquet(path), f.once(_products))
-    incremental.write_partitioned(day, path, "order_date")
+    last = sales.select(F.max("order_date")).first()[0]
+    incremental.write_full(sales.filter(F.col("order_date") < last), path, "order_date")
+    incremental.write_partitioned(sales.filter(F.col("order_date") == last), path, "order_date")
     return f.spark.read.parquet(path).groupBy("order_date").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("quantity").alias("units"),
         F.sum(F.col("revenue_usd").cast("decimal(18,2)")).cast("double").alias("revenue_usd"))
@@ -394,13 +416,37 @@ def append_delta_day(f: DerivedFeeds) -> DataFrame:
 
 # --- quality ---------------------------------------------------------------------------------
 
+_GOLD: dict[str, Callable[[DerivedFeeds], DataFrame]] = {
+    "dim_channel": _channels,
+    "dim_product": _products,
+    "dim_date": lambda f: gold.dim_date(_sale_days(f)),
+    "fct_sales": lambda f: stored(f.once(_fct_sales), "fct-sales"),
+    "fct_settlement": lambda f: stored(f.once(_fct_settlement), "fct-settlement"),
+    "mart_reconciliation": lambda f: gold.mart_reconciliation(
+        _gold(f)["fct_sales"], _gold(f)["fct_settlement"]),
+    "agg_channel_daily": lambda f: gold.agg_channel_daily(
+        _gold(f)["fct_sales"], f.once(_dimensions)["channels"]),
+}
+
+
+class _OnDemand(Mapping):
+    """Gold tables that are planned, and facts stored, only when a check asks for them."""
+
+    def __init__(self, feeds: DerivedFeeds):
+        self._feeds = feeds
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._feeds.once(_GOLD[name])
+
+    def __iter__(self):
+        return iter(_GOLD)
+
+    def __len__(self) -> int:
+        return len(_GOLD)
+
+
 def _gold(f: DerivedFeeds) -> Mapping[str, DataFrame]:
-    return {
-        "dim_channel": f.once(_channels), "dim_product": f.once(_products),
-        "dim_date": gold.dim_date(f.once(_sales)),
-        "fct_sales": f.once(_fct_sales), "fct_settlement": f.once(_fct_settlement),
-        "mart_reconciliation": f.once(_reconciliation), "agg_channel_daily": f.once(_rollup),
-    }
+    return f.once(_OnDemand)
 
 
 @_query
@@ -418,6 +464,11 @@ def dq_relationships(f: DerivedFeeds) -> DataFrame:
     return quality.relationships(_gold(f))
 
 
+@_query
+def dq_amounts(f: DerivedFeeds) -> DataFrame:
+    return quality.amounts(_gold(f))
+
+
 @_query
 def dq_non_empty(f: DerivedFeeds) -> DataFrame:
     return quality.non_empty(_gold(f))
@@ -518,42 +569,66 @@ def conform_stream_orders(f: DerivedFeeds) -> DataFrame:
     return conform.conform_events(_landed(f), f.once(_references))
 
 
-def _drain_aggregate(f: DerivedFeeds, root: str, checkpoint: str) -> str:
+@_query
+def silver_both_lanes(f: DerivedFeeds) -> DataFrame:
+    """Silver sales of a run that takes in the landed events of the live lane."""
+    lake = _fill_raw(f, _new_lake(f, "lanes"))
+    daily_run.land_bronze(lake)
+    f.order_messages().drop("seq").write.parquet(f"{lake.root}/topic")
+    live.start_landing(from_files(f.spark, f"{lake.root}/topic"), lake.events_path(),
+                       f"{lake.root}/checkpoint").awaitTermination()
+    daily_run.build_silver(lake, with_stream=True)
+    return lake.silver_sales()
+
+
+def _drain_aggregate(f: DerivedFeeds, root: str, checkpoint: str) -> live.AggregateRun:
     table = f"{root}/orders_1m"
     live.ensure_live_table(f.spark, table)
-    live.start_live_aggregate(from_files(f.spark, f"{root}/topic"), f"{root}/{checkpoint}",
-                              live.table_upserter(table)).awaitTermination()
-    return table
+    return live.drain_live_aggregate(
+        from_files(f.spark, f"{root}/topic"), f"{root}/{checkpoint}", live.table_upserter(table),
+        lambda: live.orders_in(live.live_table(f.spark, table)))
 
 
-def _aggregated(f: DerivedFeeds, first: Column) -> tuple[str, str]:
+def _aggregated(f: DerivedFeeds, first: Column) -> tuple[str, list[live.AggregateRun]]:
     root = run_folder(f.spark, "stream")
+    runs = []
     for wave in _wave(f, first):
         wave.write.mode("append").parquet(f"{root}/topic")
-        table = _drain_aggregate(f, root, "checkpoint")
-    return root, table
+        runs.append(_drain_aggregate(f, root, "checkpoint"))
+    return root, runs
+
+
+def _live(f: DerivedFeeds, root: str) -> DataFrame:
+    return live.live_table(f.spark, f"{root}/orders_1m").drop("updated_at", "window_date")
 
 
 @_query
 def stream_orders_1m(f: DerivedFeeds) -> DataFrame:
-    _, table = _aggregated(f, _early(f))
-    return live.live_table(f.spark, table).drop("updated_at", "window_date")
+    return _live(f, _aggregated(f, _early(f))[0])
 
 
 @_query
 def stream_late_drop(f: DerivedFeeds) -> DataFrame:
     """Every seventh early event arrives with the second wave: mostly beyond the watermark."""
-    _, table = _aggregated(f, _early(f) & (F.col("seq") % 7 != 3))
-    return live.live_table(f.spark, table).drop("updated_at", "window_date")
+    return _live(f, _aggregated(f, _early(f) & (F.col("seq") % 7 != 3))[0])
+
+
+@_query
+def stream_late_count(f: DerivedFeeds) -> DataFrame:
+    """Per run: events with a time, those counted in a minute, and those that came too late."""
+    _, runs = _aggregated(f, _early(f) & (F.col("seq") % 7 != 3))
+    return f.spark.createDataFrame(
+        [(n, run.arrived, run.counted, run.late) for n, run in enumerate(runs, 1)],
+        "run int, arrived bigint, counted bigint, late bigint")
 
 
 @_query
 def stream_rerun_idempotent(f: DerivedFeeds) -> DataFrame:
     """Drain again with nothing new, then replay everything under a new checkpoint."""
-    root, table = _aggregated(f, _early(f))
+    root, _ = _aggregated(f, _early(f))
     _drain_aggregate(f, root, "checkpoint")
     _drain_aggregate(f, root, "replay")
-    return live.live_table(f.spark, table).agg(
+    return _live(f, root).agg(
         F.count(F.lit(1)).alias("windows"),
         F.count_distinct("window_start", "channel").alias("distinct_windows"),
         F.sum("orders").alias("orders"), F.sum("units").alias("units"))

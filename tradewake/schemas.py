@@ -20,6 +20,7 @@ def _struct(**fields) -> StructType:
 
 _TEXT, _INT, _LONG, _DOUBLE = StringType(), IntegerType(), LongType(), DoubleType()
 
+# Names, types and order of the feeds' columns.
 RAW_SCHEMAS: dict[str, StructType] = {
     "sales_amazon": _struct(
         amazon_order_id=_TEXT, asin=_TEXT, qty=_INT, item_price=_DOUBLE, currency=_TEXT,
@@ -39,11 +40,14 @@ RAW_SCHEMAS: dict[str, StructType] = {
     "ref_status_map": _struct(channel=_TEXT, raw_status=_TEXT, canonical_status=_TEXT),
 }
 
-# JSON payload of one live order event.
+# The JSON payload of one live order event.
 ORDER_EVENT = _struct(
     event_id=_TEXT, order_id=_TEXT, channel=_TEXT, sku=_TEXT, qty=_INT, unit_price=_DOUBLE,
     currency=_TEXT, status=_TEXT, event_ts=_TEXT)
 
+# Which field of a message becomes which source coordinate of the landed event.
+LINEAGE = {"partition": "kafka_partition", "offset": "kafka_offset", "timestamp": "kafka_ts"}
+
 # What a message source hands over, whether it is a Kafka topic or a folder of files.
 MESSAGE = StructType([
     StructField("key", BinaryType()),
@@ -53,6 +57,7 @@ MESSAGE = StructType([
     StructField("timestamp", TimestampType()),
 ])
 
+# The conformed contracts.
 SALES_COLUMNS = ("order_id", "source", "product_id", "quantity", "unit_price",
                  "canonical_status", "order_date", "revenue_usd")
 SETTLEMENT_COLUMNS = ("settlement_id", "channel", "order_ref", "payout_date",

@@ -23,6 +23,10 @@ class Lake:
         suffix = ".parquet" if zone in ("raw", "bronze") else ""
         return f"{self.root}/{zone}/{table}{suffix}"
 
+    def events_path(self) -> str:
+        """Where the live lane lands its order events."""
+        return f"{self.root}/bronze_stream/orders"
+
     def exists(self, zone: str, table: str) -> bool:
         return files.exists(self.spark, self.path(zone, table))
 
