@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.llm.flat import ALPHANUMERIC, LOWER, mix, row_ranges, shingles, text_buffers, words
-from tradewake.llm.frames import doc_texts, fingerprint, map_batches, rows_of
+from tradewake.llm.frames import bitmap, doc_texts, fingerprint, map_batches, may_be, rows_of
 from tradewake.session import stored
 
 WINDOW = 10
@@ -60,20 +60,10 @@ def _windows(batch: pa.RecordBatch, window: int):
 
 
 def _bitmaps(tokens: DataFrame) -> dict[int, np.ndarray]:
-    """A bitmap of the tokens of each size; the driver gets BITS / 64 numbers a size at most."""
-    bit = F.col("token").bitwiseAND(BITS - 1)
-    parts = tokens.groupBy("token_size", F.shiftright(bit, 6).alias("part")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
-                                 bit.bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
-    maps: dict[int, np.ndarray] = {}
-    for size, part, bits in zip(*(parts.column(c).to_pylist() for c in range(3)), strict=True):
-        maps.setdefault(size, np.zeros(BITS // 64, np.int64))[part] = bits
-    return maps
-
-
-def _may_be(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    bit = tokens & (BITS - 1)
-    return (bitmap[bit >> 6] >> (bit & 63)) & 1 == 1
+    """A bitmap of the tokens of each size that occurs; there are TOKEN_WORDS sizes."""
+    sizes = [row[0] for row in tokens.select("token_size").distinct().collect()]
+    return {size: bitmap(tokens.filter(F.col("token_size") == size).select("token"), BITS)
+            for size in sizes}
 
 
 def _count(batch: pa.RecordBatch, maps):
@@ -83,7 +73,7 @@ def _count(batch: pa.RecordBatch, maps):
                                      offsets[first:last + 1] - offsets[first], ALPHANUMERIC)
         for size, bitmap in maps.value.items():
             tokens, _ = _tokens(hashes, counts, size)
-            found, times = np.unique(tokens[_may_be(bitmap, tokens)], return_counts=True)
+            found, times = np.unique(tokens[may_be(bitmap, tokens)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times)],
                                              names=["token", "times"])
 
@@ -106,7 +96,7 @@ def _probe(batch: pa.RecordBatch, maps, window: int):
             [None] * len(counts), [None] * len(counts)
         for size, bitmap in maps.value.items():
             tokens, positions = _tokens(hashes, counts, size)
-            hit = _may_be(bitmap, tokens)
+            hit = may_be(bitmap, tokens)
             tokens, positions = tokens[hit], positions[hit]
             doc = np.searchsorted(finish, positions, "right")
             left = np.maximum(positions - window + 1, begin[doc])

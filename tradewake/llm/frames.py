@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,3 +75,28 @@ def identified(docs: DataFrame) -> DataFrame:
         return texts.select(F.col("doc_id").alias("row"), "doc_id", "text")
     return stored(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
                   "identified")
+
+
+def list_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a list column without nulls, as arrays."""
+    return column.offsets.to_numpy(), column.values.to_numpy()
+
+
+def bitmap(numbers: DataFrame, bits: int) -> np.ndarray:
+    """Which of ``bits`` places, a power of two, the 64-bit numbers of a one-column frame hit.
+
+    Its size is fixed: the driver gets at most one number for every 64 places.
+    """
+    place = F.col(numbers.columns[0]).bitwiseAND(bits - 1)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    parts = numbers.groupBy(F.shiftright(place, 6).alias("part")).agg(F.bit_or(one).alias("bits")) \
+        .toArrow()
+    found = np.zeros(bits // 64, np.int64)
+    found[parts.column(0).to_numpy()] = parts.column(1).to_numpy()
+    return found
+
+
+def may_be(found: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """False for numbers that surely are not among those of the bitmap."""
+    place = numbers & (len(found) * 64 - 1)
+    return (found[place >> 6] >> (place & 63)) & 1 == 1
