@@ -72,11 +72,18 @@ def snapshot_products(lake: Lake, snapshot_ts: str) -> None:
                                  snapshot_ts)
 
 
+def _sale_days(lake: Lake) -> DataFrame:
+    """First and last day of Silver sales, from the folder names."""
+    days = files.partition_names(lake.spark, lake.path("silver", "sales"), "order_date")
+    return lake.spark.createDataFrame([(d,) for d in days[:1] + days[-1:]], "d string") \
+        .select(F.to_date("d").alias("order_date"))
+
+
 def build_dimensions(lake: Lake) -> None:
     sales = lake.silver_sales()
     versions = snapshot_table.read_versions(lake.spark, lake.path("snapshots", "products"))
     incremental.write_full(gold.dim_channel(sales), lake.path("gold", "dim_channel"))
-    incremental.write_full(gold.dim_date(sales), lake.path("gold", "dim_date"))
+    incremental.write_full(gold.dim_date(_sale_days(lake)), lake.path("gold", "dim_date"))
     incremental.write_full(gold.dim_product(versions), lake.path("gold", "dim_product"))
 
 
