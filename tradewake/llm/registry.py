@@ -76,7 +76,8 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return passages.repeated_passages(table(spark, folder, "documents"))
+    """The documents that share passages with others, and which."""
+    return passages.repeated_passages(table(spark, folder, "documents")).filter("shared")
 
 
 OP4_SQL = r"""
