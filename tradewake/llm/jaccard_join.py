@@ -36,11 +36,20 @@ from tradewake.llm.frames import doc_texts, fingerprint, map_batches, rows_of, s
 from tradewake.session import stored
 
 BATCH_BYTES = 1 << 20
-# The sketch has BUCKETS counters, added up in PARTS pieces.
-BUCKETS, PARTS = 1 << 18, 64
+# The sketch has 2 ** BUCKET_BITS counters, added up in PARTS pieces.
+BUCKET_BITS, PARTS = 18, 64
+BUCKETS = 1 << BUCKET_BITS
 # A shingle that occurs more often has its list cut into pieces; each piece has its own leader.
 LONG_LIST, PIECES = 1 << 22, 64
-BLOCK = 256
+# Shingles of a block of sets that are compared with another block in one task.
+BLOCK = 1 << 20
+# Prefix shingles that a set shares with a leader, or with sets of a hub, before it is compared with it;
+# fewer for short prefixes. A matter of effort: pairs not tried here are found in step 2.
+TRIED_FROM, TRIED_AGAIN_FROM = 4, 2
+# Linked sets share at least this many prefix shingles, where prefixes are that much longer: one, and
+# one more for every SHARED_PER shingles of the smaller set up to MOST_SHARED. So large sets that
+# share a few shingles by chance are never compared, and small ones do not reach common shingles.
+SHARED_PER, MOST_SHARED = 64, 4
 
 
 def sets_of(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -60,13 +69,13 @@ def set_id(tokens: np.ndarray) -> bytes:
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(64 - 18)).astype(np.int64)
+    return (tokens >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def _describe(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """A row for every document, and the task's part of the sketch."""
     names = ["doc_id", "key_text", "n", "sid", "part", "counts"]
-    sketch = np.zeros(BUCKETS, np.int64)
+    sketch = np.zeros(BUCKETS, np.int64)  # a task's own counts are small
     for batch in batches:
         n, sid = [], []
         for _, tokens in sets_of(batch.column(2), size):
@@ -77,7 +86,7 @@ def _describe(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()),
              pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
-    pieces = [p.tobytes() for p in sketch.reshape(PARTS, -1)]
+    pieces = [p.tobytes() for p in sketch.astype(np.int32).reshape(PARTS, -1)]
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()), pa.nulls(PARTS, pa.int64()),
          pa.nulls(PARTS, pa.binary()), pa.array(range(PARTS), pa.int32()),
@@ -88,7 +97,7 @@ def _add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            values = np.frombuffer(counts.as_buffer(), np.int64)
+            values = np.frombuffer(counts.as_buffer(), np.int32).astype(np.int64)
             sums[part] = sums[part] + values if part in sums else values
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
@@ -117,7 +126,7 @@ def _prefixes(batches: Iterable[pa.RecordBatch], size: int, num: int, den: int,
                 continue
             seen.add(own)
             often = counts[_bucket(tokens)]
-            length = len(tokens) + (-num * len(tokens)) // den + 1
+            length = len(tokens) + (-num * len(tokens)) // den + min(1 + len(tokens) // SHARED_PER, MOST_SHARED)
             order = np.lexsort((tokens, often))[:length]
             token.append(tokens[order].view(np.int64))
             salt.append(np.where(often[order] > LONG_LIST, own[0] % PIECES, 0))
@@ -132,13 +141,20 @@ def _prefixes(batches: Iterable[pa.RecordBatch], size: int, num: int, den: int,
                 names=["token", "salt", "sid", "n", "pos"])
 
 
-def _token_sets(batch: pa.RecordBatch, size: int):
-    sid, sets = [], []
-    for _, tokens in sets_of(batch.column(0), size):
-        sid.append(set_id(tokens))
-        sets.append(tokens.view(np.int64))
+def _overlaps(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Set sizes and overlap of pairs of texts; a text that follows itself is taken apart once."""
+    n, m, overlap, last, other = [], [], [], None, None
+    for (_, own), b, text in zip(sets_of(batch.column(2), size), batch.column(1).to_pylist(),
+                                 batch.column(3), strict=True):
+        if b != last:
+            (_, other), = sets_of(pa.array([text.as_py()]), size)
+            last = b
+        n.append(len(own))
+        m.append(len(other))
+        overlap.append(len(np.intersect1d(own, other, True)))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(sid, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["sid", "tokens"])
+        [batch.column(0), batch.column(1), *(pa.array(v, pa.int32()) for v in (n, m, overlap))],
+        names=["a", "b", "n", "m", "overlap"])
 
 
 def derived_links(hub: np.ndarray, outer: list[np.ndarray], members: list[np.ndarray],
@@ -160,8 +176,8 @@ def derived_links(hub: np.ndarray, outer: list[np.ndarray], members: list[np.nda
 
     def counted(wanted: np.ndarray, low: int, high: int) -> np.ndarray:
         at = np.searchsorted(vocabulary, wanted)
-        at = at[at < len(vocabulary)]
-        at = at[np.isin(vocabulary[at], wanted)]
+        at[at == len(vocabulary)] = 0
+        at = at[vocabulary[at] == wanted]
         begin = np.searchsorted(entries, at * m + low)
         length = np.searchsorted(entries, at * m + high) - begin
         ends = np.cumsum(length)
@@ -198,15 +214,15 @@ def derived_links(hub: np.ndarray, outer: list[np.ndarray], members: list[np.nda
     return links
 
 
-def _within_hub(table: pa.Table, num: int, den: int) -> pa.Table:
-    rows = table.select(["sid", "role", "tokens"]).to_pylist()
-    of = {role: [(r["sid"], np.array(r["tokens"], np.int64).view(np.uint64)) for r in rows if r["role"] == role]
-          for role in (0, 1, 2)}
+def _within_hub(table: pa.Table, size: int, num: int, den: int) -> pa.Table:
+    sids, roles = table.column("sid").to_pylist(), table.column("role").to_pylist()
+    sets = [tokens for _, tokens in sets_of(table.column("text").combine_chunks(), size)]
+    hub, outer, members = ([i for i, own in enumerate(roles) if own == role] for role in (0, 1, 2))
     a, b = [], []
-    if of[0] and of[1] and of[2]:
-        for i, j in derived_links(of[0][0][1], [t for _, t in of[1]], [t for _, t in of[2]], num, den):
-            a.append(of[1][i][0])
-            b.append(of[2][j][0])
+    if hub and outer and members:
+        for i, j in derived_links(sets[hub[0]], [sets[i] for i in outer], [sets[j] for j in members], num, den):
+            a.append(sids[outer[i]])
+            b.append(sids[members[j]])
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
@@ -215,12 +231,12 @@ def _similar(n: Column, m: Column, overlap: Column, num: int, den: int) -> Colum
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id (and key_text): one row per row of ``docs``.
+    """doc_id, n_shingles, component_id, first, key_text: one row per row of ``docs``.
 
     A document's set are its distinct shingles of ``size`` words, lower-cased in A-Z; with fewer
     words the whole sequence is the only one. Documents link when the overlap of their sets is at
     least ``num / den`` of their union. ``component_id`` is the smallest doc_id reachable by links,
-    itself included. Null and empty texts and texts without words have no shingles, link with
+    itself included; ``first`` marks the row it names. Null and empty texts and texts without words have no shingles, link with
     nothing and are their own component. Repeated rows are documents with equal sets; a null
     doc_id is never the smallest. An empty table gives an empty result; other columns are not
     looked at. Shingles are compared as 64-bit hashes.
@@ -245,52 +261,89 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
         .withColumn("leader", F.min(F.struct("sid", "n")).over(same_list))
         .filter("members > 1").select("token", "sid", "n", "pos", "leader"), "lists")
 
-    near = F.least("n", "leader.n") * 2 >= F.greatest("n", "leader.n")
-    to_leader = stored(lists.filter(near & (F.col("sid") != F.col("leader.sid"))).select(
-        F.col("sid").alias("a"), F.col("leader.sid").alias("b")).distinct(), "to-leader")
+    def must_share(n: Column) -> Column:
+        return F.ceil(n * num / den)
+
+    # Which leaders are tried is a matter of effort alone; step 2 misses none that was not tried.
+    def shared(n: Column) -> Column:
+        return F.least(1 + F.floor(n / SHARED_PER), F.lit(MOST_SHARED))
+
+    m = F.col("leader.n")
+    prefix = F.least("n", m) - must_share(F.least("n", m)) + shared(F.least("n", m))
+    to_leader = stored(
+        lists.filter((F.col("sid") != F.col("leader.sid")) & (F.least("n", m) * 2 >= F.greatest("n", m)))
+        .groupBy(F.col("sid").alias("a"), F.col("leader.sid").alias("b"), prefix.alias("prefix"))
+        .agg(F.count("*").alias("common")).filter(f"3 * common >= least(prefix, {3 * TRIED_FROM})")
+        .select("a", "b"), "to-leader")
 
-    needed = lists.select("sid").distinct()
     first = rows.groupBy("sid").agg(F.min(F.struct("doc_id", "key_text")).alias("one"))
-    keys = stored(first.join(needed, "sid", "left_semi").select(
-        F.col("one.doc_id").alias("key_id"), F.col("one.key_text").alias("key_text")), "set-keys")
-    sets = stored(map_batches(
-        rows_of(docs, sized(keys), "left_semi").select(F.coalesce("text", F.lit("")).alias("text")),
-        lambda batch: _token_sets(batch, size), "sid binary, tokens array<long>")
-        .dropDuplicates(["sid"]), "sets")
-
-    def compared(pairs: DataFrame) -> DataFrame:
+
+    def class_texts(pairs: DataFrame) -> DataFrame:
+        """(sid, text) of the classes in pairs (a, b): texts compress better than shingles."""
+        needed = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select("b")).distinct()
+        keys = stored(first.join(needed, "sid", "left_semi").select(
+            "sid", F.col("one.doc_id").alias("key_id"), F.col("one.key_text").alias("key_text")),
+            "class-keys")
+        same = docs["doc_id"].cast("long").eqNullSafe(keys["key_id"]) & \
+            (fingerprint(docs["text"]) == keys["key_text"])
+        return stored(docs.join(sized(keys), same).select(keys["sid"], docs["text"]).dropDuplicates(["sid"]),
+                      "class-texts")
+
+    def compared(pairs: DataFrame, own: DataFrame) -> DataFrame:
         """(a, b, n, m, overlap) of pairs of classes."""
-        one = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x"))
-        two = sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y"))
-        return pairs.join(one, "a").join(two, "b").select(
-            "a", "b", F.size("x").alias("n"), F.size("y").alias("m"),
-            F.size(F.array_intersect("x", "y")).alias("overlap"))
+        one = own.select(F.col("sid").alias("a"), F.col("text").alias("x"))
+        two = own.select(F.col("sid").alias("b"), F.col("text").alias("y"))
+        return map_batches(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y"),
+                           lambda batch: _overlaps(batch, size),
+                           "a binary, b binary, n int, m int, overlap int")
 
+    own_texts = class_texts(to_leader)
     linked = _similar(F.col("n"), F.col("m"), F.col("overlap"), num, den)
-    star = stored(compared(to_leader), "star").withColumn("linked", linked)
-    hubs = stored(star.filter("3 * overlap >= n + m").groupBy(F.col("a").alias("sid"))
-                  .agg(F.min(F.struct("b", "linked")).alias("best"))
-                  .select("sid", F.col("best.b").alias("hub"), F.col("best.linked").alias("inner")),
-                  "hubs")
-
-    placed = lists.join(hubs, "sid", "left").select(
-        "token", "sid", "n", "pos", F.coalesce("hub", "sid").alias("hub"))
-    mixed = placed.groupBy("token").agg(F.min("hub").alias("low"), F.max("hub").alias("high")) \
-        .filter("low <> high").select("token")
-    placed = stored(placed.join(mixed, "token", "left_semi"), "placed")
+
+    def found_hubs(star: DataFrame) -> DataFrame:
+        return star.filter("3 * overlap >= n + m").groupBy(F.col("a").alias("sid"), "n") \
+            .agg(F.min(F.struct("b", "linked")).alias("best")) \
+            .select("sid", "n", F.col("best.b").alias("hub"), F.col("best.linked").alias("inner"))
+
+    def with_hubs(hubs: DataFrame) -> DataFrame:
+        """The list entries with their set's hub, itself if it has none, where hubs meet."""
+        placed = lists.join(hubs.select("sid", "hub"), "sid", "left").select(
+            "token", "sid", "n", "pos", F.coalesce("hub", "sid").alias("hub"))
+        mixed = placed.groupBy("token", "hub").agg(F.count("*").alias("sets")).groupBy("token") \
+            .agg(F.count("*").alias("hubs"), F.max(F.struct("sets", "hub")).alias("main")) \
+            .filter("hubs > 1").select("token", F.col("main.hub").alias("main"))
+        return placed.join(mixed, "token")
+
+    star = stored(compared(to_leader, own_texts), "star").withColumn("linked", linked)
+    hubs = stored(found_hubs(star), "hubs")
+    # A set without hub is also tried with the main hub of its neighbours, which its lists may lack.
+    again = stored(
+        with_hubs(hubs).filter((F.col("hub") == F.col("sid")) & (F.col("main") != F.col("sid")))
+        .groupBy(F.col("sid").alias("a"), F.col("main").alias("b")).agg(F.count("*").alias("common"))
+        .filter(F.col("common") >= TRIED_AGAIN_FROM).select("a", "b")
+        .join(hubs.select(F.col("hub").alias("b")).distinct(), "b", "left_semi")
+        .join(to_leader, ["a", "b"], "left_anti"), "tried-again")
+    star = star.unionByName(stored(compared(again, class_texts(again)), "star-again")
+                            .withColumn("linked", linked))
+    hubs = stored(found_hubs(star), "hubs")
+    placed = stored(with_hubs(hubs).drop("main"), "placed")
     other = placed.select("token", *(F.col(c).alias(f"{c}2") for c in ("sid", "n", "pos", "hub")))
     rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + F.least("pos", "pos2")
-    across = placed.join(other, "token").filter(
-        (F.col("sid") < F.col("sid2")) & (F.col("hub") != F.col("hub2")) &
-        (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) &
-        _similar(F.col("n"), F.col("n2"), rest, num, den)) \
-        .select(F.col("sid").alias("a"), F.col("sid2").alias("b")).distinct()
-    crossing = compared(across).filter(linked)
-
+    across = stored(
+        placed.join(other, "token").filter(
+            (F.col("sid") < F.col("sid2")) & (F.col("hub") != F.col("hub2")) &
+            (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) &
+            _similar(F.col("n"), F.col("n2"), rest, num, den))
+        .groupBy(F.col("sid").alias("a"), F.col("sid2").alias("b"), F.least("n", "n2").alias("smaller"))
+        .agg(F.count("*").alias("common")).filter(F.col("common") >= shared(F.col("smaller")))
+        .select("a", "b"), "across")
+    crossing = compared(across, class_texts(across)).filter(linked)
+
+    outer_size = F.when(~F.col("inner"), F.col("n")).otherwise(0)
     counted = stored(hubs.groupBy("hub").agg(
-        F.count("*").alias("members"), F.sum((~F.col("inner")).cast("int")).alias("outer"))
-        .filter("outer > 0").select("hub", *(F.ceil(F.col(c) / BLOCK).cast("int").alias(c)
-                                             for c in ("members", "outer"))), "hub-sizes")
+        F.sum("n").alias("members"), F.sum(outer_size).alias("outer")).filter("outer > 0")
+        .select("hub", *(F.ceil(F.col(c) / BLOCK).cast("int").alias(c)
+                         for c in ("members", "outer"))), "hub-sizes")
     member = hubs.join(counted, "hub")
     block = F.pmod(F.xxhash64("sid"), F.col("members")).cast("int")
     outer_block = F.pmod(F.xxhash64("sid"), F.col("outer")).cast("int")
@@ -301,19 +354,36 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
             "hub", "sid", F.lit(1).alias("role"), outer_block.alias("i"), all_members.alias("j"))) \
         .unionByName(counted.withColumn("i", all_outer).select(
             "hub", F.col("hub").alias("sid"), F.lit(0).alias("role"), "i", all_members.alias("j")))
-    inside = cells.join(sets, "sid").groupBy("hub", "i", "j").applyInArrow(
-        lambda table: _within_hub(table, num, den), "a binary, b binary")
+    texts_of_hubs = class_texts(hubs.join(counted, "hub", "left_semi").select(
+        F.col("sid").alias("a"), F.col("hub").alias("b")))
+    inside = cells.join(texts_of_hubs, "sid").groupBy("hub", "i", "j").applyInArrow(
+        lambda table: _within_hub(table, size, num, den), "a binary, b binary")
 
     links = star.filter("linked").select("a", "b") \
         .unionAll(crossing.select("a", "b")).unionAll(inside)
     joined = components(links)
-    smallest = rows.groupBy("sid").agg(F.min("doc_id").alias("doc"))
-    whole = joined.join(smallest.withColumnRenamed("sid", "node"), "node")
-    named = whole.groupBy("label").agg(F.min("doc").alias("least"))
+    # Of a group the row with the smallest id stands for it; a null id comes after all others.
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key_text")
+    smallest = rows.groupBy("sid").agg(F.min(own).alias("own"))
+    named = joined.join(smallest.withColumnRenamed("sid", "node"), "node") \
+        .groupBy("label").agg(F.min("own").alias("least"))
     by_set = stored(smallest.join(
         joined.join(named, "label").select(F.col("node").alias("sid"), "least"), "sid", "left")
-        .select("sid", F.coalesce("least", "doc").alias("component")), "by-set")
+        .select("sid", F.coalesce("least", "own").alias("least")), "by-set")
+    empty = F.col("n") == 0
     return rows.join(by_set, "sid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        "key_text")
+        F.when(empty, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+        (empty | (F.col("doc_id").eqNullSafe(F.col("least.doc_id"))
+                  & (F.col("key_text") == F.col("least.key_text")))).alias("first"), "key_text")
+
+
+def drop_near_copies(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``docs`` with one row of every component, all columns kept.
+
+    The row with the component's smallest doc_id stays, or of several with that id the one with the
+    smallest fingerprint; rows equal in id and text stay together. Texts without words stay.
+    """
+    out = stored(jaccard_components(docs, size, num, den).filter("NOT first")
+                 .select(F.col("doc_id").alias("key_id"), "key_text").distinct(), "near-copies")
+    return rows_of(docs, out, "left_anti")
