@@ -37,7 +37,7 @@ from tradewake.session import stored
 
 BATCH_BYTES = 1 << 20
 # The sketch has 2 ** BUCKET_BITS counters, added up in PARTS pieces.
-BUCKET_BITS, PARTS = 18, 64
+BUCKET_BITS, PARTS = 20, 64
 BUCKETS = 1 << BUCKET_BITS
 # A shingle that occurs more often has its list cut into pieces; each piece has its own leader.
 LONG_LIST, PIECES = 1 << 22, 64
