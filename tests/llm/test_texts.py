@@ -167,6 +167,52 @@ def test_passages_of_odd_rows(odd):
     assert not any(r["shared"] for r in found)
 
 
+def found_by_id(spark, rows):
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    return {r["doc_id"]: r for r in passages.repeated_passages(docs).collect()}
+
+
+def test_passage_whose_seeds_all_occur_earlier_elsewhere(spark):
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(30_000)]
+    halves, scattered = draw.sample(words, 60), draw.sample(words, 60)
+    rows = [draw.sample(words, 100) for _ in range(20)]
+    rows[0][10:10], rows[1][40:40] = halves[:30], halves[30:]
+    for i in range(56):  # every run of five words of the other passage, in many documents
+        rows[2 + i % 10] += scattered[i:i + 5] + draw.sample(words, 9)
+    for i in (14, 17):
+        rows[i][50:50] = halves
+        rows[i] += scattered
+    found = found_by_id(spark, rows)
+    assert {i for i, r in found.items() if r["shared"]} == {14, 17}
+    assert [(p["of_doc"], p["end"] - p["start"]) for p in found[17]["passages"]] == [(14, 60), (14, 60)]
+
+
+def test_long_equal_runs_are_found_whatever_occurs_earlier(spark):
+    """Texts cut from few sentences: against a plain search for runs of equal words."""
+    draw = random.Random(9)
+    sentences = [draw.sample([f"v{i}" for i in range(400)], draw.randrange(4, 16)) for _ in range(60)]
+    rows = [sum((draw.choice(sentences) for _ in range(25)), []) for _ in range(50)]
+    for i in range(25, 50):
+        j, a = draw.randrange(i), draw.randrange(60)
+        rows[i][30:30] = rows[j][a:a + draw.randrange(49, 80)]
+    found, sure = found_by_id(spark, rows), passages.LEAST_WORDS + passages.SEED_WINDOW - 1
+    seen, lost = set(), 0
+    for i, row in enumerate(rows):
+        runs = [tuple(row[a:a + sure]) for a in range(len(row) - sure + 1)]
+        within = {w for p in found[i]["passages"] or [] for w in range(p["start"], p["end"])}
+        lost += sum(len(within.intersection(range(a, a + sure))) < passages.LEAST_WORDS
+                    for a, run in enumerate(runs) if run in seen)
+        seen.update(runs)
+    assert lost == 0
+
+
+def test_seeds_cover_the_runs_of_every_diagonal():
+    x, y, size = (np.array(v) for v in ([0, 3, 30, 40, 7], [10, 13, 40, 2, 90], [10, 5, 12, 20, 5]))
+    assert sorted(passages.seeds_of_runs(x, y, size)) == [
+        (0, 10), (5, 15), (7, 90), (30, 40), (35, 45), (37, 47), (40, 2), (45, 7), (50, 12), (55, 17)]
+
+
 def test_chains_choose_the_best_line():
     line = [(i, 100 + i) for i in range(0, 60, 5)]
     noise = [(3, 400), (22, 5), (41, 300), (30, 30)]
