@@ -207,6 +207,39 @@ def test_long_equal_runs_are_found_whatever_occurs_earlier(spark):
     assert lost == 0
 
 
+@pytest.mark.parametrize(("first", "between", "second"), [
+    (60, (0, 40), 60), (60, (40, 0), 60), (100, (80, 80), 100), (300, (0, 300), 300), (45, (25, 30), 50)])
+def test_two_passages_of_the_same_documents(spark, first, between, second):
+    draw = random.Random(10)
+    words = [f"w{i}" for i in range(30_000)]
+    rows = [draw.sample(words, 30) for _ in range(2)]
+    parts = draw.sample(words, first), draw.sample(words, second)
+    rows = [r + parts[0] + draw.sample(words, n) + parts[1] for r, n in zip(rows, between, strict=True)]
+    found = found_by_id(spark, rows)[1]
+    assert [(p["start"], p["end"]) for p in found["passages"]] == [
+        (30, 30 + first), (30 + first + between[1], 30 + first + between[1] + second)]
+    assert found["repeated_words"] == first + second
+
+
+def test_similar_parts_like_trying_all():
+    draw = random.Random(11)
+    for _ in range(200):
+        xs, ys, gained = [0], [0], [5]
+        for _ in range(draw.randrange(1, 25)):
+            dx, dy = (5 + draw.choice((0, 0, 1, 3, 8, 30)) for _ in range(2))
+            xs, ys = xs + [xs[-1] + dx], ys + [ys[-1] + dy]
+            gained.append(draw.randrange(5, min(dx, dy) + 1))
+
+        def good(i, j):
+            size = max(xs[j] - xs[i], ys[j] - ys[i]) + 5
+            return xs[j] - xs[i] + 5 + 2 * passages.STRETCH >= 40 and (5 + sum(gained[i + 1:j + 1])) / size >= 0.8 - 1e-12
+        found = passages.similar_parts(xs, ys, gained)
+        assert all(good(i, j) for i, j in found)
+        free = [0, *(k for i, j in found for k in (i, j + 1)), len(xs)]
+        assert not any(good(i, j) for a, b in zip(free[::2], free[1::2], strict=True)
+                       for i in range(a, b) for j in range(i, b))
+
+
 def test_seeds_cover_the_runs_of_every_diagonal():
     x, y, size = (np.array(v) for v in ([0, 3, 30, 40, 7], [10, 13, 40, 2, 90], [10, 5, 12, 20, 5]))
     assert sorted(passages.seeds_of_runs(x, y, size)) == [
