@@ -161,6 +161,11 @@ def test_repeated_passages(spark, none):
     assert passages.repeated_passages(none).collect() == []
 
 
+def test_passage_query_returns_every_document(spark, small):
+    found = registry.queries()["op5_substring_dedup"](spark, SMALL)
+    assert ordered(found.select("doc_id").collect()) == ordered(small.select("doc_id").collect())
+
+
 def test_passages_of_odd_rows(odd):
     found = passages.repeated_passages(odd).collect()
     assert len(found) == odd.count()
