@@ -46,6 +46,15 @@ def test_small_blocks_and_long_lists_change_nothing(near, monkeypatch):
     assert components_of(near, 3, 90, 100) == expected
 
 
+def test_sets_alone_in_their_piece_keep_their_links(near, monkeypatch):
+    """All lists cut, small groups too: most sets are the only one in a piece."""
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", 0)
+    few = near.filter("doc_id % 3 = 0").unionByName(near.filter("doc_id % 3 = 1").selectExpr(
+        "doc_id", "concat(text, ' ', doc_id) AS text"))
+    assert components_of(near, 3, 90, 100) == ordered(brute.jaccard_components(pairs(near), 3, 90, 100))
+    assert components_of(few, 5, 4, 5) == ordered(brute.jaccard_components(pairs(few), 5, 4, 5))
+
+
 def test_given_documents_like_brute_force(small):
     assert components_of(small, 3, 90, 100) == ordered(brute.jaccard_components(pairs(small), 3, 90, 100))
 

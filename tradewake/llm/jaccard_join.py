@@ -39,7 +39,8 @@ BATCH_BYTES = 1 << 20
 # The sketch has 2 ** BUCKET_BITS counters, added up in PARTS pieces.
 BUCKET_BITS, PARTS = 20, 64
 BUCKETS = 1 << BUCKET_BITS
-# A shingle that occurs more often has its list cut into pieces; each piece has its own leader.
+# A shingle that occurs more often has its list cut into pieces, numbered from 1; each piece has its
+# own leader.
 LONG_LIST, PIECES = 1 << 22, 64
 # Shingles of a block of sets that are compared with another block in one task.
 BLOCK = 1 << 20
@@ -129,7 +130,7 @@ def _prefixes(batches: Iterable[pa.RecordBatch], size: int, num: int, den: int,
             length = len(tokens) + (-num * len(tokens)) // den + min(1 + len(tokens) // SHARED_PER, MOST_SHARED)
             order = np.lexsort((tokens, often))[:length]
             token.append(tokens[order].view(np.int64))
-            salt.append(np.where(often[order] > LONG_LIST, own[0] % PIECES, 0))
+            salt.append(np.where(often[order] > LONG_LIST, 1 + own[0] % PIECES, 0))
             sid += [own] * len(order)
             n.append(np.full(len(order), len(tokens)))
             pos.append(np.arange(len(order)))
@@ -256,10 +257,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
         lambda batches: _prefixes(batches, size, num, den, sketch),
         "token long, salt int, sid binary, n int, pos int") \
         .repartition("token", "salt").dropDuplicates(["token", "salt", "sid"])
-    lists = stored(
-        entries.withColumn("members", F.count("*").over(same_list))
+    pieces = entries.withColumn("members", F.count("*").over(same_list)) \
         .withColumn("leader", F.min(F.struct("sid", "n")).over(same_list))
-        .filter("members > 1").select("token", "sid", "n", "pos", "leader"), "lists")
+    columns = ("token", "sid", "n", "pos", "leader")
+    if sketch.value.max() > LONG_LIST:
+        # A set alone in its piece stays if its list has other pieces: step 2 joins whole lists.
+        pieces = stored(pieces.filter("members > 1 OR salt > 0"), "pieces")
+        whole = pieces.filter("salt > 0").groupBy("token").agg(F.count("*").alias("sets")) \
+            .filter("sets > 1").select("token")
+        alone = stored(pieces.filter("members = 1").join(whole, "token", "left_semi").select(*columns), "alone")
+        lists = pieces.filter("members > 1").select(*columns).unionByName(alone)
+    else:
+        lists = stored(pieces.filter("members > 1").select(*columns), "lists")
 
     def must_share(n: Column) -> Column:
         return F.ceil(n * num / den)
