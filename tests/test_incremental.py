@@ -156,6 +156,15 @@ def test_search_for_old_keys_is_narrowed_per_channel(spark, two_channels):
     assert spark.read.parquet(two_channels).count() == 20_002
 
 
+def test_key_that_moves_channel_leaves_an_untouched_day(spark, rows, two_channels):
+    delta = spark.createDataFrame([("111-00000002", day(11), 1, "b"), ("BM-00030001", day(11), 1, "b")], FACT)
+    assert incremental.replace_in_table(delta, two_channels, "k", "d", "channel") == \
+        incremental.Replaced(2, 2)
+    table = spark.read.parquet(two_channels)
+    assert table.count() == 20_001
+    assert rows(table.filter("k = '111-00000002'"), "k", "d", "channel") == [("111-00000002", day(11), "b")]
+
+
 @pytest.mark.parametrize("fails_in", ["drop_partition", "write_partitioned", "delete"])
 def test_cut_off_commit_is_finished_by_the_next_load(spark, rows, table, monkeypatch, fails_in):
     path = table(("a", day(1), 1), ("b", day(2), 1), ("c", day(2), 1))

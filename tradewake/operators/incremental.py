@@ -109,19 +109,21 @@ def _partition_values(frame: DataFrame, column: str) -> list:
     return [row[0] for row in frame.select(column).distinct().collect()]
 
 
-def _key_ranges(delta: DataFrame, key: str, within: str | None) -> tuple[int, Column]:
+def _key_ranges(delta: DataFrame, key: str, within: str | None,
+                moved: bool = False) -> tuple[int, Column]:
     """Rows of the delta, and a filter that all its keys pass.
 
     Keys of different channels are of different shape, so one range over all of them would span
-    most of a table. With ``within`` there is a range for each value of that column.
+    most of a table. With ``within`` there is a range for each value of that column, which only
+    rows of that value pass, or with ``moved`` all rows: a key may have come from another value.
     """
     counted = delta.groupBy(*([within] if within else [])).agg(
         F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
     rows = counted.limit(MOST_RANGES + 1).collect()
     if len(rows) > MOST_RANGES:
-        return _key_ranges(delta, key, None)
+        return _key_ranges(delta, key, None, moved)
     ranges = [F.col(key).between(r["lo"], r["hi"])
-              & (F.col(within).eqNullSafe(F.lit(r[within])) if within else F.lit(True))
+              & (F.col(within).eqNullSafe(F.lit(r[within])) if within and not moved else F.lit(True))
               for r in rows if r["lo"] is not None]
     return sum(r["n"] for r in rows), reduce(lambda a, b: a | b, ranges, F.lit(False))
 
@@ -141,8 +143,8 @@ def replace_in_table(delta: DataFrame, path: str, key: str, column: str,
     The delta is first stored in the shared scratch folder: it is read several times, and it
     may depend on the table about to change. A key may sit in a partition other than its new
     one; such partitions are found by scanning the key column only, narrowed to the delta's key
-    ranges, one for each value of ``within``. A key that moved from one value of that column to
-    another is not looked for.
+    ranges, one for each value of ``within``. All rows are searched in all ranges: a key may also
+    have moved from one value of that column to another.
 
     The commit touches several folders. What it is about to do is written beside the table
     first; a commit that was cut off is done again by ``finish_replace``, which every load calls.
@@ -153,7 +155,7 @@ def replace_in_table(delta: DataFrame, path: str, key: str, column: str,
     delta.write.parquet(folder)
     staged = spark.read.schema(delta.schema).parquet(folder)
     target = spark.read.parquet(path)
-    rows, ranges = _key_ranges(staged, key, within)
+    rows, ranges = _key_ranges(staged, key, within, moved=True)
     if not rows:
         files.delete(spark, folder)
         return Replaced(0, 0)
