@@ -19,6 +19,7 @@ from tradewake.llm import (
     passages,
     pii,
     quality,
+    toxicity,
 )
 from tradewake.llm.frames import table, vocabulary_path
 
@@ -187,6 +188,10 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -198,6 +203,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_coding": op8_bpe_coding,
     "op9_pii": op9_pii,
     "op10_chat_format": op10_chat_format,
+    "op12_toxicity": op12_toxicity,
     "pipeline": corpus_pipeline.run,
 }
 
