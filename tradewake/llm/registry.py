@@ -20,6 +20,7 @@ from tradewake.llm import (
     pii,
     quality,
     toxicity,
+    whitening,
 )
 from tradewake.llm.frames import table, vocabulary_path
 
@@ -192,6 +193,10 @@ def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -204,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "op9_pii": op9_pii,
     "op10_chat_format": op10_chat_format,
     "op12_toxicity": op12_toxicity,
+    "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
