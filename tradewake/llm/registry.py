@@ -16,6 +16,7 @@ from tradewake.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    merkle,
     passages,
     pii,
     quality,
@@ -189,6 +190,81 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, CAST(doc_id AS varchar) AS id, *,
+           (xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+                string_split(CAST(doc_id AS varchar), ''),
+                lambda c: [CAST(ascii(c) AS bigint), 0, 0, 0, 0, 0, 0, 0]))),
+            lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295) & 1) = 0 AS bad
+    FROM documents),
+h AS (
+    SELECT *, coalesce(strlen(id) || ':' || id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(CAST(n_chars AS varchar)) || ':' || n_chars, '-') AS head,
+           CASE WHEN bad THEN replace(text, chr(10), '') ELSE text END AS changed
+    FROM d),
+leaves AS (
+    SELECT r, doc_id, coalesce('s' || source, '-') AS tree,
+           sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS checked
+    FROM h),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves),
+nodes AS (
+    SELECT 0 AS level, tree, spot, n, leaf AS node FROM placed
+    UNION ALL
+    SELECT level + 1, tree, spot // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY spot))
+    FROM nodes WHERE n > 1 GROUP BY level, tree, spot // 3, n),
+subroots AS (
+    SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS trees
+    FROM nodes WHERE n = 1),
+tops AS (
+    SELECT 1000 AS level, place AS spot, trees AS n, node FROM subroots
+    UNION ALL
+    SELECT level + 1, spot // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY spot))
+    FROM tops WHERE n > 1 GROUP BY level, spot // 3, n),
+steps AS (
+    SELECT level, tree, spot,
+           coalesce(string_agg(node, '') OVER (PARTITION BY level, tree, spot // 3 ORDER BY spot
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+           coalesce(string_agg(node, '') OVER (PARTITION BY level, tree, spot // 3 ORDER BY spot
+                    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS behind
+    FROM (SELECT level, tree, spot, n, node FROM nodes
+          UNION ALL SELECT level, '', spot, n, node FROM tops)
+    WHERE n > 1),
+levels AS (SELECT DISTINCT level FROM steps),
+path AS (
+    SELECT r, s.level, before, behind
+    FROM placed p CROSS JOIN levels l JOIN steps s
+      ON l.level < 1000 AND s.level = l.level AND s.tree = p.tree
+         AND s.spot = p.spot // CAST(pow(3, l.level) AS bigint)
+    UNION ALL
+    SELECT r, s.level, before, behind
+    FROM placed p JOIN subroots b USING (tree) CROSS JOIN levels l JOIN steps s
+      ON l.level >= 1000 AND s.level = l.level AND s.tree = ''
+         AND s.spot = b.place // CAST(pow(3, l.level - 1000) AS bigint)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY level) AS k FROM path),
+folds AS (
+    SELECT r, 0 AS k, checked AS node FROM placed
+    UNION ALL
+    SELECT f.r, f.k + 1, sha256(before || node || behind)
+    FROM folds f JOIN numbered q ON q.r = f.r AND q.k = f.k + 1),
+proofs AS (
+    SELECT r, sha256(string_agg(before || behind, '' ORDER BY k)) AS proof FROM numbered GROUP BY r),
+ends AS (SELECT r, arg_max(node, k) AS folded_root FROM folds GROUP BY r),
+root AS (SELECT node AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, b.node AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM placed JOIN subroots b USING (tree) LEFT JOIN proofs USING (r) JOIN ends USING (r) CROSS JOIN root"""
+
+
 def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -208,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_coding": op8_bpe_coding,
     "op9_pii": op9_pii,
     "op10_chat_format": op10_chat_format,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_toxicity": op12_toxicity,
     "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
@@ -216,6 +293,7 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op4_jaccard_join": OP4_SQL,
     "op7_decontamination": OP7_SQL, "op10_chat_format": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
 
 
