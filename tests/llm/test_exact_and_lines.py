@@ -55,6 +55,16 @@ def test_lines_like_brute_force(small, odd, least):
         assert ordered(found) == ordered(brute.line_dedup(pairs(docs), least))
 
 
+def test_a_text_of_very_many_lines(spark):
+    """Takes time in proportion to the lines; with a square of them it would not end."""
+    lines = [f"line {i}" if i % 3 else "the same" for i in range(200_000)]
+    docs = spark.createDataFrame([(0, "\n".join(lines))] + [(i, "the same") for i in range(1, 10)],
+                                 "doc_id long, text string")
+    found = line_dedup.drop_frequent_lines(docs).filter("doc_id = 0").collect()[0]
+    assert found["kept"] == "\n".join(line for line in lines if line != "the same")
+    assert (found["n_lines"], found["n_dropped"]) == (200_000, 66_667)
+
+
 def test_empty_tables(none):
     assert exact_dedup.exact_groups(none).collect() == []
     assert exact_dedup.drop_exact_copies(none).collect() == []

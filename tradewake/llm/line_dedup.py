@@ -30,10 +30,13 @@ def line_key(line: Column) -> Column:
 
 
 def line_hashes(text: Column) -> Column:
-    """Hash of every line's key, null for an empty key."""
+    """Hash of every line's key in hex, null for an empty key.
+
+    ``array_distinct`` compares all pairs of binary values, but looks up strings in a hash set.
+    """
     def hashed(line):
         key = line_key(line)
-        return F.when(key != "", F.unhex(F.md5(key.cast("binary"))))
+        return F.when(key != "", F.md5(key.cast("binary")))
     return F.transform(lines_of(text), hashed)
 
 
@@ -51,17 +54,19 @@ def drop_frequent_lines(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFr
     frequent = stored(
         # explode() would test the arrays' size first and so compute them twice.
         hashed.select(F.explode_outer(F.array_distinct("hashes")).alias("hash"))
-        .filter("hash IS NOT NULL").groupBy("hash").agg(F.count("*").alias("n"))
+        .filter("hash IS NOT NULL").groupBy(F.unhex("hash").alias("hash")).agg(F.count("*").alias("n"))
         .filter(F.col("n") >= least).select("hash"), "frequent-lines")
     places = hashed.select("doc_id", "key_text", F.posexplode_outer("hashes").alias("at", "hash")) \
-        .filter("hash IS NOT NULL").join(sized(frequent), "hash", "left_semi")
+        .filter("hash IS NOT NULL").withColumn("hash", F.unhex("hash")) \
+        .join(sized(frequent), "hash", "left_semi")
     dropped = stored(places.groupBy("doc_id", "key_text").agg(F.collect_set("at").alias("dropped"))
                      .withColumnsRenamed({"doc_id": "key_id", "key_text": "of_text"}),
                      "dropped-lines")
-    lines = lines_of(F.col("text"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped")
-    kept = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    # As the argument of an outer transform the text is split once, not once for every line.
+    gathered = F.transform(F.array(lines_of(F.col("text"))), lambda lines: F.array_join(
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped"),
+                    lambda i: F.get(lines, i)), "\n"))
+    kept = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.get(gathered, F.lit(0)))
     same = texts["doc_id"].eqNullSafe(F.col("key_id")) & (texts["key_text"] == F.col("of_text"))
     return texts.join(sized(dropped), same, "left").select(
         "doc_id", (F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
