@@ -1,12 +1,8 @@
-"""Deltas, delete+insert and keyed upserts, on frames and on stored tables."""
+"""Deltas, keyed upserts and lookups on frames."""
 
 from __future__ import annotations
 
 from datetime import date
-from pathlib import Path
-
-import pytest
-
 from tradewake.operators import incremental
 from tradewake.operators.lookups import measure
 
@@ -17,20 +13,6 @@ def day(n):
     return date(2024, 1, n)
 
 
-@pytest.fixture
-def table(spark, tmp_path):
-    path = str(tmp_path / "table")
-
-    def make(*data):
-        incremental.write_full(spark.createDataFrame(list(data), SCHEMA), path, "d")
-        return path
-    return make
-
-
-def read(spark, rows, path):
-    return rows(spark.read.parquet(path), "k", "d", "v")
-
-
 def test_strict_skips_late_rows_and_lookback_loads_them(spark, rows):
     source = spark.createDataFrame(
         [("a", day(5), 1), ("late", day(4), 1), ("old", day(1), 1), ("new", day(6), 1)], SCHEMA)
@@ -45,60 +27,6 @@ def test_empty_target_loads_nothing_strictly_and_everything_with_lookback(spark,
     assert rows(incremental.delta_lookback(source, None, "d", 1), "k") == [("a",)]
 
 
-def test_watermark_comes_from_folder_names_alone(spark, table):
-    path = table(("a", day(1), 1), ("b", day(9), 1), ("c", None, 1))
-    for name in Path(path).rglob("*.parquet"):
-        name.write_bytes(b"no parquet at all")
-    assert incremental.loaded_to(spark, path, "d") == "2024-01-09"
-    assert incremental.loaded_to(spark, f"{path}-missing", "d") is None
-
-
-def test_same_delta_twice_changes_nothing(spark, rows, table):
-    path = table(("a", day(1), 1), ("b", day(2), 1))
-    delta = spark.createDataFrame([("b", day(2), 7), ("c", day(3), 1)], SCHEMA)
-    expected = [("a", day(1), 1), ("b", day(2), 7), ("c", day(3), 1)]
-    for _ in range(2):
-        assert incremental.replace_in_table(delta, path, "k", "d") == incremental.Replaced(2, 2)
-        assert read(spark, rows, path) == expected
-
-
-def test_moved_key_leaves_its_old_partition(spark, rows, table):
-    path = table(("a", day(1), 1), ("b", day(1), 1), ("c", day(2), 1))
-    delta = spark.createDataFrame([("a", day(5), 2), ("c", day(5), 2)], SCHEMA)
-    incremental.replace_in_table(delta, path, "k", "d")
-    assert read(spark, rows, path) == [("a", day(5), 2), ("b", day(1), 1), ("c", day(5), 2)]
-
-
-def test_untouched_partitions_are_not_rewritten(spark, table, tmp_path):
-    path = table(("a", day(1), 1), ("b", day(2), 1))
-    before = {p.name for p in (tmp_path / "table" / "d=2024-01-01").iterdir()}
-    incremental.replace_in_table(spark.createDataFrame([("b", day(2), 9)], SCHEMA), path, "k", "d")
-    assert {p.name for p in (tmp_path / "table" / "d=2024-01-01").iterdir()} == before
-
-
-def test_rows_without_a_day_are_kept(spark, rows, table):
-    path = table(("a", None, 1), ("b", day(1), 1))
-    incremental.replace_in_table(
-        spark.createDataFrame([("a", day(1), 2), ("c", None, 3)], SCHEMA), path, "k", "d")
-    assert read(spark, rows, path) == [("a", day(1), 2), ("b", day(1), 1), ("c", None, 3)]
-
-
-def test_delta_read_from_the_table_it_changes(spark, rows, table):
-    path = table(("a", day(1), 1), ("b", day(2), 1))
-    source = spark.createDataFrame([("b", day(2), 5), ("c", day(3), 1)], SCHEMA)
-    delta = incremental.delta_lookback(source, incremental.loaded_to(spark, path, "d"), "d", 0) \
-        .join(spark.read.parquet(path).select("k").distinct(), "k", "left").select("k", "d", "v")
-    incremental.replace_in_table(delta, path, "k", "d")
-    assert read(spark, rows, path) == [("a", day(1), 1), ("b", day(2), 5), ("c", day(3), 1)]
-
-
-def test_empty_delta_is_a_no_op(spark, rows, table):
-    path = table(("a", day(1), 1))
-    assert incremental.replace_in_table(
-        spark.createDataFrame([], SCHEMA), path, "k", "d") == incremental.Replaced(0, 0)
-    assert read(spark, rows, path) == [("a", day(1), 1)]
-
-
 def test_upsert_replaces_by_composite_key_including_null(spark, rows):
     schema = "k string, w int, v int"
     target = spark.createDataFrame([("a", 1, 1), (None, 1, 1), ("a", 2, 1)], schema)
@@ -107,93 +35,6 @@ def test_upsert_replaces_by_composite_key_including_null(spark, rows):
         (None, 1, 9), ("a", 1, 9), ("a", 2, 1), ("b", 1, 9)]
 
 
-def test_table_written_by_day_gets_one_file_per_small_day(spark, tmp_path):
-    frame = spark.range(0, 4000, 1, 8).selectExpr(
-        "cast(id as string) k", "date_add(date'2024-01-01', cast(id % 40 as int)) d",
-        "cast(id as int) v")
-    incremental.write_full(frame, str(tmp_path / "t"), "d")
-    files = [list(p.glob("*.parquet")) for p in (tmp_path / "t").glob("d=*")]
-    assert len(files) == 40 and all(len(f) == 1 for f in files)
-
-
-def test_watermark_prunes_day_folders(spark, table):
-    path = table(("a", day(1), 1), ("b", day(2), 1))
-    plan = incremental.delta_strict(spark.read.parquet(path), "2024-01-01", "d") \
-        ._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(d" in plan and "Subquery" not in plan
-
-
-FACT = "k string, d date, v int, channel string"
-
-
-@pytest.fixture
-def two_channels(spark, tmp_path):
-    """Ids of two shapes on ten days, written so that a day is one file of several row groups."""
-    path = str(tmp_path / "facts")
-    frame = spark.range(0, 20_000, 1, 4).selectExpr(
-        "concat(if(id % 2 = 0, '111-', 'BM-'), lpad(id, 8, '0')) k",
-        "date_add(date'2024-01-01', cast(id / 2000 as int)) d", "cast(id as int) v",
-        "if(id % 2 = 0, 'a', 'b') channel")
-    frame.sortWithinPartitions("d", "k").write.option("parquet.block.size", 20_000) \
-        .option("parquet.page.size", 4_000).partitionBy("d").parquet(path)
-    return path
-
-
-def test_search_for_old_keys_is_narrowed_per_channel(spark, two_channels):
-    """A delta of new orders of both channels meets none of the stored rows."""
-    delta = spark.createDataFrame(
-        [("111-00030000", day(11), 1, "a"), ("BM-00030001", day(11), 1, "b")], FACT)
-    target = spark.read.parquet(two_channels)
-    _, ranges = incremental._key_ranges(delta, "k", "channel")
-    assert target.filter(ranges).count() == 0
-    _, whole = incremental._key_ranges(delta, "k", None)
-    assert target.filter(whole).count() == 10_000
-    found = incremental.stale_days(target, delta, "k", "d", ranges)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(k,111-00030000)" in plan and "ReadSchema: struct<k:string,channel:string>" in plan
-    assert incremental.replace_in_table(delta, two_channels, "k", "d", "channel") == \
-        incremental.Replaced(2, 1)
-    assert spark.read.parquet(two_channels).count() == 20_002
-
-
-def test_key_that_moves_channel_leaves_an_untouched_day(spark, rows, two_channels):
-    delta = spark.createDataFrame([("111-00000002", day(11), 1, "b"), ("BM-00030001", day(11), 1, "b")], FACT)
-    assert incremental.replace_in_table(delta, two_channels, "k", "d", "channel") == \
-        incremental.Replaced(2, 2)
-    table = spark.read.parquet(two_channels)
-    assert table.count() == 20_001
-    assert rows(table.filter("k = '111-00000002'"), "k", "d", "channel") == [("111-00000002", day(11), "b")]
-
-
-@pytest.mark.parametrize("fails_in", ["drop_partition", "write_partitioned", "delete"])
-def test_cut_off_commit_is_finished_by_the_next_load(spark, rows, table, monkeypatch, fails_in):
-    path = table(("a", day(1), 1), ("b", day(2), 1), ("c", day(2), 1))
-    delta = spark.createDataFrame([("a", day(5), 2), ("b", day(5), 2)], SCHEMA)
-    where = incremental if fails_in == "write_partitioned" else incremental.files
-
-    def dies(*_args):
-        raise KeyboardInterrupt("the driver is gone")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(where, fails_in, dies)
-        with pytest.raises(KeyboardInterrupt):
-            incremental.replace_in_table(delta, path, "k", "d")
-    nothing = incremental.delta_strict(delta, "2024-01-05", "d")
-    assert incremental.replace_in_table(nothing, path, "k", "d") == incremental.Replaced(0, 0)
-    assert read(spark, rows, path) == [("a", day(5), 2), ("b", day(5), 2), ("c", day(2), 1)]
-    assert not incremental.finish_replace(spark, path)
-
-
-def test_scratch_of_a_load_is_removed(spark, table, monkeypatch):
-    made = []
-    folder = incremental.run_folder
-    monkeypatch.setattr(incremental, "run_folder", lambda *a: made.append(folder(*a)) or made[-1])
-    path = table(("a", day(1), 1))
-    incremental.replace_in_table(spark.createDataFrame([("b", day(2), 1)], SCHEMA), path, "k", "d")
-    assert made and not any(incremental.files.exists(spark, m) for m in made)
-
-
-
 def _skewed(spark):
     """A third of the rows share one key; the others are spread."""
     return spark.range(0, 300_000, 1, 8).selectExpr(

@@ -1,40 +1,18 @@
-"""Incremental loads: select the delta of a source, replace it in a partitioned target.
+"""Incremental loads: select the delta of a source, replace its keys in the target.
 
-``delete_insert`` is the plain DataFrame form. ``replace_in_table`` applies it to a stored table
-and rewrites only the partitions the delta touches; everything else is neither written nor,
-beyond its key column, read.
+``delete_insert`` is the plain DataFrame form; ``DayTable.replace_keys`` applies it to a stored
+table and opens only files that may hold one of the delta's keys. ``upsert_in_table`` serves tables in
+folders whose name is a function of the key.
 """
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewake.operators.lookups import measured
-from tradewake.session import run_folder
-from tradewake.sources import files
-
-
-PLAN = "_replace_plan.json"
-# Values of a column that keys are searched within; with more, one range serves all.
-MOST_RANGES = 16
-
-
-@dataclass(frozen=True)
-class Replaced:
-    rows: int
-    partitions: int
-
-
-def loaded_to(spark: SparkSession, path: str, column: str) -> str | None:
-    """High watermark of a stored table, from its folder names: no file is opened."""
-    return max(files.partition_names(spark, path, column), default=None)
-
 
 def delta_strict(source: DataFrame, watermark: str | None, column: str) -> DataFrame:
     """Source rows beyond the target's high watermark, a date as text.
@@ -45,12 +23,17 @@ def delta_strict(source: DataFrame, watermark: str | None, column: str) -> DataF
     return source.filter(F.col(column) > F.lit(watermark).cast("date"))
 
 
+def day_before(day: str | None, days: int) -> str | None:
+    """The day so many days earlier, as text."""
+    return None if day is None else date.fromordinal(
+        max(date.fromisoformat(day).toordinal() - days, 1)).isoformat()
+
+
 def delta_lookback(source: DataFrame, watermark: str | None, column: str, days: int) -> DataFrame:
     """Source rows from ``days`` before the high watermark on; everything if there is none."""
     if watermark is None:
         return source.filter(F.col(column).isNotNull())
-    start = date.fromisoformat(watermark).toordinal() - days
-    return source.filter(F.col(column) >= F.lit(date.fromordinal(max(start, 1))))
+    return source.filter(F.col(column) >= F.lit(day_before(watermark, days)).cast("date"))
 
 
 def delete_insert(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
@@ -75,33 +58,19 @@ def is_one_of(column: str, values: list) -> Column:
     return F.coalesce(member, F.lit(False))
 
 
-def write_partitioned(frame: DataFrame, path: str, column: str, key: str | None = None) -> None:
+def write_partitioned(frame: DataFrame, path: str, column: str) -> None:
     """Write (or replace) just the partitions present in ``frame``.
 
     Rebalancing gathers a partition's rows so that small days give one file, packs small days
     together, and splits a day that outgrows the advisory size over several tasks and files.
-    Rows sorted by ``key`` let a later search for keys skip row groups and pages by statistics.
     """
-    gathered = frame.hint("rebalance", column)
-    if key:
-        gathered = gathered.sortWithinPartitions(column, key)
-    gathered.write.mode("overwrite") \
+    frame.hint("rebalance", column).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
-def write_full(frame: DataFrame, path: str, column: str | None = None,
-               clustered: bool = False) -> None:
-    """Replace the whole table.
-
-    ``clustered`` says that the rows come straight from a scan of a table with the same
-    partitions: they already lie together, and the shuffle that would gather them is left out.
-    """
-    if column is None:
-        frame.write.mode("overwrite").parquet(path)
-        return
-    gathered = frame if clustered else frame.hint("rebalance", column)
-    gathered.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-        .partitionBy(column).parquet(path)
+def write_full(frame: DataFrame, path: str) -> None:
+    """Replace a whole table that is not kept by day."""
+    frame.write.mode("overwrite").parquet(path)
 
 
 def _partition_values(frame: DataFrame, column: str) -> list:
@@ -109,97 +78,6 @@ def _partition_values(frame: DataFrame, column: str) -> list:
     return [row[0] for row in frame.select(column).distinct().collect()]
 
 
-def _key_ranges(delta: DataFrame, key: str, within: str | None,
-                moved: bool = False) -> tuple[int, Column]:
-    """Rows of the delta, and a filter that all its keys pass.
-
-    Keys of different channels are of different shape, so one range over all of them would span
-    most of a table. With ``within`` there is a range for each value of that column, which only
-    rows of that value pass, or with ``moved`` all rows: a key may have come from another value.
-    """
-    counted = delta.groupBy(*([within] if within else [])).agg(
-        F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-    rows = counted.limit(MOST_RANGES + 1).collect()
-    if len(rows) > MOST_RANGES:
-        return _key_ranges(delta, key, None, moved)
-    ranges = [F.col(key).between(r["lo"], r["hi"])
-              & (F.col(within).eqNullSafe(F.lit(r[within])) if within and not moved else F.lit(True))
-              for r in rows if r["lo"] is not None]
-    return sum(r["n"] for r in rows), reduce(lambda a, b: a | b, ranges, F.lit(False))
-
-
-def stale_days(target: DataFrame, staged: DataFrame, key: str, column: str,
-               ranges: Column) -> DataFrame:
-    """(key, day) of the target's rows whose key is in the delta."""
-    keys = measured(staged.select(key).filter(F.col(key).isNotNull()))
-    side = F.broadcast(keys.frame) if keys.fits else keys.frame
-    return target.filter(ranges).select(key, column).join(side, key, "left_semi")
-
-
-def replace_in_table(delta: DataFrame, path: str, key: str, column: str,
-                     within: str | None = None) -> Replaced:
-    """Delete+insert ``delta`` into the table at ``path``, partitioned by ``column``.
-
-    The delta is first stored in the shared scratch folder: it is read several times, and it
-    may depend on the table about to change. A key may sit in a partition other than its new
-    one; such partitions are found by scanning the key column only, narrowed to the delta's key
-    ranges, one for each value of ``within``. All rows are searched in all ranges: a key may also
-    have moved from one value of that column to another.
-
-    The commit touches several folders. What it is about to do is written beside the table
-    first; a commit that was cut off is done again by ``finish_replace``, which every load calls.
-    """
-    spark = delta.sparkSession
-    finish_replace(spark, path)
-    folder = run_folder(spark, "delta")
-    delta.write.parquet(folder)
-    staged = spark.read.schema(delta.schema).parquet(folder)
-    target = spark.read.parquet(path)
-    rows, ranges = _key_ranges(staged, key, within, moved=True)
-    if not rows:
-        files.delete(spark, folder)
-        return Replaced(0, 0)
-    incoming = _partition_values(staged, column)
-    stale = _partition_values(stale_days(target, staged, key, column, ranges), column)
-    touched = list({*incoming, *stale})
-    files.write_text(spark, f"{path}/{PLAN}", json.dumps({
-        "delta": folder, "key": key, "column": column,
-        "touched": [None if v is None else str(v) for v in touched],
-        "incoming": [None if v is None else str(v) for v in incoming]}))
-    finish_replace(spark, path)
-    return Replaced(rows, len(touched))
-
-
-def finish_replace(spark: SparkSession, path: str) -> bool:
-    """Carry out the replacement planned beside a table, if there is one.
-
-    Deleting and inserting the same keys again changes nothing, so it does not matter how far an
-    earlier attempt came.
-    """
-    planned = files.read_text(spark, f"{path}/{PLAN}")
-    if planned is None:
-        return False
-    plan = json.loads(planned)
-    key, column = plan["key"], plan["column"]
-    target = spark.read.parquet(path)
-    staged = spark.read.parquet(plan["delta"])
-    kept = target.filter(is_one_of(column, plan["touched"])) \
-        .join(staged.select(key), key, "left_anti").unionByName(staged.select(*target.columns))
-    write_partitioned(kept, path, column, key)
-    moved_from = [v for v in plan["touched"] if v not in plan["incoming"]]
-    if moved_from:
-        # Folders no row was written to still hold nothing but keys that moved away.
-        after = spark.read.parquet(path).filter(is_one_of(column, moved_from))
-        left = after.join(staged.select(key), key, "left_anti")
-        filled = {str(v) for v in _partition_values(left, column)}
-        for value in moved_from:
-            if str(value) not in filled:
-                files.drop_partition(spark, path, column, value)
-    files.delete(spark, f"{path}/{PLAN}")
-    files.delete(spark, plan["delta"])
-    return True
-
-
 def upsert_in_table(changes: DataFrame, path: str, keys: list[str], column: str) -> None:
     """Upsert into a table whose partition column is a function of the key.
 

@@ -17,6 +17,7 @@ from tradewake.operators.lookups import Lookup, measure
 from tradewake.plans import gold
 from tradewake.schemas import RAW_SCHEMAS
 from tradewake.sources import files
+from tradewake.sources.day_table import Replaced
 from tradewake.sources.lake import Lake
 
 ENTITIES = tuple(RAW_SCHEMAS)
@@ -60,9 +61,9 @@ def build_silver(lake: Lake, with_stream: bool = False) -> None:
     if with_stream and files.has_data(lake.spark, lake.events_path()):
         events = conform.latest_events(lake.spark.read.parquet(lake.events_path()))
         sales = conform.both_lanes(sales, conform.conform_events(events, refs))
-    incremental.write_full(sales, lake.path("silver", "sales"), "order_date")
+    lake.day_table("silver", "sales").replace_all(sales)
     settlements = conform.conform_settlements(lake.read("bronze", "settlements_oms"), refs.fx)
-    incremental.write_full(settlements, lake.path("silver", "settlements"), "payout_date")
+    lake.day_table("silver", "settlements").replace_all(settlements)
     products = conform.conform_products(lake.read("bronze", "ref_product"))
     incremental.write_full(products, lake.path("silver", "products"))
 
@@ -73,10 +74,9 @@ def snapshot_products(lake: Lake, snapshot_ts: str) -> None:
 
 
 def _sale_days(lake: Lake) -> DataFrame:
-    """First and last day of Silver sales, from the folder names."""
-    days = files.partition_names(lake.spark, lake.path("silver", "sales"), "order_date")
-    return lake.spark.createDataFrame([(d,) for d in days[:1] + days[-1:]], "d string") \
-        .select(F.to_date("d").alias("order_date"))
+    """First and last day of Silver sales, from the manifest."""
+    days = [(d,) for d in lake.day_table("silver", "sales").days() if d is not None]
+    return lake.spark.createDataFrame(days, "d string").select(F.to_date("d").alias("order_date"))
 
 
 def build_dimensions(lake: Lake) -> None:
@@ -94,39 +94,38 @@ def fact_lookups(lake: Lake) -> dict[str, Lookup]:
     })
 
 
-def _refresh(lake: Lake, table: str, source: DataFrame, day: str, key: str,
-             channel: str, build: Callable[[DataFrame], DataFrame], clustered: bool,
-             full_refresh: bool, lookback_days: int | None) -> incremental.Replaced | None:
-    path = lake.path("gold", table)
-    if full_refresh or not lake.exists("gold", table):
-        incremental.write_full(build(source), path, day, clustered=clustered)
+def _refresh(lake: Lake, table: str, source: Callable[[str | None], DataFrame],
+             build: Callable[[DataFrame], DataFrame], full_refresh: bool,
+             lookback_days: int | None) -> Replaced | None:
+    """``source`` gives the rows after a day, or all: files of earlier days are not opened."""
+    target = lake.day_table("gold", table)
+    if full_refresh or not target.exists():
+        target.replace_all(build(source(None)))
         return None
-    incremental.finish_replace(lake.spark, path)
-    watermark = incremental.loaded_to(lake.spark, path, day)
+    watermark = target.loaded_to()
     if lookback_days is None:
-        delta = incremental.delta_strict(source, watermark, day)
+        delta = incremental.delta_strict(source(watermark), watermark, target.day)
     else:
-        delta = incremental.delta_lookback(source, watermark, day, lookback_days)
-    return incremental.replace_in_table(build(delta), path, key, day, channel)
+        delta = incremental.delta_lookback(
+            source(incremental.day_before(watermark, lookback_days + 1)), watermark, target.day,
+            lookback_days)
+    return target.replace_keys(build(delta))
 
 
 def refresh_fct_sales(lake: Lake, full_refresh: bool = False,
-                      lookback_days: int | None = None) -> incremental.Replaced | None:
+                      lookback_days: int | None = None) -> Replaced | None:
     """Load new sales days, or rebuild. ``lookback_days`` also reloads that many old days."""
     dims = fact_lookups(lake)
-    return _refresh(
-        lake, "fct_sales", lake.silver_sales(), "order_date", "order_id", "source",
-        lambda rows: gold.fct_sales(rows, dims["channels"], dims["products"]),
-        all(d.fits for d in dims.values()), full_refresh, lookback_days)
+    return _refresh(lake, "fct_sales", lake.silver_sales,
+                    lambda rows: gold.fct_sales(rows, dims["channels"], dims["products"]),
+                    full_refresh, lookback_days)
 
 
 def refresh_fct_settlement(lake: Lake, full_refresh: bool = False,
-                           lookback_days: int | None = None) -> incremental.Replaced | None:
+                           lookback_days: int | None = None) -> Replaced | None:
     channels = fact_lookups(lake)["channels"]
-    return _refresh(
-        lake, "fct_settlement", lake.silver_settlements(), "payout_date", "settlement_id",
-        "channel", lambda rows: gold.fct_settlement(rows, channels), channels.fits, full_refresh,
-        lookback_days)
+    return _refresh(lake, "fct_settlement", lake.silver_settlements,
+                    lambda rows: gold.fct_settlement(rows, channels), full_refresh, lookback_days)
 
 
 def build_marts(lake: Lake) -> None:

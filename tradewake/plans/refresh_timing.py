@@ -7,9 +7,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import functions as F
 
-from tradewake.operators.incremental import loaded_to
 from tradewake.plans.daily_run import refresh_fct_sales
-from tradewake.sources import files
 from tradewake.sources.lake import Lake
 
 
@@ -17,7 +15,7 @@ from tradewake.sources.lake import Lake
 class Timing:
     fact_rows: int
     delta_rows: int
-    partitions_rewritten: int
+    files_rewritten: int
     incremental_sec: float
     full_sec: float
 
@@ -27,10 +25,10 @@ class Timing:
 
 def hold_back_last_day(lake: Lake) -> str | None:
     """Take the last day out of the sales fact, as if Silver had just got it."""
-    path = lake.path("gold", "fct_sales")
-    day = loaded_to(lake.spark, path, "order_date")
+    table = lake.day_table("gold", "fct_sales")
+    day = table.loaded_to()
     if day is not None:
-        files.drop_partition(lake.spark, path, "order_date", day)
+        table.drop_day(day)
     return day
 
 
@@ -43,5 +41,5 @@ def time_refresh(lake: Lake) -> Timing:
     refresh_fct_sales(lake, full_refresh=True)
     end = time.perf_counter()
     rows = lake.read("gold", "fct_sales").agg(F.count(F.lit(1))).first()[0]
-    return Timing(rows, replaced.rows, replaced.partitions,
+    return Timing(rows, replaced.rows, replaced.files,
                   round(middle - start, 3), round(end - middle, 3))

@@ -134,14 +134,14 @@ def bronze_landing(f: DerivedFeeds) -> DataFrame:
 @_query
 def staging_sales(f: DerivedFeeds) -> DataFrame:
     lake = _new_lake(f, "silver")
-    incremental.write_full(f.once(_sales), lake.path("silver", "sales"), "order_date")
+    lake.day_table("silver", "sales").replace_all(f.once(_sales))
     return lake.silver_sales()
 
 
 @_query
 def staging_settlements(f: DerivedFeeds) -> DataFrame:
     lake = _new_lake(f, "silver")
-    incremental.write_full(f.once(_settlements), lake.path("silver", "settlements"), "payout_date")
+    lake.day_table("silver", "settlements").replace_all(f.once(_settlements))
     return lake.silver_settlements()
 
 
@@ -350,19 +350,18 @@ def _first_load(sales: DataFrame) -> DataFrame:
 
 def _loaded_twice(f: DerivedFeeds, lookback_days: int | None) -> DataFrame:
     """First load with the first product snapshot, second load with the second one."""
-    path = _new_lake(f, "facts").path("gold", "fct_sales")
+    table = _new_lake(f, "facts").day_table("gold", "fct_sales")
     sales = f.once(_sales)
     old = gold.dim_product(scd2.first_versions(conform.conform_products(f.ref_product()),
                                                _at(FIRST_SNAPSHOT)))
     dims = f.once(_dimensions)
     old_dims = {**dims, "products": measured(gold.current_products(old))}
-    incremental.write_full(_keyed_sales(_first_load(sales), old_dims), path, "order_date")
-    loaded_to = incremental.loaded_to(f.spark, path, "order_date")
+    table.replace_all(_keyed_sales(_first_load(sales), old_dims))
+    loaded_to = table.loaded_to()
     delta = incremental.delta_strict(sales, loaded_to, "order_date") if lookback_days is None \
         else incremental.delta_lookback(sales, loaded_to, "order_date", lookback_days)
-    incremental.replace_in_table(_keyed_sales(delta, dims), path, "order_id", "order_date",
-                                 "source")
-    return f.spark.read.parquet(path)
+    table.replace_keys(_keyed_sales(delta, dims))
+    return table.read()
 
 
 @_query
@@ -391,25 +390,23 @@ def incremental_equals_full(f: DerivedFeeds) -> DataFrame:
 
 @_query
 def incremental_settlement(f: DerivedFeeds) -> DataFrame:
-    path = _new_lake(f, "facts").path("gold", "fct_settlement")
+    table = _new_lake(f, "facts").day_table("gold", "fct_settlement")
     facts = f.once(_fct_settlement)
     ends = facts.select(F.date_sub(F.max("payout_date"), FIRST_LOAD_ENDS)).scalar()
-    incremental.write_full(facts.filter(F.col("payout_date") <= ends), path, "payout_date")
-    loaded_to = incremental.loaded_to(f.spark, path, "payout_date")
-    delta = incremental.delta_strict(facts, loaded_to, "payout_date")
-    incremental.replace_in_table(delta, path, "settlement_id", "payout_date", "channel")
-    return f.spark.read.parquet(path)
+    table.replace_all(facts.filter(F.col("payout_date") <= ends))
+    table.replace_keys(incremental.delta_strict(facts, table.loaded_to(), "payout_date"))
+    return table.read()
 
 
 @_query
 def append_delta_day(f: DerivedFeeds) -> DataFrame:
     """Silver per day after its last day was held back and then added."""
-    path = _new_lake(f, "silver").path("silver", "sales")
+    table = _new_lake(f, "silver").day_table("silver", "sales")
     sales = f.once(_sales)
     last = sales.select(F.max("order_date")).first()[0]
-    incremental.write_full(sales.filter(F.col("order_date") < last), path, "order_date")
-    incremental.write_partitioned(sales.filter(F.col("order_date") == last), path, "order_date")
-    return f.spark.read.parquet(path).groupBy("order_date").agg(
+    table.replace_all(sales.filter(F.col("order_date") < last))
+    table.append(sales.filter(F.col("order_date") == last))
+    return table.read().groupBy("order_date").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("quantity").alias("units"),
         F.sum(F.col("revenue_usd").cast("decimal(18,2)")).cast("double").alias("revenue_usd"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -19,7 +20,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
     fs, hadoop_path = _resolve(spark, path)
     if not fs.exists(hadoop_path):
         return []
@@ -28,13 +29,13 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 def has_data(spark: SparkSession, path: str) -> bool:
     """True if the folder holds at least one data file or partition folder."""
-    return any(not name.startswith(("_", ".")) for name in _names(spark, path))
+    return any(not name.startswith(("_", ".")) for name in names(spark, path))
 
 
 def partition_names(spark: SparkSession, table_path: str, column: str) -> list[str]:
     """Values of a table's partition folders as text, by listing alone; NULL's is left out."""
     start = f"{column}="
-    found = [unquote(name[len(start):]) for name in _names(spark, table_path)
+    found = [unquote(name[len(start):]) for name in names(spark, table_path)
              if name.startswith(start)]
     return sorted(value for value in found if value != NO_VALUE)
 
@@ -63,6 +64,24 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not write {path}")
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file appear whole, unless there is one of its name: then False.
+
+    The check is as exact as the store's rename: HDFS and its like refuse to replace a file.
+    """
+    fs, hadoop_path = _resolve(spark, path)
+    _, draft = _resolve(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.exists(hadoop_path) and fs.rename(draft, hadoop_path):
+        return True
+    fs.delete(draft, False)
+    return False
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small file, None if it is missing."""
     fs, hadoop_path = _resolve(spark, path)

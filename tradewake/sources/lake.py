@@ -12,6 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewake.schemas import RAW_SCHEMAS
 from tradewake.sources import files
+from tradewake.sources.day_table import DayTable
+
+# Versioned tables: column of the day, key, and whether increments look up old copies of keys.
+DAY_TABLES = {
+    ("silver", "sales"): ("order_date", "order_id", False),
+    ("silver", "settlements"): ("payout_date", "settlement_id", False),
+    ("gold", "fct_sales"): ("order_date", "order_id", True),
+    ("gold", "fct_settlement"): ("payout_date", "settlement_id", True),
+}
 
 
 @dataclass(frozen=True)
@@ -34,20 +43,25 @@ class Lake:
         """Raw feed with its declared schema, so a drifted file fails instead of being guessed."""
         return self.spark.read.schema(RAW_SCHEMAS[entity]).parquet(self.path("raw", entity))
 
-    def read(self, zone: str, table: str) -> DataFrame:
-        """Dataset of a zone; partition columns come back from the folder names."""
+    def day_table(self, zone: str, table: str) -> DayTable:
+        return DayTable(self.spark, self.path(zone, table), *DAY_TABLES[zone, table])
+
+    def read(self, zone: str, table: str, after: str | None = None) -> DataFrame:
+        """Dataset of a zone; of a versioned table also the days after one, other files unopened."""
+        if (zone, table) in DAY_TABLES:
+            return self.day_table(zone, table).read(after)
         return self.spark.read.parquet(self.path(zone, table))
 
-    def silver_sales(self) -> DataFrame:
-        """Typed view of Silver sales, partitioned by ``order_date``."""
-        return self.read("silver", "sales").selectExpr(
+    def silver_sales(self, after: str | None = None) -> DataFrame:
+        """Typed view of Silver sales."""
+        return self.read("silver", "sales", after).selectExpr(
             "order_id", "source", "cast(product_id as bigint) as product_id",
             "cast(quantity as int) as quantity", "cast(unit_price as double) as unit_price",
             "canonical_status", "cast(revenue_usd as double) as revenue_usd",
             "cast(order_date as date) as order_date")
 
-    def silver_settlements(self) -> DataFrame:
-        return self.read("silver", "settlements").selectExpr(
+    def silver_settlements(self, after: str | None = None) -> DataFrame:
+        return self.read("silver", "settlements", after).selectExpr(
             "settlement_id", "channel", "order_ref", "cast(gross_usd as double) as gross_usd",
             "cast(fees_usd as double) as fees_usd", "cast(net_usd as double) as net_usd",
             "cast(payout_date as date) as payout_date")
