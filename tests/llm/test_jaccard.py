@@ -11,8 +11,8 @@ from tradewake.llm import jaccard_join
 from tradewake.llm.components import components
 
 
-def components_of(docs, size, num, den):
-    return ordered(jaccard_join.jaccard_components(docs, size, num, den)
+def components_of(docs, size, num, den, **more):
+    return ordered(jaccard_join.jaccard_components(docs, size, num, den, **more)
                    .select("doc_id", "n_shingles", "component_id").collect())
 
 
@@ -46,13 +46,13 @@ def test_small_blocks_and_long_lists_change_nothing(near, monkeypatch):
     assert components_of(near, 3, 90, 100) == expected
 
 
-def test_sets_alone_in_their_piece_keep_their_links(near, monkeypatch):
+def test_sets_alone_in_their_piece_keep_their_links(near):
     """All lists cut, small groups too: most sets are the only one in a piece."""
-    monkeypatch.setattr(jaccard_join, "LONG_LIST", 0)
     few = near.filter("doc_id % 3 = 0").unionByName(near.filter("doc_id % 3 = 1").selectExpr(
         "doc_id", "concat(text, ' ', doc_id) AS text"))
-    assert components_of(near, 3, 90, 100) == ordered(brute.jaccard_components(pairs(near), 3, 90, 100))
-    assert components_of(few, 5, 4, 5) == ordered(brute.jaccard_components(pairs(few), 5, 4, 5))
+    assert components_of(near, 3, 90, 100, long_list=0) == \
+        ordered(brute.jaccard_components(pairs(near), 3, 90, 100))
+    assert components_of(few, 5, 4, 5, long_list=0) == ordered(brute.jaccard_components(pairs(few), 5, 4, 5))
 
 
 def test_given_documents_like_brute_force(small):

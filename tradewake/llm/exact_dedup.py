@@ -15,14 +15,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewake.llm.frames import WHITE, doc_texts, fingerprint, rows_of
+from tradewake.llm.frames import WHITE, doc_texts, fingerprint, maybe_among, rows_of
 from tradewake.session import stored
 
 # A hash that occurs often is looked up under so many keys, which spreads the texts of its rows.
 SPREAD = 8
-# The bitmap has so many words of 64 bits at most, a broadcast of fixed size whatever the input.
-# A full one lets every text pass to the join on the hash itself, with the same result.
-BITMAP_WORDS = 1 << 19
 
 
 def normal_text(text: Column) -> Column:
@@ -35,20 +32,6 @@ def content_hash(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def _word(number: Column) -> Column:
-    return F.shiftrightunsigned(number, 6).bitwiseAND(BITMAP_WORDS - 1)
-
-
-def may_repeat(texts: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose hash may be one of ``repeated``: all that are, and few others."""
-    own, theirs = F.xxhash64("hash"), F.xxhash64(repeated["hash"])
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), theirs.bitwiseAND(63).cast("int"))
-    words = repeated.groupBy(_word(theirs).alias("word")).agg(F.bit_or(one).alias("bits"))
-    bit = F.call_function("shiftrightunsigned", F.col("bits"), own.bitwiseAND(63).cast("int"))
-    return texts.join(F.broadcast(words), _word(own) == F.col("word")) \
-        .filter(bit.bitwiseAND(1) == 1).drop("word", "bits")
-
-
 def exact_groups(docs: DataFrame,
                  content: Callable[[Column], Column] = content_hash) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row per row of ``docs``.
@@ -69,7 +52,7 @@ def exact_groups(docs: DataFrame,
     repeated = stored(narrow.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
                       .select("hash"), "exact-repeated")
     keys = repeated.select("hash", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
-    copies = may_repeat(texts, repeated) \
+    copies = maybe_among(texts, F.xxhash64("hash"), repeated.select(F.xxhash64("hash"))) \
         .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)).cast("int")) \
         .join(keys, ["hash", "part"], "left_semi")
     by_bytes = copies.groupBy("hash", F.sha2(F.col("same"), 256).alias("text_sha256"), "same") \

@@ -13,6 +13,8 @@ from tradewake.operators.lookups import measured
 from tradewake.session import stored
 
 WHITE = " \t\n\x0b\x0c\r"
+# Words of 64 bits in the bitmaps that are broadcast as tables.
+BITMAP_WORDS = 1 << 19
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -96,6 +98,25 @@ def bitmap(numbers: DataFrame, bits: int) -> np.ndarray:
     return found
 
 
+def maybe_among(frame: DataFrame, number: Column, wanted: DataFrame) -> DataFrame:
+    """Rows whose 64-bit number may be among those of the one-column frame ``wanted``.
+
+    All rows whose number is there, and few others. The bitmap is broadcast and has ``BITMAP_WORDS`` words at
+    most, whatever the input; a full one lets every row pass to the exact join that follows.
+    """
+    def word(value: Column) -> Column:
+        return F.shiftrightunsigned(value, 6).bitwiseAND(BITMAP_WORDS - 1)
+
+    theirs = F.col(wanted.columns[0])
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), theirs.bitwiseAND(63).cast("int"))
+    words = wanted.groupBy(word(theirs).alias("bitmap_word")).agg(F.bit_or(one).alias("bitmap_bits"))
+    found = frame.withColumn("bitmap_number", number)
+    bit = F.call_function("shiftrightunsigned", F.col("bitmap_bits"),
+                          F.col("bitmap_number").bitwiseAND(63).cast("int"))
+    return found.join(F.broadcast(words), word(F.col("bitmap_number")) == F.col("bitmap_word")) \
+        .filter(bit.bitwiseAND(1) == 1).drop("bitmap_number", "bitmap_word", "bitmap_bits")
+
+
 def may_be(found: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """False for numbers that surely are not among those of the bitmap."""
     place = numbers & (len(found) * 64 - 1)

@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from tradewake.llm.components import components
 from tradewake.llm.flat import NOT_SPACE, row_ranges, shingles, text_buffers, words
-from tradewake.llm.frames import doc_texts, fingerprint, map_batches, rows_of, sized
+from tradewake.llm.frames import doc_texts, fingerprint, map_batches, maybe_among, rows_of, sized
 from tradewake.session import stored
 
 BATCH_BYTES = 1 << 20
@@ -43,7 +43,7 @@ BUCKETS = 1 << BUCKET_BITS
 # own leader.
 LONG_LIST, PIECES = 1 << 22, 64
 # Shingles of a block of sets that are compared with another block in one task.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 # Prefix shingles that a set shares with a leader, or with sets of a hub, before it is compared with it;
 # fewer for short prefixes. A matter of effort: pairs not tried here are found in step 2.
 TRIED_FROM, TRIED_AGAIN_FROM = 4, 2
@@ -116,7 +116,7 @@ def _sketch(described: DataFrame) -> np.ndarray:
 
 
 def _prefixes(batches: Iterable[pa.RecordBatch], size: int, num: int, den: int,
-              sketch) -> Iterator[pa.RecordBatch]:
+              sketch, long_list: int) -> Iterator[pa.RecordBatch]:
     """Prefix shingles of every set; a set that occurs again within the task is left out."""
     counts, seen = sketch.value, set()
     for batch in batches:
@@ -130,7 +130,7 @@ def _prefixes(batches: Iterable[pa.RecordBatch], size: int, num: int, den: int,
             length = len(tokens) + (-num * len(tokens)) // den + min(1 + len(tokens) // SHARED_PER, MOST_SHARED)
             order = np.lexsort((tokens, often))[:length]
             token.append(tokens[order].view(np.int64))
-            salt.append(np.where(often[order] > LONG_LIST, 1 + own[0] % PIECES, 0))
+            salt.append(np.where(often[order] > long_list, 1 + own[0] % PIECES, 0))
             sid += [own] * len(order)
             n.append(np.full(len(order), len(tokens)))
             pos.append(np.arange(len(order)))
@@ -228,10 +228,11 @@ def _within_hub(table: pa.Table, size: int, num: int, den: int) -> pa.Table:
 
 
 def _similar(n: Column, m: Column, overlap: Column, num: int, den: int) -> Column:
-    return overlap * (num + den) >= (n + m) * num
+    return overlap.cast("long") * (num + den) >= (n.cast("long") + m) * num
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int = 5,
+                       long_list: int = LONG_LIST) -> DataFrame:
     """doc_id, n_shingles, component_id, first, key_text: one row per row of ``docs``.
 
     A document's set are its distinct shingles of ``size`` words, lower-cased in A-Z; with fewer
@@ -254,13 +255,13 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
 
     same_list = Window.partitionBy("token", "salt")
     entries = texts.select("text").mapInArrow(
-        lambda batches: _prefixes(batches, size, num, den, sketch),
+        lambda batches: _prefixes(batches, size, num, den, sketch, long_list),
         "token long, salt int, sid binary, n int, pos int") \
         .repartition("token", "salt").dropDuplicates(["token", "salt", "sid"])
     pieces = entries.withColumn("members", F.count("*").over(same_list)) \
         .withColumn("leader", F.min(F.struct("sid", "n")).over(same_list))
     columns = ("token", "sid", "n", "pos", "leader")
-    if sketch.value.max() > LONG_LIST:
+    if sketch.value.max() > long_list:
         # A set alone in its piece stays if its list has other pieces: step 2 joins whole lists.
         pieces = stored(pieces.filter("members > 1 OR salt > 0"), "pieces")
         whole = pieces.filter("salt > 0").groupBy("token").agg(F.count("*").alias("sets")) \
@@ -291,11 +292,13 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
         """(sid, text) of the classes in pairs (a, b): texts compress better than shingles."""
         needed = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select("b")).distinct()
         keys = stored(first.join(needed, "sid", "left_semi").select(
-            "sid", F.col("one.doc_id").alias("key_id"), F.col("one.key_text").alias("key_text")),
+            "sid", F.col("one.doc_id").alias("class_id"), F.col("one.key_text").alias("class_text")),
             "class-keys")
-        same = docs["doc_id"].cast("long").eqNullSafe(keys["key_id"]) & \
-            (fingerprint(docs["text"]) == keys["key_text"])
-        return stored(docs.join(sized(keys), same).select(keys["sid"], docs["text"]).dropDuplicates(["sid"]),
+        # Of other documents few pass the bitmap: only texts that are needed are shuffled.
+        near = maybe_among(texts, F.xxhash64("doc_id", "key_text"),
+                           keys.select(F.xxhash64("class_id", "class_text")))
+        same = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key_text") == F.col("class_text"))
+        return stored(near.join(sized(keys), same).select("sid", "text").dropDuplicates(["sid"]),
                       "class-texts")
 
     def compared(pairs: DataFrame, own: DataFrame) -> DataFrame:
@@ -335,13 +338,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
     star = star.unionByName(stored(compared(again, class_texts(again)), "star-again")
                             .withColumn("linked", linked))
     hubs = stored(found_hubs(star), "hubs")
-    placed = stored(with_hubs(hubs).drop("main"), "placed")
-    other = placed.select("token", *(F.col(c).alias(f"{c}2") for c in ("sid", "n", "pos", "hub")))
+    # A list falls into blocks of sets of similar size. Two sets can only link if they are in the same
+    # block or in neighbouring ones: other pairs of blocks are skipped. (Skipping blocks by position as
+    # well would skip none: prefixes are no longer than the positions of linked sets may differ.)
+    placed = stored(with_hubs(hubs).drop("main").withColumn("block", F.floor(
+        F.log(F.col("n")) / float(np.log(den / num) + 1e-9)).cast("int")), "placed")
+    other = placed.select("token", F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"),
+                          *(F.col(c).alias(f"{c}2") for c in ("sid", "n", "pos", "hub")))
     rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + F.least("pos", "pos2")
     across = stored(
-        placed.join(other, "token").filter(
-            (F.col("sid") < F.col("sid2")) & (F.col("hub") != F.col("hub2")) &
-            (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) &
+        placed.join(other, ["token", "block"]).filter(
+            (F.struct("n", "sid") < F.struct(F.col("n2").alias("n"), F.col("sid2").alias("sid"))) & (F.col("hub") != F.col("hub2")) &
+            (F.col("n").cast("long") * den >= F.col("n2").cast("long") * num) &
             _similar(F.col("n"), F.col("n2"), rest, num, den))
         .groupBy(F.col("sid").alias("a"), F.col("sid2").alias("b"), F.least("n", "n2").alias("smaller"))
         .agg(F.count("*").alias("common")).filter(F.col("common") >= shared(F.col("smaller")))
