@@ -115,6 +115,47 @@ def test_timing_loads_the_last_day_without_rewriting_files(finished):
     assert (timing.fact_rows, timing.delta_rows, timing.files_rewritten) == (3, 2, 0)
 
 
+def marts(lake, rows):
+    return [rows(lake.read("gold", name)) for name in daily_run.MARTS]
+
+
+def test_marts_follow_increments_in_any_order(lake, rows):
+    """New days, late and corrected settlements, a status that leaves the mart: as a full rebuild."""
+    daily_run.daily_run(lake, FIRST, gate=False)
+    sales, settlements = (lake.day_table("gold", name) for name in daily_run.FACTS)
+    first = {r["order_id"]: r for r in sales.read().collect()}
+
+    def changed(table, **columns):
+        frame = table.read().filter("order_id = '111-1'" if table is sales else "settlement_id = 'STL-2'")
+        for name, value in columns.items():
+            frame = frame.withColumn(name, F.lit(value).cast(frame.schema[name].dataType))
+        return frame
+
+    steps = [
+        lambda: settlements.replace_keys(changed(settlements, settlement_id="STL-9", order_ref="111-1", net_usd=1.0)),
+        lambda: settlements.replace_keys(changed(settlements, order_ref="111-2", payout_date="2024-02-01")),
+        lambda: sales.replace_keys(changed(sales, order_id="111-7", order_date="2024-01-09", revenue_usd=9.0)),
+        lambda: sales.replace_keys(changed(sales, is_settleable=False)),
+        lambda: sales.replace_keys(changed(sales, order_date="2024-01-02", is_settleable=True)),
+    ]
+    for number, step in enumerate(steps):
+        step()
+        if number != 1:  # once two increments come together
+            assert daily_run.build_marts(lake) is not None
+            found = marts(lake, rows)
+            daily_run.build_marts(lake, full_refresh=True)
+            assert marts(lake, rows) == found
+    assert len(first) == 3 and daily_run.build_marts(lake).days == set()
+
+
+def test_rows_without_order_id_rebuild_the_marts(lake, rows):
+    daily_run.daily_run(lake, FIRST, gate=False)
+    sales = lake.day_table("gold", "fct_sales")
+    sales.replace_keys(sales.read().limit(1).withColumn("order_id", F.lit(None).cast("string")))
+    assert daily_run.build_marts(lake) is None
+    assert lake.read("gold", "mart_reconciliation").filter("order_id IS NULL").count() in (0, 1)
+
+
 def test_live_orders_fill_in_what_the_feeds_lack(lake, rows):
     """The feed's row wins over events of its order; of several events the last one counts."""
     stamp = datetime(2024, 1, 2, 10)

@@ -21,7 +21,7 @@ def day(n):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    made = DayTable(spark, str(tmp_path / "table"), "d", "k")
+    made = DayTable(spark, str(tmp_path / "table"), "d", "k", ("k",))
 
     def fill(*data):
         made.replace_all(spark.createDataFrame(list(data), SCHEMA))
@@ -94,7 +94,7 @@ def long_table(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(day_table, "INDEX_ROWS", 500)
     monkeypatch.setattr(day_table, "MOST_SMALL_FILES", 1000)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    made = DayTable(spark, str(tmp_path / "facts"), "d", "k")
+    made = DayTable(spark, str(tmp_path / "facts"), "d", "k", ("k",))
     made.replace_all(spark.range(0, 20_000, 1, 4).selectExpr(
         "concat('K-', lpad(id * 7919 % 20000, 8, '0')) k",
         "date_add(date'2024-01-01', cast(id / 1000 as int)) d", "cast(id as int) v"))
@@ -195,8 +195,10 @@ def test_old_versions_are_deleted(table, frame, tmp_path):
     made = table(("a", day(1), 1))
     for n in range(6):
         made.replace_all(frame(("a", day(1), n)))
-    assert len(list((tmp_path / "table" / "_versions").glob("0*"))) == 2
-    assert len(list((tmp_path / "table" / "data").iterdir())) == 2
+    kept = day_table.KEPT_VERSIONS
+    assert len(list((tmp_path / "table" / "_versions").glob("0*"))) == kept
+    assert len(list((tmp_path / "table" / "data").iterdir())) == kept
+    assert made.changes(1) is None and made.manifest(1) is None
 
 
 def test_drop_day_and_append(table, frame, rows):
@@ -209,8 +211,36 @@ def test_drop_day_and_append(table, frame, rows):
 
 
 def test_an_unindexed_table_refuses_to_replace_keys(spark, frame, tmp_path):
-    made = DayTable(spark, str(tmp_path / "plain"), "d", "k", indexed=False)
+    made = DayTable(spark, str(tmp_path / "plain"), "d", "k")
     made.replace_all(frame(("a", day(1), 1)))
     assert made.manifest().index == ()
     with pytest.raises(ValueError, match="no index"):
         made.replace_keys(frame(("a", day(2), 1)))
+
+
+def test_changes_are_rows_that_differ(table, frame, rows, monkeypatch):
+    made = table(("a", day(1), 1), ("b", day(2), 1), ("c", None, 1))
+    made.replace_keys(frame(("a", day(1), 1), ("b", day(3), 2)))
+    assert rows(made.changes(1), "k", "d", "v", "change") == [
+        ("b", day(2), 1, -1), ("b", day(3), 2, 1)]
+    monkeypatch.setattr(day_table, "MOST_SMALL_FILES", 0)
+    made.replace_keys(frame(("b", day(3), 2)))
+    assert made.changes(2).count() == 0
+
+
+def test_rows_are_looked_up_and_left_out(long_table, spark, rows):
+    wanted = long_table.read().filter("v IN (5, 7000, 19999)").select("k")
+    assert rows(long_table.rows_with("k", wanted), "v") == [(19999,), (5,), (7000,)]
+    nothing = long_table.read().limit(0)
+    assert long_table.replace_keys(nothing, wanted).rows == 0
+    assert long_table.read().count() == 19_997
+    assert long_table.rows_with("k", wanted).count() == 0
+    with pytest.raises(ValueError, match="no index"):
+        long_table.rows_with("v", wanted)
+
+
+def test_days_are_replaced(table, frame, rows):
+    made = table(("a", day(1), 1), ("b", day(2), 1), ("c", None, 1))
+    made.replace_days(frame(("x", day(2), 2), ("y", None, 2)), {"2024-01-02", None})
+    assert read(rows, made) == [("a", day(1), 1), ("x", day(2), 2), ("y", None, 2)]
+    assert rows(made.read_days({None}), "k") == [("y",)]

@@ -8,6 +8,7 @@ import pytest
 
 from tradewake.schemas import MESSAGE
 from tradewake.sources.messages import from_files
+from tradewake.streaming import continuity
 from tradewake.streaming import orders as live
 
 
@@ -134,3 +135,67 @@ def test_unknown_quantity_gives_unknown_units(lane):
     lane.aggregate()
     found = live.live_table(lane.spark, lane.table).select("orders", "units").first()
     assert tuple(found) == (1, None)
+
+
+def dying(write):
+    """A writer whose run ends after the table was written, before the batch is committed."""
+    def writes(batch, batch_id):
+        write(batch, batch_id)
+        raise KeyError("the driver is gone")
+    return writes
+
+
+def test_run_that_ends_between_table_and_commit(lane, spark, rows):
+    """The batch runs again under its id: table, state and late count end as without the fault."""
+    def drain(checkpoint, table, writer=lambda w: w):
+        live.ensure_live_table(spark, table)
+        return live.drain_live_aggregate(
+            from_files(spark, lane.topic), str(lane.root / checkpoint), writer(live.table_upserter(table)),
+            lambda: live.orders_in(live.live_table(spark, table)), ledger=str(lane.root / f"{checkpoint}-late"))
+
+    def minutes(frame):
+        return rows(frame, "window_start", "window_end", "channel", "orders", "units")
+
+    calm, other = str(lane.root / "calm"), str(lane.root / "other")
+    lane.send(event(0, 1), event(1, 8, qty=2), event(2, 8, channel="backmarket"))
+    drain("ck_calm", calm)
+    with pytest.raises(Exception, match="driver is gone"):
+        drain("ck_other", other, dying)
+    assert minutes(live.live_table(spark, other)) == minutes(live.live_table(spark, calm))
+    drain("ck_other", other)
+    lane.send(event(3, 2), event(4, 8, qty=5), event(5, 9))  # the first is beyond the watermark
+    expected = drain("ck_calm", calm)
+    with pytest.raises(Exception, match="driver is gone"):
+        drain("ck_other", other, dying)
+    found = drain("ck_other", other)
+    assert expected.late_so_far == found.late_so_far == 1
+    assert minutes(live.live_table(spark, other)) == minutes(live.live_table(spark, calm))
+    table = live.live_table(spark, other)
+    still_open = live.open_minutes(spark, str(lane.root / "ck_other"))
+    held = minutes(still_open)
+    assert held and held == minutes(table.join(
+        still_open.select("window_start", "channel"), ["window_start", "channel"], "left_semi"))
+    assert live.open_minutes(spark, str(lane.root / "ck_other")).filter("minute(window_start) >= 8").count() == 3
+
+
+def test_interval_trigger_goes_on_until_stopped(lane, spark):
+    live.ensure_live_table(spark, lane.table)
+    query = live.start_live_aggregate(from_files(spark, lane.topic), str(lane.root / "ck_run"),
+                                      live.table_upserter(lane.table), live.Trigger("1 second"))
+    try:
+        for n in (1, 2):
+            lane.send(event(n, n))
+            query.processAllAvailable()
+            assert query.isActive and len(lane.minutes()) == n
+    finally:
+        query.stop()
+
+
+def test_offset_runs_show_gaps_and_repeats(spark, rows):
+    landed = [(0, o) for o in range(10)] + [(0, 12), (0, 13), (0, 13), (1, 5), (1, 7), (1, 7), (1, 7), (None, 3), (2, None)]
+    events = spark.createDataFrame(landed, "kafka_partition int, kafka_offset long")
+    expected = [(0, 0, 9, 10, 0), (0, 12, 13, 2, 1), (1, 5, 5, 1, 0), (1, 7, 7, 1, 2)]
+    columns = ("kafka_partition", "first_offset", "last_offset", "messages", "repeats")
+    for block in (1, 3, 1 << 20):
+        assert rows(continuity.offset_runs(events, block), *columns) == expected
+    assert continuity.offset_runs(events.limit(0)).collect() == []

@@ -182,3 +182,29 @@ def test_asof_join_takes_the_version_of_the_day(spark, rows, budget):
     found = rows(scd2.asof_product_join(facts, lookup), "order_id", "asof_list_price")
     assert found == [("after", 12.0), ("before", 10.0), ("early", None), ("first", 10.0),
                      ("other", None)]
+
+
+def test_asof_merge_like_the_join(spark, rows):
+    """Many versions of a hot product, facts on boundaries, before the first, without product or day."""
+    versions = spark.sql("""
+        SELECT p AS product_id, timestamp'2020-01-01' + make_interval(0, 0, 0, CAST(7 * n AS int)) AS valid_from,
+               IF(n < 99, timestamp'2020-01-01' + make_interval(0, 0, 0, CAST(7 * n + 7 - (n % 5) AS int)), NULL)
+                   AS valid_to, CAST(n AS double) AS price
+        FROM (SELECT id AS n FROM range(100)), (SELECT explode(array(1, 2, 3)) AS p)
+        WHERE p = 1 OR n % 10 = p
+        UNION ALL SELECT NULL, timestamp'2020-01-01', NULL, -1.0""")
+    facts = spark.sql("""
+        SELECT id AS price, IF(id % 3 = 0, 1, CAST(id % 5 AS int)) AS product_id,
+               date_add(date'2019-12-01', CAST(id * 13 % 900 AS int)) AS sold FROM range(2000)
+        UNION ALL SELECT -1, NULL, date'2020-05-05' UNION ALL SELECT -2, 1, NULL""")
+    found = scd2.asof_merge(facts, versions, "product_id", "sold", span_days=11)
+    assert found.columns == [*facts.columns, "version"]
+    v = versions.select(F.col("product_id").alias("of"), "valid_from", "valid_to", F.col("price").alias("p"))
+    at = F.col("sold").cast("timestamp")
+    wanted = facts.join(v, (F.col("product_id") == F.col("of")) & (at >= F.col("valid_from"))
+                        & (F.col("valid_to").isNull() | (at < F.col("valid_to"))), "left")
+    assert rows(found.select("price", "product_id", "sold", F.col("version.price").alias("p"))) == \
+        rows(wanted.select("price", "product_id", "sold", "p"))
+    assert scd2.asof_merge(facts.limit(0), versions, "product_id", "sold").collect() == []
+    none = scd2.asof_merge(facts, versions.limit(0), "product_id", "sold")
+    assert none.count() == 2002 and none.filter("version IS NOT NULL").isEmpty()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewake.operators.lookups import Lookup
@@ -18,6 +18,10 @@ from tradewake.schemas import PRODUCT_COLUMNS
 
 TRACKED = ("list_price", "grade")
 VERSION_COLUMNS = (*PRODUCT_COLUMNS, "valid_from", "valid_to")
+# Days of history of one product that an as-of merge puts into one group.
+SPAN_DAYS = 30
+# Groups that facts without product or day are spread over.
+UNKNOWN = 1024
 
 
 def first_versions(source: DataFrame, snapshot_ts: Column) -> DataFrame:
@@ -83,3 +87,47 @@ def asof_product_join(facts: DataFrame, products: Lookup, day: str = "order_date
     valid = ((F.col("product_id") == F.col("version_of")) & (at >= F.col("valid_from"))
              & (F.col("valid_to").isNull() | (at < F.col("valid_to"))))
     return versions.left_join(facts, valid).drop("version_of", "valid_from", "valid_to")
+
+
+def asof_merge(facts: DataFrame, versions: DataFrame, key: str, day: str,
+               span_days: int = SPAN_DAYS) -> DataFrame:
+    """Give every fact the ``version`` (a struct) of its key that is valid on its day, or NULL.
+
+    For keys of many versions: an equijoin would pair each fact of a key with all of them. Here facts
+    and versions of a key are sorted by time together, and the last version is carried forward.
+    Time is cut into spans, so that a hot key's history is many groups; a version is
+    in each span it reaches into, which costs a row per span and never one per fact.
+
+    ``versions`` has the key, ``valid_from`` and ``valid_to`` (NULL while open), not overlapping within a key, and
+    any other columns. Facts without a key, a day, or a version that early keep NULL.
+    """
+    # Names of our own, which no column of either side can be.
+    when = F.col(day).cast("timestamp")
+    span = F.floor(F.unix_seconds(when) / (86400 * span_days))
+    unknown = F.col(key).isNull() | when.isNull()
+    whole = F.struct(*facts.columns)
+    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(UNKNOWN))
+    sold = facts.select(
+        F.when(~unknown, F.col(key)).alias("k"), F.when(unknown, spread).otherwise(span).alias("part"),
+        F.when(~unknown, when).alias("at"), F.lit(1).alias("kind"), whole.alias("fact"))
+    ends = facts.agg(F.min(when).alias("first"), F.max(when).alias("last")).head()
+    if ends["first"] is None:
+        return facts.withColumn("version", F.lit(None).cast(versions.schema))
+    first, last = F.lit(ends["first"]), F.lit(ends["last"])
+
+    def span_of(moment: Column) -> Column:
+        return F.floor(F.unix_seconds(moment) / (86400 * span_days))
+
+    begin, end = F.col("valid_from"), F.coalesce(F.col("valid_to"), last)
+    known = versions.filter(F.col(key).isNotNull() & (begin <= last) & (end >= first))
+    reached = F.sequence(span_of(F.greatest(begin, first)), span_of(F.least(end, last)))
+    offered = known.select(
+        F.col(key).alias("k"), F.explode(reached).alias("part"), begin.alias("at"), F.lit(0).alias("kind"),
+        F.struct(*versions.columns).alias("offer"))
+    both = sold.unionByName(offered, allowMissingColumns=True)
+    so_far = Window.partitionBy("k", "part").orderBy("at", "kind") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = F.last("offer", ignorenulls=True).over(so_far)
+    found = both.withColumn("carried", carried).filter("kind = 1")
+    holds = F.col("at").isNotNull() & (F.col("carried.valid_to").isNull() | (F.col("at") < F.col("carried.valid_to")))
+    return found.select("fact.*", F.when(holds, F.col("carried")).alias("version"))

@@ -6,7 +6,7 @@ stages and every stage replaces what it wrote before.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -16,11 +16,14 @@ from tradewake.operators import conform, incremental, quality, snapshot_table
 from tradewake.operators.lookups import Lookup, measure
 from tradewake.plans import gold
 from tradewake.schemas import RAW_SCHEMAS
+from tradewake.session import stored
 from tradewake.sources import files
 from tradewake.sources.day_table import Replaced
 from tradewake.sources.lake import Lake
 
 ENTITIES = tuple(RAW_SCHEMAS)
+FACTS = ("fct_sales", "fct_settlement")
+MARTS = ("mart_reconciliation", "agg_channel_daily")
 GOLD_TABLES = ("dim_channel", "dim_product", "dim_date", "fct_sales", "fct_settlement",
                "mart_reconciliation", "agg_channel_daily")
 
@@ -128,13 +131,56 @@ def refresh_fct_settlement(lake: Lake, full_refresh: bool = False,
                     lambda rows: gold.fct_settlement(rows, channels), full_refresh, lookback_days)
 
 
-def build_marts(lake: Lake) -> None:
-    recon = gold.mart_reconciliation(lake.read("gold", "fct_sales"),
-                                     lake.read("gold", "fct_settlement"))
-    incremental.write_full(recon, lake.path("gold", "mart_reconciliation"))
+@dataclass(frozen=True)
+class Changed:
+    """Order ids whose reconciliation, and days whose rollup, no longer hold."""
+
+    order_ids: DataFrame
+    days: set[str | None]
+
+
+def changed_since(lake: Lake, sources: Mapping[str, int]) -> Changed | None:
+    """What changed in the facts since those versions; None if that cannot be told.
+
+    It cannot if a version is not kept any more, or if rows without an order id changed: these
+    have no key to replace them by. Moved and rewritten rows that are as they were are no changes.
+    """
+    changes = {name: lake.day_table("gold", name).changes(sources.get(name, 0)) for name in FACTS}
+    if any(frame is None for frame in changes.values()):
+        return None
+    sales = stored(changes["fct_sales"].select("order_id", "order_date"), "changed-sales")
+    if not sales.filter("order_id IS NULL").isEmpty():
+        return None
+    ids = sales.select("order_id").unionAll(
+        changes["fct_settlement"].select("order_ref").filter("order_ref IS NOT NULL")).distinct()
+    days = sales.select(F.col("order_date").cast("string")).distinct().collect()  # at most all days
+    return Changed(stored(ids, "changed-orders"), {r[0] for r in days})
+
+
+def build_marts(lake: Lake, full_refresh: bool = False) -> Changed | None:
+    """Bring both marts up to the facts: what changed in them alone, or everything.
+
+    A mart names the versions of the facts it was made from, so that nothing is missed or counted
+    twice, in whatever order increments came, and whether or not a run in between was cut off.
+    """
+    sales, settlements = (lake.day_table("gold", name) for name in FACTS)
+    recon, rollup = (lake.day_table("gold", name) for name in MARTS)
+    sources = {name: lake.day_table("gold", name).manifest().number for name in FACTS}
+    built = [mart.manifest() for mart in (recon, rollup)]
+    changed = None
+    if not full_refresh and all(m is not None for m in built) and built[0].sources == built[1].sources:
+        changed = changed_since(lake, built[0].sources)
     channels = measure({"channels": lake.read("gold", "dim_channel")})["channels"]
-    rollup = gold.agg_channel_daily(lake.read("gold", "fct_sales"), channels)
-    incremental.write_full(rollup, lake.path("gold", "agg_channel_daily"))
+    if changed is None:
+        recon.replace_all(gold.mart_reconciliation(sales.read(), settlements.read()), sources)
+        rollup.replace_all(gold.agg_channel_daily(sales.read(), channels), sources)
+        return None
+    fresh = gold.mart_reconciliation(sales.rows_with("order_id", changed.order_ids),
+                                     settlements.rows_with("order_ref", changed.order_ids))
+    recon.replace_keys(fresh, changed.order_ids, sources)
+    rollup.replace_days(gold.agg_channel_daily(sales.read_days(changed.days), channels),
+                        changed.days, sources)
+    return changed
 
 
 def build_gold(lake: Lake, full_refresh: bool = False,
@@ -142,7 +188,7 @@ def build_gold(lake: Lake, full_refresh: bool = False,
     build_dimensions(lake)
     refresh_fct_sales(lake, full_refresh, lookback_days)
     refresh_fct_settlement(lake, full_refresh, lookback_days)
-    build_marts(lake)
+    build_marts(lake, full_refresh)
 
 
 def gold_tables(lake: Lake) -> dict[str, DataFrame]:

@@ -232,24 +232,34 @@ _CTES["fact_settlement"] = """
     SELECT s.settlement_id, s.order_ref, c.channel_sk, s.channel, s.payout_date, s.gross_usd,
            s.fees_usd, s.net_usd
     FROM settlements s LEFT JOIN channels c ON c.channel = s.channel"""
-_CTES["recon"] = """
+
+
+def _recon(facts: str) -> str:
+    return f"""
     SELECT s.order_id, s.source, s.order_date, s.canonical_status, s.revenue_usd AS booked_usd,
            CAST(t.net AS double) AS net_received_usd, CAST(t.fees AS double) AS fees_usd,
            t.order_ref IS NOT NULL AS is_settled,
            CAST(CAST(s.revenue_usd AS decimal(18,2)) - coalesce(t.net, 0)
                 - coalesce(t.fees, 0) AS double) AS gap_usd
-    FROM fact_sales s
+    FROM {facts} s
     LEFT JOIN (SELECT order_ref, sum(CAST(net_usd AS decimal(18,2))) AS net,
                       sum(CAST(fees_usd AS decimal(18,2))) AS fees
                FROM fact_settlement GROUP BY order_ref) t ON t.order_ref = s.order_id
     WHERE s.is_settleable"""
-_CTES["rollup"] = """
+
+
+def _rollup(facts: str) -> str:
+    return f"""
     SELECT channel_name, order_date, count(*) AS orders, CAST(sum(quantity) AS bigint) AS units,
            CAST(sum(CAST(revenue_usd AS decimal(18,2))) AS double) AS booked_usd,
            count(*) FILTER (WHERE is_returned) AS returned_orders,
            (count(*) FILTER (WHERE is_returned) * 20000 + count(*)) // (2 * count(*)) / 100.0
                AS return_rate_pct
-    FROM fact_sales JOIN channels USING (channel_sk) GROUP BY channel_name, order_date"""
+    FROM {facts} JOIN channels USING (channel_sk) GROUP BY channel_name, order_date"""
+
+
+_CTES["recon"] = _recon("fact_sales")
+_CTES["rollup"] = _rollup("fact_sales")
 _CTES["dates"] = """
     SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY))
            AS date) AS d FROM sales"""
@@ -271,6 +281,11 @@ _CTES["delta_strict"] = """
     SELECT * FROM fact_sales WHERE order_date > (SELECT d FROM loaded_to)"""
 _CTES["delta_lookback"] = """
     SELECT * FROM fact_sales WHERE order_date >= (SELECT d - 30 FROM loaded_to)"""
+_CTES["fact_healed"] = """
+    SELECT * FROM fact_first WHERE order_id NOT IN (SELECT order_id FROM delta_lookback)
+    UNION ALL SELECT * FROM delta_lookback"""
+_CTES["healed_recon"] = _recon("fact_healed")
+_CTES["healed_rollup"] = _rollup("fact_healed")
 
 # --- live aggregate --------------------------------------------------------------------------
 
@@ -293,6 +308,17 @@ def _two_waves(first: str) -> str:
     GROUP BY ALL"""
 
 
+def _offset_runs(kept: str, times: str) -> str:
+    """Gaps and islands over the messages' coordinates."""
+    return f"""
+    SELECT p AS kafka_partition, min(o) AS first_offset, max(o) AS last_offset, count(*) AS messages,
+           CAST(sum(n - 1) AS bigint) AS repeats
+    FROM (SELECT p, o, n, o - row_number() OVER (PARTITION BY p ORDER BY o) AS run
+          FROM (SELECT CAST(seq % 4 AS int) AS p, seq // 4 AS o, {times} AS n FROM events_x)
+          WHERE {kept})
+    GROUP BY p, run"""
+
+
 def _late_count(first: str) -> str:
     """Events per run; late are those of the second whose minute the watermark has passed."""
     late = (f"NOT ({first}) AND date_trunc('minute', event_ts) + INTERVAL 1 MINUTE <= (SELECT "
@@ -485,6 +511,12 @@ def oracle_queries() -> dict[str, str]:
             "v.grade AS asof_grade FROM sales s LEFT JOIN asof_products v ON "
             "v.product_id = s.product_id AND s.order_date >= v.valid_from AND "
             "(v.valid_to IS NULL OR s.order_date < v.valid_to)"),
+        "asof_merge_discounts": (
+            "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS part, l.l_shipdate, l.l_quantity, "
+            "v.valid_from AS discount_since, v.discount AS discount_before FROM lineitem l "
+            "ASOF LEFT JOIN (SELECT l_partkey AS part, date_trunc('month', CAST(l_shipdate AS date) "
+            "+ INTERVAL 31 DAY) AS valid_from, max(l_discount) AS discount FROM lineitem GROUP BY ALL) v "
+            "ON v.part = l.l_partkey AND l.l_shipdate >= v.valid_from"),
         "incremental_strict": "SELECT * FROM fact_first UNION ALL SELECT * FROM delta_strict",
         "incremental_lookback": (
             "SELECT * FROM fact_first WHERE order_id NOT IN (SELECT order_id FROM "
@@ -493,6 +525,8 @@ def oracle_queries() -> dict[str, str]:
             "SELECT count(*) AS loaded_rows, count(*) AS full_rows, CAST(0 AS bigint) AS "
             "differing FROM fact_sales"),
         "incremental_settlement": "SELECT * FROM fact_settlement",
+        "marts_incremental": "SELECT * FROM healed_recon",
+        "marts_incremental_daily": "SELECT * FROM healed_rollup",
         "append_delta_day": (
             "SELECT order_date, count(*) AS orders, CAST(sum(quantity) AS bigint) AS units, "
             f"{_SUM.format('revenue_usd')} AS revenue_usd FROM sales GROUP BY order_date"),
@@ -519,6 +553,8 @@ def oracle_queries() -> dict[str, str]:
                 "event_id", "order_id", "channel", "sku", "qty", "unit_price", "currency",
                 "status", "event_ts"))
             + ", CASE WHEN readable THEN CAST(event_ts AS date) END AS event_date FROM events_x"),
+        "stream_offset_runs": _offset_runs("TRUE", "1"),
+        "stream_offset_faults": _offset_runs("o % 101 <> 7", "CASE WHEN o % 103 = 5 THEN 2 ELSE 1 END"),
         "stream_distinct_ids": (
             "SELECT count(*) AS events, count(DISTINCT CASE WHEN readable THEN event_id END) "
             "AS distinct_ids FROM events_x"),

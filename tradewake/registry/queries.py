@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewake.functions.dates import parse_day
@@ -16,6 +16,7 @@ from tradewake.session import prepare, run_folder, stored
 from tradewake.registry.derived_feeds import DerivedFeeds
 from tradewake.sources.lake import Lake
 from tradewake.sources.messages import from_files
+from tradewake.streaming import continuity
 from tradewake.streaming import orders as live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,6 +335,26 @@ def asof_product_join(f: DerivedFeeds) -> DataFrame:
     return scd2.asof_product_join(facts, measured(versions))
 
 
+def _best_discounts(f: DerivedFeeds) -> DataFrame:
+    """Versions of every part: its largest discount, month by month of shipping, until the next one."""
+    months = f.table("lineitem").groupBy(
+        F.col("l_partkey").alias("part"),
+        F.date_trunc("month", F.date_add("l_shipdate", 31)).alias("valid_from")) \
+        .agg(F.max("l_discount").alias("discount"))
+    following = F.lead("valid_from").over(Window.partitionBy("part").orderBy("valid_from"))
+    return months.withColumn("valid_to", following)
+
+
+@_query
+def asof_merge_discounts(f: DerivedFeeds) -> DataFrame:
+    """Every line item with the largest discount that its part had until the month before."""
+    lines = f.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"),
+                                       "l_shipdate", "l_quantity")
+    return scd2.asof_merge(lines, _best_discounts(f), "part", "l_shipdate").select(
+        "l_orderkey", "l_linenumber", "part", "l_shipdate", "l_quantity",
+        F.col("version.valid_from").alias("discount_since"), F.col("version.discount").alias("discount_before"))
+
+
 # --- incremental loads -----------------------------------------------------------------------
 
 def _order_number() -> Column:
@@ -348,15 +369,17 @@ def _first_load(sales: DataFrame) -> DataFrame:
         _order_number() % 61 == 5, F.date_sub("order_date", 3)).otherwise(F.col("order_date")))
 
 
-def _loaded_twice(f: DerivedFeeds, lookback_days: int | None) -> DataFrame:
+def _loaded_twice(f: DerivedFeeds, lookback_days: int | None, lake: Lake | None = None,
+                  between: Callable[[], object] = lambda: None) -> DataFrame:
     """First load with the first product snapshot, second load with the second one."""
-    table = _new_lake(f, "facts").day_table("gold", "fct_sales")
+    table = (lake or _new_lake(f, "facts")).day_table("gold", "fct_sales")
     sales = f.once(_sales)
     old = gold.dim_product(scd2.first_versions(conform.conform_products(f.ref_product()),
                                                _at(FIRST_SNAPSHOT)))
     dims = f.once(_dimensions)
     old_dims = {**dims, "products": measured(gold.current_products(old))}
     table.replace_all(_keyed_sales(_first_load(sales), old_dims))
+    between()
     loaded_to = table.loaded_to()
     delta = incremental.delta_strict(sales, loaded_to, "order_date") if lookback_days is None \
         else incremental.delta_lookback(sales, loaded_to, "order_date", lookback_days)
@@ -398,6 +421,33 @@ def incremental_settlement(f: DerivedFeeds) -> DataFrame:
     return table.read()
 
 
+def _marts_loaded_twice(f: DerivedFeeds) -> Lake:
+    """Marts built after the first loads, then brought up to the second ones by what changed."""
+    lake = _new_lake(f, "marts")
+    incremental.write_full(f.once(_channels), lake.path("gold", "dim_channel"))
+    cash = f.once(_fct_settlement)
+    ends = cash.select(F.date_sub(F.max("payout_date"), FIRST_LOAD_ENDS)).scalar()
+    lake.day_table("gold", "fct_settlement").replace_all(cash.filter(F.col("payout_date") <= ends))
+    _loaded_twice(f, LOOKBACK_DAYS, lake, between=lambda: daily_run.build_marts(lake))
+    settlements = lake.day_table("gold", "fct_settlement")
+    settlements.replace_keys(incremental.delta_strict(cash, settlements.loaded_to(), "payout_date"))
+    if daily_run.build_marts(lake) is None:
+        raise RuntimeError("the marts were rebuilt in full")
+    return lake
+
+
+@_query
+def marts_incremental(f: DerivedFeeds) -> DataFrame:
+    """Reconciliation after increments of both facts, recomputed for the orders they touched."""
+    return f.once(_marts_loaded_twice).read("gold", "mart_reconciliation")
+
+
+@_query
+def marts_incremental_daily(f: DerivedFeeds) -> DataFrame:
+    """Daily rollup after an increment of sales, recomputed for the days it touched."""
+    return f.once(_marts_loaded_twice).read("gold", "agg_channel_daily")
+
+
 @_query
 def append_delta_day(f: DerivedFeeds) -> DataFrame:
     """Silver per day after its last day was held back and then added."""
@@ -505,8 +555,8 @@ def gate_report(f: DerivedFeeds) -> DataFrame:
 
 def _published(f: DerivedFeeds) -> Lake:
     lake = _new_lake(f, "serving")
-    incremental.write_full(f.once(_rollup), lake.path("gold", "agg_channel_daily"))
-    incremental.write_full(f.once(_reconciliation), lake.path("gold", "mart_reconciliation"))
+    lake.day_table("gold", "agg_channel_daily").replace_all(f.once(_rollup))
+    lake.day_table("gold", "mart_reconciliation").replace_all(f.once(_reconciliation))
     publish.publish(lake)
     return lake
 
@@ -561,6 +611,20 @@ def stream_distinct_ids(f: DerivedFeeds) -> DataFrame:
                           F.count_distinct("event_id").alias("distinct_ids"))
 
 
+@_query
+def stream_offset_runs(f: DerivedFeeds) -> DataFrame:
+    """Runs of landed offsets, one a partition: nothing was lost and nothing landed twice."""
+    return continuity.offset_runs(_landed(f))
+
+
+@_query
+def stream_offset_faults(f: DerivedFeeds) -> DataFrame:
+    """Runs of offsets after every 101st message was lost and every 103rd landed twice."""
+    events = _landed(f).select("kafka_partition", "kafka_offset")
+    kept = events.filter("kafka_offset % 101 <> 7")
+    return continuity.offset_runs(kept.unionAll(kept.filter("kafka_offset % 103 = 5")))
+
+
 @_query
 def conform_stream_orders(f: DerivedFeeds) -> DataFrame:
     return conform.conform_events(_landed(f), f.once(_references))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,9 +35,12 @@ INDEX_ROWS = 1_000_000
 HASH_BITS = 12
 SHIFT = 64 - HASH_BITS
 INDEX = "hash long, day date"
+NO_SOURCES: Mapping[str, int] = {}
+# With so many days replaced, the new rows are dealt to several files.
+FEW_DAYS = 1000
 HASH_BYTES = 64  # an upper estimate of a hash in a broadcast
-# Readers of the version before the current one are not disturbed.
-KEPT_VERSIONS = 2
+# Readers of these versions are not disturbed, and what changed since them can be told.
+KEPT_VERSIONS = 4
 
 
 def _hash(key: str) -> Column:
@@ -67,6 +70,7 @@ class DataFile:
 
 @dataclass(frozen=True)
 class IndexFile:
+    column: str
     name: str
     rows: int
     least: int
@@ -79,17 +83,18 @@ class Manifest:
     schema: StructType
     data: tuple[DataFile, ...]
     index: tuple[IndexFile, ...]
+    sources: Mapping[str, int]  # versions of other tables that this one was made from
 
     def to_json(self) -> str:
         return json.dumps({"schema": self.schema.jsonValue(), "data": [asdict(f) for f in self.data],
-                           "index": [asdict(f) for f in self.index]})
+                           "index": [asdict(f) for f in self.index], "sources": dict(self.sources)})
 
     @classmethod
     def from_json(cls, number: int, text: str) -> Manifest:
         found = json.loads(text)
         return cls(number, StructType.fromJson(found["schema"]),
                    tuple(DataFile(**f) for f in found["data"]),
-                   tuple(IndexFile(**f) for f in found["index"]))
+                   tuple(IndexFile(**f) for f in found["index"]), found["sources"])
 
 
 @dataclass(frozen=True)
@@ -102,24 +107,25 @@ class Replaced:
 class DayTable:
     """The table at ``path``, its rows dated by ``day`` and told apart by ``key``.
 
-    Without an index its rows can be read and replaced as a whole only.
+    Rows can be looked up by the columns that have an index, ``lookups``. A table with none for
+    its key can be replaced as a whole or by days only.
     """
 
     spark: SparkSession
     path: str
     day: str
     key: str
-    indexed: bool = True
+    lookups: tuple[str, ...] = ()
 
     # --- reading
 
-    def manifest(self) -> Manifest | None:
-        """The current version, None before the first commit."""
-        numbers = [int(name) for name in files.names(self.spark, f"{self.path}/_versions")
-                   if name.isdigit()]
-        if not numbers:
-            return None
-        return Manifest.from_json(max(numbers), files.read_text(self.spark, self._version(max(numbers))))
+    def manifest(self, number: int | None = None) -> Manifest | None:
+        """The current version (None before the first commit), or one with a number if it is kept."""
+        if number is None:
+            names = files.names(self.spark, f"{self.path}/_versions")
+            number = max((int(name) for name in names if name.isdigit()), default=0)
+        text = files.read_text(self.spark, self._version(number)) if number else None
+        return None if text is None else Manifest.from_json(number, text)
 
     def exists(self) -> bool:
         return self.manifest() is not None
@@ -132,6 +138,36 @@ class DayTable:
         later = [f for f in manifest.data if f.last is not None and f.last > after]
         return self._frame(manifest.schema, later).filter(F.col(self.day) > F.lit(after).cast("date"))
 
+    def read_days(self, days: set[str | None]) -> DataFrame:
+        """Rows of some days, None for those without; other files are not opened."""
+        manifest = self._current()
+        return self._frame(manifest.schema, [f for f in manifest.data if f.may_hold(days)]) \
+            .filter(self._on(days))
+
+    def rows_with(self, column: str, values: DataFrame) -> DataFrame:
+        """Rows whose ``column``, which has an index, is one of the values of a one-column frame."""
+        manifest = self._current()
+        values = values.select(F.col(values.columns[0]).alias(column)).filter(F.col(column).isNotNull())
+        bits = values.groupBy(_leading(_hash(column)).alias("bits")).agg(F.count("*").alias("rows")).collect()
+        days = self._days_with(manifest, column, values, sum(r["rows"] for r in bits),
+                               {r["bits"] for r in bits})
+        return self._frame(manifest.schema, [f for f in manifest.data if f.may_hold(days)]) \
+            .join(self._small(values), column, "left_semi").select(*manifest.schema.names)
+
+    def changes(self, since: int) -> DataFrame | None:
+        """Rows that this version has and that one had not, and the other way round, with ``change``.
+
+        That is the number of times a row was added (above zero) or removed. Only files that one
+        version has and not the other are opened. None if that version is not kept any more.
+        """
+        old, new = self.manifest(since), self._current()
+        if old is None:
+            return None
+        before = self._frame(old.schema, [f for f in old.data if f not in new.data])
+        after = self._frame(new.schema, [f for f in new.data if f not in old.data])
+        both = before.withColumn("change", F.lit(-1)).unionByName(after.withColumn("change", F.lit(1)))
+        return both.groupBy(*new.schema.names).agg(F.sum("change").alias("change")).filter("change <> 0")
+
     def days(self) -> tuple[str | None, str | None]:
         """First and last day, from the manifest alone."""
         dated = [f for f in self._current().data if f.first is not None]
@@ -143,16 +179,19 @@ class DayTable:
 
     # --- committing
 
-    def replace_all(self, frame: DataFrame) -> None:
+    def replace_all(self, frame: DataFrame, sources: Mapping[str, int] = NO_SOURCES) -> None:
         """A version with the rows of ``frame`` alone."""
         base = self.manifest()
         data = self._write_data(frame)
         index = self._write_index(self._frame(frame.schema, data), sum(f.rows for f in data))
-        self._commit(Manifest(base.number + 1 if base else 1, frame.schema, data, index))
+        self._commit(Manifest(base.number + 1 if base else 1, frame.schema, data, index, sources))
 
-    def replace_keys(self, delta: DataFrame) -> Replaced:
+    def replace_keys(self, delta: DataFrame, gone: DataFrame | None = None,
+                     sources: Mapping[str, int] = NO_SOURCES) -> Replaced:
         """A version in which the delta's rows stand for all rows with their keys.
 
+        Rows with a key in the one-column frame ``gone`` are left out too.
+
         The delta is stored first: it is read several times, and may depend on the table. Of the
         table, only files are opened that may hold one of its keys, or that are small when there
         have come to be many of those. Rows without a key are added.
@@ -167,15 +206,21 @@ class DayTable:
             F.max(self.day).cast("string").alias("last"),
             F.count_if(F.col(self.day).isNull()).alias("undated")).collect()  # 2^HASH_BITS + 1 at most
         rows = sum(r["rows"] for r in profile)
-        if not rows:
+        keys, bits, looked_up = staged.select(self.key), {r["bits"] for r in profile}, rows
+        if gone is not None:
+            keys = keys.unionAll(gone)
+            more = gone.select(F.col(gone.columns[0]).alias("key")) \
+                .groupBy(_leading(_hash("key")).alias("bits")).agg(F.count("*").alias("rows")).collect()
+            bits, looked_up = bits | {r["bits"] for r in more}, rows + sum(r["rows"] for r in more)
+        if not looked_up:
             files.delete(self.spark, f"{self.path}/data/{folder}")
             return Replaced(0, 0)
-        stale = self._days_with(base, staged, rows, {r["bits"] for r in profile} - {None})
+        stale = self._days_with(base, self.key, keys, looked_up, bits - {None})
         rewritten = [f for f in base.data if f.may_hold(stale)]
         if len([f for f in base.data if f.rows < SMALL_ROWS]) > MOST_SMALL_FILES:
             rewritten = [f for f in base.data if f in rewritten or f.rows < SMALL_ROWS]
         written = [n for n in files.names(self.spark, f"{self.path}/data/{folder}") if n.endswith(".parquet")]
-        if not rewritten and len(written) == 1:
+        if rows and not rewritten and len(written) == 1:
             dated = [r for r in profile if r["first"] is not None]
             data = (DataFile(f"{folder}/{written[0]}", rows,
                              min((r["first"] for r in dated), default=None),
@@ -183,16 +228,16 @@ class DayTable:
                              sum(r["undated"] for r in profile)),)
         else:
             left = self._frame(base.schema, rewritten).join(
-                self._small(staged.select(self.key).filter(F.col(self.key).isNotNull())),
-                self.key, "left_anti").select(*base.schema.names)
+                self._small(keys.filter(F.col(self.key).isNotNull())), self.key,
+                "left_anti").select(*base.schema.names)
             total = rows + sum(f.rows for f in rewritten)
             data = self._write_data(left.unionByName(staged), few=total <= SMALL_ROWS)
         kept = tuple(f for f in base.data if f not in rewritten)
         # Rows that were only moved to another file keep their day, and so their index rows.
         index = base.index + self._write_index(staged, rows)
-        if len([f for f in index if f.rows < INDEX_ROWS]) > MOST_SMALL_FILES:
+        if len([f for f in index if f.rows < INDEX_ROWS]) > MOST_SMALL_FILES * len(self.lookups):
             index = self._write_index(self._frame(base.schema, kept + data), sum(f.rows for f in kept + data))
-        self._commit(Manifest(base.number + 1, base.schema, kept + data, index))
+        self._commit(Manifest(base.number + 1, base.schema, kept + data, index, sources))
         if not any(f.name.startswith(folder) for f in data):
             files.delete(self.spark, f"{self.path}/data/{folder}")
         return Replaced(rows, len(rewritten))
@@ -202,17 +247,24 @@ class DayTable:
         base = self._current()
         data = self._write_data(frame.select(*base.schema.names))
         index = self._write_index(self._frame(base.schema, data), sum(f.rows for f in data))
-        self._commit(Manifest(base.number + 1, base.schema, base.data + data, base.index + index))
+        self._commit(Manifest(base.number + 1, base.schema, base.data + data, base.index + index, NO_SOURCES))
 
-    def drop_day(self, day: str) -> None:
-        """A version without the rows of a day."""
+    def replace_days(self, frame: DataFrame, days: set[str | None],
+                     sources: Mapping[str, int] = NO_SOURCES) -> None:
+        """A version in which ``frame`` stands for all rows of some days (None for those without)."""
         base = self._current()
-        touched = [f for f in base.data if f.may_hold({day})]
-        left = self._frame(base.schema, touched).filter(
-            F.coalesce(F.col(self.day) != F.lit(day).cast("date"), F.lit(True)))
-        data = self._write_data(left, few=sum(f.rows for f in touched) <= SMALL_ROWS)
+        touched = [f for f in base.data if f.may_hold(days)]
+        left = self._frame(base.schema, touched).filter(~self._on(days))
+        new = frame.select(*base.schema.names)
+        few = sum(f.rows for f in touched) <= SMALL_ROWS and len(days) <= FEW_DAYS
+        data = self._write_data(left.unionByName(new), few=few)
+        index = self._write_index(new, sum(f.rows for f in data)) if self.lookups else ()
         kept = tuple(f for f in base.data if f not in touched)
-        self._commit(Manifest(base.number + 1, base.schema, kept + data, base.index))
+        self._commit(Manifest(base.number + 1, base.schema, kept + data, base.index + index, sources))
+
+    def drop_day(self, day: str) -> None:
+        """A version without the rows of a day."""
+        self.replace_days(self.read().limit(0), {day})
 
     # --- steps
 
@@ -230,6 +282,11 @@ class DayTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/data/{f.name}" for f in chosen))
 
+    def _on(self, days: set[str | None]) -> Column:
+        """Whether a row is of one of the days; never null."""
+        dated = F.col(self.day).cast("string").isin(*sorted(d for d in days if d is not None))
+        return F.when(F.col(self.day).isNull(), F.lit(None in days)).otherwise(dated)
+
     def _small(self, keys: DataFrame) -> DataFrame:
         """Broadcast if its measured size is within the budget."""
         found = measured(keys)
@@ -253,32 +310,33 @@ class DayTable:
                      for r in sorted(found, key=lambda r: (r["first"] or "", r["name"])))
 
     def _write_index(self, rows: DataFrame, count: int) -> tuple[IndexFile, ...]:
-        """Index of ``count`` rows; one without a key is never looked up."""
-        if not self.indexed or not count:
-            return ()
-        folder = uuid.uuid4().hex
-        hashes = rows.select(_hash(self.key).alias("hash"), F.col(self.day).alias("day")) \
-            .filter("hash IS NOT NULL")
-        parts = -(-count // INDEX_ROWS)
-        dealt = hashes.coalesce(1) if parts == 1 else hashes.repartitionByRange(parts, "hash")
-        dealt.sortWithinPartitions("hash").write.parquet(f"{self.path}/index/{folder}")
-        found = self.spark.read.schema(INDEX).parquet(f"{self.path}/index/{folder}") \
-            .groupBy(F.col("_metadata.file_name").alias("name")).agg(
-                F.count("*").alias("rows"), F.min("hash").alias("least"),
-                F.max("hash").alias("greatest")).collect()
-        return tuple(IndexFile(f"{folder}/{r['name']}", r["rows"], r["least"], r["greatest"])
-                     for r in sorted(found, key=lambda r: (r["least"], r["name"])))
-
-    def _days_with(self, manifest: Manifest, staged: DataFrame, rows: int,
+        """Index of ``count`` rows at most for each column that has one; nulls are never looked up."""
+        found = []
+        for column in self.lookups if count else ():
+            folder = uuid.uuid4().hex
+            hashes = rows.select(_hash(column).alias("hash"), F.col(self.day).alias("day")) \
+                .filter("hash IS NOT NULL")
+            parts = -(-count // INDEX_ROWS)
+            dealt = hashes.coalesce(1) if parts == 1 else hashes.repartitionByRange(parts, "hash")
+            dealt.sortWithinPartitions("hash").write.parquet(f"{self.path}/index/{folder}")
+            spans = self.spark.read.schema(INDEX).parquet(f"{self.path}/index/{folder}") \
+                .groupBy(F.col("_metadata.file_name").alias("name")).agg(
+                    F.count("*").alias("rows"), F.min("hash").alias("least"),
+                    F.max("hash").alias("greatest")).collect()
+            found += [IndexFile(column, f"{folder}/{r['name']}", r["rows"], r["least"], r["greatest"])
+                      for r in sorted(spans, key=lambda r: (r["least"], r["name"]))]
+        return tuple(found)
+
+    def _days_with(self, manifest: Manifest, column: str, values: DataFrame, rows: int,
                    bits: set[int]) -> set[str | None]:
-        """Days that may hold old copies of the delta's keys, from the index files of their hashes."""
-        if not self.indexed:
-            raise ValueError(f"{self.path} has no index of its keys")
-        chosen = [f for f in manifest.index if any(
+        """Days that may hold a column's values, from the index files in the range of their hashes."""
+        if column not in self.lookups:
+            raise ValueError(f"{self.path} has no index of {column}")
+        chosen = [f for f in manifest.index if f.column == column and any(
             f.least >> SHIFT <= b <= f.greatest >> SHIFT for b in bits)]
         if not chosen:
             return set()
-        hashes = staged.select(_hash(self.key).alias("hash")).filter("hash IS NOT NULL")
+        hashes = values.select(_hash(column).alias("hash")).filter("hash IS NOT NULL")
         side = F.broadcast(hashes) if rows * HASH_BYTES <= BROADCAST_BUDGET else hashes
         found = self.spark.read.schema(INDEX).parquet(*(f"{self.path}/index/{f.name}" for f in chosen)) \
             .join(side, "hash", "left_semi").select(F.col("day").cast("string")).distinct()

@@ -14,12 +14,14 @@ from tradewake.schemas import RAW_SCHEMAS
 from tradewake.sources import files
 from tradewake.sources.day_table import DayTable
 
-# Versioned tables: column of the day, key, and whether increments look up old copies of keys.
-DAY_TABLES = {
-    ("silver", "sales"): ("order_date", "order_id", False),
-    ("silver", "settlements"): ("payout_date", "settlement_id", False),
-    ("gold", "fct_sales"): ("order_date", "order_id", True),
-    ("gold", "fct_settlement"): ("payout_date", "settlement_id", True),
+# Versioned tables: column of the day, key, and the columns that rows are looked up by.
+DAY_TABLES: dict[tuple[str, str], tuple[str, str, tuple[str, ...]]] = {
+    ("silver", "sales"): ("order_date", "order_id", ()),
+    ("silver", "settlements"): ("payout_date", "settlement_id", ()),
+    ("gold", "fct_sales"): ("order_date", "order_id", ("order_id",)),
+    ("gold", "fct_settlement"): ("payout_date", "settlement_id", ("settlement_id", "order_ref")),
+    ("gold", "mart_reconciliation"): ("order_date", "order_id", ("order_id",)),
+    ("gold", "agg_channel_daily"): ("order_date", "channel_name", ()),
 }
 
 
