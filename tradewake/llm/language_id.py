@@ -13,18 +13,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewake.llm.flat import row_ranges, text_buffers
-from tradewake.llm.frames import map_batches
+from tradewake.llm.frames import fingerprint, map_batches
 from tradewake.llm.quality import held_out
+from tradewake.session import stored
 
 HIDDEN = 8
 SPAN = 64
 BATCH_BYTES = 1 << 18
-# The sample: the most frequent languages, rows of each in hash order, spans of each row.
-LANGUAGES, ROWS_PER_LANGUAGE, SPANS_PER_ROW = 64, 500, 6
+# The sample: so many rows of a language, fewer if there are very many languages; spans of each row.
+ROWS_PER_LANGUAGE, SAMPLE_ROWS, SPANS_PER_ROW = 500, 32_000, 6
 UNKNOWN = "und"
 
 
@@ -177,23 +178,28 @@ def fit(spans: np.ndarray, mask: np.ndarray, labels: np.ndarray, languages: list
 def learn(docs: DataFrame) -> Network | None:
     """Learn from text and lang of rows that are not held out; None without any such row.
 
-    The sample is bounded: rows of at most ``LANGUAGES`` languages, the most frequent ones,
-    ``ROWS_PER_LANGUAGE`` of each in hash order of their ids, and ``SPANS_PER_ROW`` pieces of each.
+    Every language is a class. The sample is bounded: of each the ``ROWS_PER_LANGUAGE`` ids that come
+    first in hash order, at most ``SAMPLE_ROWS`` together (but one of each), and ``SPANS_PER_ROW``
+    pieces of each. Of several texts of an id in a language the one with the smallest hash counts.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
         & F.col("text").isNotNull())
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(row["lang"] for row in most)
+    counts = stored(known.groupBy(F.col("lang").alias("class")).agg(F.count("*").alias("n")), "languages")
+    languages = sorted(row["class"] for row in counts.select("class").collect())
     if not languages:
         return None
-    sample = None
-    for language in languages:
-        own = known.filter(F.col("lang") == language).select("doc_id", "lang") \
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(ROWS_PER_LANGUAGE)
-        sample = own if sample is None else sample.unionAll(own)
+    each = max(1, min(ROWS_PER_LANGUAGE, SAMPLE_ROWS // len(languages)))
+    # Twice the rows wanted, and some, have a hash below this share of all; of those the first count.
+    order = F.xxhash64("doc_id")
+    share = F.least(F.lit(1.0), (2 * each + 50) / F.col("n"))
+    early = order.cast("double") <= share * 2.0 ** 64 - 2.0 ** 63
+    texts = known.join(F.broadcast(counts), F.col("lang") == F.col("class")).filter(early) \
+        .groupBy("lang", "doc_id").agg(F.min(F.struct(fingerprint(F.col("text")).alias("key"), "text")).alias("one"))
+    first = Window.partitionBy("lang").orderBy(order, "doc_id")
     place = F.pmod(F.xxhash64("doc_id", "nth"), F.greatest(F.char_length("text") - SPAN, F.lit(0)) + 1)
-    rows = known.join(F.broadcast(sample.distinct()), ["doc_id", "lang"]) \
+    rows = texts.select("doc_id", "lang", F.col("one.text").alias("text")) \
+        .withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= each) \
         .withColumn("nth", F.explode(F.sequence(F.lit(1), F.lit(SPANS_PER_ROW)))) \
         .select("doc_id", "nth", "lang", F.substring("text", (place + 1).cast("int"), F.lit(SPAN)).alias("piece")) \
         .filter("piece <> ''").orderBy("doc_id", "nth", "piece", "lang").collect()

@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 An Aho-Corasick automaton finds anchors in a text: at-signs, plus signs, digits before a dot,
-schemes and cue words of identifiers. A small deterministic parser at each anchor expands it to the
+schemes, cue words of identifiers and fixed beginnings of access keys, in any letter case. A small deterministic parser at each anchor expands it to the
 boundaries of an address, number or account and validates it. The four base kinds have the meaning
 of a leftmost non-overlapping search per kind; the other kinds are found by cues.
 """
@@ -28,11 +28,20 @@ LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 LABEL = frozenset(string.ascii_letters + string.digits + "-")
 DIALLED = frozenset(string.digits + " ().-")
 WORD = frozenset(string.ascii_letters + string.digits)
+KEY = WORD | frozenset("_-")
+BETWEEN = frozenset(" \"'")
 TOKEN = frozenset(string.ascii_letters + string.digits + "_-/+.")
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "postgres://", "mysql://")
 SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key")
 ACCOUNT_CUES = ("iban",)
 SOCIAL_CUES = ("ssn", "social security")
+# Words that may stand between a cue and its value.
+SKIPPED = ("number", "no.", "nr.", "no", "nr", "id", "is", "#")
+# Fixed beginnings of access keys, their whole length, and whether they have capitals and digits alone.
+KEY_SHAPES = {"akia": (20, True), "asia": (20, True), "ghp_": (40, False), "gho_": (40, False),
+              "glpat-": (26, False), "xoxb-": (None, False), "sk_live_": (None, False)}
+LEAST_KEY = 24
+LOWER = {c: c + 32 for c in range(65, 91)}
 MAIL_WORDS = (" at ", "(at)", "[at]")
 
 Span = tuple[str, int, int]
@@ -44,10 +53,9 @@ def automaton() -> ahocorasick.Automaton:
     anchors = {"@": "at", "+": "plus", **{f"{d}.": "dot" for d in string.digits},
                **{d: "digit" for d in string.digits}}
     for names, what in ((SCHEMES, "scheme"), (SECRET_CUES, "secret"), (ACCOUNT_CUES, "account"),
-                        (SOCIAL_CUES, "social"), (MAIL_WORDS, "mail")):
+                        (SOCIAL_CUES, "social"), (MAIL_WORDS, "mail"), (KEY_SHAPES, "key")):
         for name in names:
-            for spelled in {name, name.upper(), name.capitalize()}:
-                anchors[spelled] = what
+            anchors[name] = what
     for anchor, what in anchors.items():
         found.add_word(anchor, (what, len(anchor)))
     found.make_automaton()
@@ -127,10 +135,18 @@ def luhn(digits: str) -> bool:
 
 
 def _after_cue(text: str, at: int) -> int:
-    """Where a value begins behind a cue word: past quotes, spaces and one of ``: =``."""
-    end = run_end(text, at, frozenset(" \"'"))
+    """Where a value begins behind a cue word: past quotes, spaces, words to skip, one of ``: =``."""
+    end = run_end(text, at, BETWEEN)
+    skipping = True
+    while skipping:
+        skipping = False
+        for word in SKIPPED:
+            past = end + len(word)
+            if text[end:past].lower() == word and (not word[-1].isalpha() or text[past:past + 1] not in WORD):
+                end, skipping = run_end(text, past, BETWEEN), True
+                break
     if end < len(text) and text[end] in ":=":
-        end = run_end(text, end + 1, frozenset(" \"'"))
+        end = run_end(text, end + 1, BETWEEN)
     return end
 
 
@@ -174,6 +190,14 @@ def _cued(text: str, what: str, start: int, end: int) -> Span | None:
         stop = run_end(text, begin, TOKEN) if begin > end else begin
         if stop - begin >= 16 and any(c in DIGITS for c in text[begin:stop]):
             return "secret", begin, stop
+    elif what == "key":
+        size, plain = KEY_SHAPES[text[start:end].lower()]
+        stop = run_end(text, end, KEY)
+        fits = stop - start == size if size else stop - start >= LEAST_KEY
+        key = text[start:stop]
+        if fits and text[start - 1:start] not in WORD and any(c in DIGITS for c in key) and (
+                not plain or key.isalnum() and key == key.upper()):
+            return "secret", start, stop
     return None
 
 
@@ -181,7 +205,8 @@ def find_spans(text: str) -> list[Span]:
     """All spans by start and then kind; an empty text has none."""
     spans: list[Span] = []
     email_free = ip_free = card_free = phone_free = 0
-    for last, (what, size) in automaton().iter(text):
+    # A copy with A-Z in lower case has the same places.
+    for last, (what, size) in automaton().iter(text.translate(LOWER)):
         at = last - size + 1
         if what == "digit":
             # One anchor per number: later digits of it lie before ``card_free``.

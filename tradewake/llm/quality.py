@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.llm.flat import mix, row_ranges, text_buffers, words
-from tradewake.llm.frames import doc_texts, map_batches
+from tradewake.llm.frames import doc_texts, fingerprint, map_batches
 
 DIMENSIONS = 1 << 18
 # Share of a feature times this is its value; it sets the pace of learning, not its outcome.
@@ -76,9 +76,12 @@ class Model:
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         numbers, counts = features(data, offsets)
-        sums = np.r_[0.0, np.cumsum(self.weights[numbers], dtype=np.float64)]
-        ends = np.cumsum(counts)
-        total = (sums[ends] - sums[ends - counts]) * float(SCALE) / np.maximum(counts, 1)
+        # Every row is added up alone, so its score does not depend on its neighbours.
+        total, own = np.zeros(len(counts)), counts > 0
+        if own.any():
+            total[own] = np.add.reduceat(self.weights[numbers].astype(np.float64),
+                                         (np.cumsum(counts) - counts)[own])
+        total *= float(SCALE) / np.maximum(counts, 1)
         return 1 / (1 + np.exp(-np.clip(total + self.bias, -30, 30)))
 
 
@@ -104,7 +107,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4, alpha:
 
 
 def _sparse(batch: pa.RecordBatch):
-    data, offsets = text_buffers(batch.column(1))
+    data, offsets = text_buffers(batch.column("text"))
     numbers, values = [], []
     for row in range(batch.num_rows):
         own, _ = features(data[offsets[row]:offsets[row + 1]], np.array([0, offsets[row + 1] - offsets[row]]))
@@ -112,8 +115,9 @@ def _sparse(batch: pa.RecordBatch):
         numbers.append(unique)
         values.append((times * float(SCALE) / max(len(own), 1)).astype(np.float32))
     yield pa.RecordBatch.from_arrays(
-        [batch.column(0), batch.column(2), pa.array(numbers, pa.list_(pa.int32())),
-         pa.array(values, pa.list_(pa.float32()))], names=["doc_id", "label", "numbers", "shares"])
+        [batch.column("doc_id"), batch.column("label"), batch.column("key_text"),
+         pa.array(numbers, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
+        names=["doc_id", "label", "key_text", "numbers", "shares"])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -128,8 +132,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality",
 
     The sample is bounded: of each label the ``per_label`` ids that come first in hash order.
     The driver gets their features, at most ``2 * per_label`` sparse rows. Rows without id or
-    label are no examples. Of several labels of an id the largest counts. Without examples all
-    scores are 0.5.
+    label are no examples. Of several labels of an id the largest counts, of several texts the one
+    with the smallest hash. Without examples all scores are 0.5.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
         .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))) \
@@ -138,10 +142,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality",
     picked = [known.filter(F.col("label") == value).orderBy(*order).limit(per_label) for value in (0, 1)]
     sample = picked[0].unionAll(picked[1])  # bounded by per_label, so its broadcast is too
     texts = doc_texts(docs).join(F.broadcast(sample), "doc_id") \
-        .select("doc_id", "text", "label")
-    rows = map_batches(texts, _sparse,
-                       "doc_id long, label int, numbers array<int>, shares array<float>") \
-        .dropDuplicates(["doc_id"]).toArrow().to_pylist() if sample.head(1) else []
+        .select("doc_id", "label", fingerprint(F.col("text")).alias("key_text"), "text")
+    rows = map_batches(texts, _sparse, "doc_id long, label int, key_text binary, numbers array<int>, "
+                                       "shares array<float>") \
+        .groupBy("doc_id", "label").agg(F.min(F.struct("key_text", "numbers", "shares")).alias("one")) \
+        .select("doc_id", "label", "one.numbers", "one.shares").toArrow().to_pylist() if sample.head(1) else []
     rows.sort(key=lambda r: (mix(np.array([r["doc_id"]]).astype(np.uint64))[0], r["doc_id"]))
     return fit([(np.array(r["numbers"], np.int64), np.array(r["shares"]), r["label"])
                 for r in rows])
