@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tradewake.operators import quality
-from tradewake.plans import daily_run, publish, refresh_timing
+from tradewake.plans import daily_run, gate, publish, refresh_timing
 from tradewake.schemas import RAW_SCHEMAS
 from tradewake.sources.lake import Lake
 
@@ -115,6 +116,33 @@ def test_timing_loads_the_last_day_without_rewriting_files(finished):
     assert (timing.fact_rows, timing.delta_rows, timing.files_rewritten) == (3, 2, 0)
 
 
+def test_second_gate_reads_new_files_only(lake, rows):
+    """Old data files are unreadable by then; the report is still that of the whole tables."""
+    daily_run.daily_run(lake, FIRST)
+    sales = lake.day_table("gold", "fct_sales")
+    assert [gate.Profile(lake, name).update() for name in gate.VERSIONED] == [0, 0, 0, 0]
+    before = {f.name for f in sales.manifest().data}
+    extra = sales.read().filter("order_id = '111-1'").withColumn("order_id", F.lit("111-9")) \
+        .withColumn("order_date", F.lit("2024-01-09").cast("date")).withColumn("revenue_usd", F.lit(None).cast("double")).withColumn("channel_sk", F.lit("nowhere"))
+    sales.replace_keys(extra)
+    for name in before:
+        Path(sales.path, "data", name).write_bytes(b"no parquet at all")
+    assert gate.Profile(lake, "fct_sales").update() == 1
+    failed = {(r["check"], r["subject"]): r["failing"] for r in gate.report(lake).filter("NOT passed").collect()}
+    assert failed == {("not_null", "fct_sales.revenue_usd"): 1, ("amounts", "fct_sales.revenue_usd"): 1,
+                      ("relationships", "fct_sales.channel_sk"): 1, ("orphans", "fct_sales.channel_sk"): 1}
+
+
+def test_gate_by_profiles_finds_repeated_keys(lake, rows):
+    daily_run.daily_run(lake, FIRST)
+    sales = lake.day_table("gold", "fct_sales")
+    sales.append(sales.read().filter("order_id = '111-2'"))
+    for _ in range(2):  # a version with repeated keys is never the one to start from
+        full = quality.full_report(daily_run.gold_tables(lake))
+        assert rows(gate.report(lake)) == rows(full)
+        assert rows(full.filter("NOT passed"), "check", "subject", "failing") == [("unique", "fct_sales.order_id", 1)]
+
+
 def marts(lake, rows):
     return [rows(lake.read("gold", name)) for name in daily_run.MARTS]
 

@@ -57,11 +57,11 @@ def _result(check: str, subject: Column | str, failing: Column, passed: Column)
             passed.alias("passed")]
 
 
-def _stack(parts: Sequence[DataFrame]) -> DataFrame:
+def stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _failing(frame: DataFrame, check: str, subject: str) -> DataFrame:
+def failing(frame: DataFrame, check: str, subject: str) -> DataFrame:
     """Count the given offending rows."""
     counted = frame.agg(F.count(F.lit(1)).alias("n"))
     return counted.select(*_result(check, subject, F.col("n"), F.col("n") == 0))
@@ -70,7 +70,7 @@ def _failing(frame: DataFrame, check: str, subject: str) -> DataFrame:
 Counter = tuple[str, str, Column]  # check, subject, number of failing rows as an aggregate
 
 
-def _counted(frame: DataFrame, counters: Sequence[Counter]) -> DataFrame:
+def counted(frame: DataFrame, counters: Sequence[Counter]) -> DataFrame:
     """Several checks of one table in one pass over it."""
     names = [f"c{i}" for i in range(len(counters))]
     counts = frame.agg(*[n.cast("long").alias(c) for c, (_, _, n) in zip(names, counters, strict=True)])
@@ -80,7 +80,7 @@ def _counted(frame: DataFrame, counters: Sequence[Counter]) -> DataFrame:
     return counts.select(rows.alias("r")).select("r.*").withColumn("passed", F.col("failing") == 0)
 
 
-def _null_counters(table: str, columns: Sequence[str]) -> list[Counter]:
+def null_counters(table: str, columns: Sequence[str]) -> list[Counter]:
     return [("not_null", f"{table}.{c}", F.count_if(F.col(c).isNull())) for c in columns]
 
 
@@ -88,18 +88,18 @@ def _empty_counter(table: str) -> Counter:
     return "non_empty", table, F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)
 
 
-def _amount_counters(table: str, columns: Sequence[str]) -> list[Counter]:
+def amount_counters(table: str, columns: Sequence[str]) -> list[Counter]:
     return [("amounts", f"{table}.{c}", F.count_if(cents(c).isNull())) for c in columns]
 
 
 def not_null(tables: Tables, rules: Mapping[str, Sequence[str]] = NOT_NULL) -> DataFrame:
     """All columns of a table in one pass."""
-    return _stack([_counted(tables[t], _null_counters(t, columns)) for t, columns in rules.items()])
+    return stack([counted(tables[t], null_counters(t, columns)) for t, columns in rules.items()])
 
 
 def amounts(tables: Tables, rules: Mapping[str, Sequence[str]] = AMOUNTS) -> DataFrame:
     """Amounts that are missing or that sums in cents would silently leave out."""
-    return _stack([_counted(tables[t], _amount_counters(t, columns)) for t, columns in rules.items()])
+    return stack([counted(tables[t], amount_counters(t, columns)) for t, columns in rules.items()])
 
 
 def duplicates(frame: DataFrame, key: str) -> DataFrame:
@@ -109,7 +109,7 @@ def duplicates(frame: DataFrame, key: str) -> DataFrame:
 
 
 def unique(tables: Tables, rules: Mapping[str, str] = UNIQUE) -> DataFrame:
-    return _stack([_failing(duplicates(tables[t], k), "unique", f"{t}.{k}")
+    return stack([failing(duplicates(tables[t], k), "unique", f"{t}.{k}")
                    for t, k in rules.items()])
 
 
@@ -123,7 +123,7 @@ def key_uses(tables: Tables, child: str,
     return stored(tables[child].groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "key-uses")
 
 
-def _lost(uses: DataFrame, column: str, parent: DataFrame, check: str, subject: str) -> DataFrame:
+def lost(uses: DataFrame, column: str, parent: DataFrame, check: str, subject: str) -> DataFrame:
     """Rows whose key has no partner; a NULL key in ``uses`` has none."""
     lost = uses.join(parent.select(column), column, "left_anti") \
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
@@ -135,51 +135,59 @@ def relationships(tables: Tables, rules: Sequence[tuple[str, str, str]] = REFERE
     """Non-NULL foreign keys without a partner."""
     if uses is None:
         uses = {child: key_uses(tables, child, rules) for child in {r[0] for r in rules}}
-    return _stack([
-        _lost(uses[child].filter(F.col(column).isNotNull()), column, tables[parent],
+    return stack([
+        lost(uses[child].filter(F.col(column).isNotNull()), column, tables[parent],
               "relationships", f"{child}.{column}") for child, column, parent in rules])
 
 
 def non_empty(tables: Tables, names: Sequence[str] = NON_EMPTY) -> DataFrame:
     """Here ``failing`` is 1 for an empty table."""
-    return _stack([_counted(tables[name], [_empty_counter(name)]) for name in names])
+    return stack([counted(tables[name], [_empty_counter(name)]) for name in names])
 
 
 def orphans(tables: Tables, uses: DataFrame | None = None) -> DataFrame:
     """Sales whose channel key resolves to nothing, NULL keys included."""
     if uses is None:
         uses = tables["fct_sales"].groupBy("channel_sk").agg(F.count(F.lit(1)).alias("n"))
-    return _lost(uses, "channel_sk", tables["dim_channel"], "orphans", "fct_sales.channel_sk")
+    return lost(uses, "channel_sk", tables["dim_channel"], "orphans", "fct_sales.channel_sk")
 
 
 def one_current_version(tables: Tables) -> DataFrame:
     twice = duplicates(tables["dim_product"].filter("is_current"), "product_id")
-    return _failing(twice, "one_current_version", "dim_product.product_id")
+    return failing(twice, "one_current_version", "dim_product.product_id")
 
 
-def gap_breaches(recon: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """Settled orders whose gap is too large to be currency drift."""
+def _breaks(tolerance: float) -> Column:
     exact = "decimal(18,2)"
     limit = F.lit(str(tolerance)).cast("decimal(6,4)") * F.col("booked_usd").try_cast(exact)
-    return recon.filter(F.col("is_settled") & (F.abs(F.col("gap_usd").try_cast(exact)) > limit))
+    return F.col("is_settled") & (F.abs(F.col("gap_usd").try_cast(exact)) > limit)
+
+
+def gap_breaches(recon: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """Settled orders whose gap is too large to be currency drift."""
+    return recon.filter(_breaks(tolerance))
 
 
 def gap_tolerance(tables: Tables) -> DataFrame:
-    return _failing(gap_breaches(tables["mart_reconciliation"]), "gap_tolerance",
+    return failing(gap_breaches(tables["mart_reconciliation"]), "gap_tolerance",
                     "mart_reconciliation.gap_usd")
 
 
+def breach_counter(table: str, tolerance: float = TOLERANCE) -> Counter:
+    return "gap_tolerance", f"{table}.gap_usd", F.count_if(F.coalesce(_breaks(tolerance), F.lit(False)))
+
+
 def full_report(tables: Tables) -> DataFrame:
     """Every check. A table is read once for all counts over its rows, once for each key that
     must be unique, and once for its foreign keys."""
     in_one_pass = []
     for table in dict.fromkeys((*NOT_NULL, *NON_EMPTY, *AMOUNTS)):
-        counters = _null_counters(table, NOT_NULL.get(table, ()))
+        counters = null_counters(table, NOT_NULL.get(table, ()))
         counters += [_empty_counter(table)] if table in NON_EMPTY else []
-        counters += _amount_counters(table, AMOUNTS.get(table, ()))
-        in_one_pass.append(_counted(tables[table], counters))
+        counters += amount_counters(table, AMOUNTS.get(table, ()))
+        in_one_pass.append(counted(tables[table], counters))
     uses = {child: key_uses(tables, child) for child in {r[0] for r in REFERENCES}}
-    return _stack([*in_one_pass, unique(tables), relationships(tables, uses=uses),
+    return stack([*in_one_pass, unique(tables), relationships(tables, uses=uses),
                    orphans(tables, uses["fct_sales"]), one_current_version(tables),
                    gap_tolerance(tables)])
 
@@ -202,7 +210,7 @@ def served_parity(gold: Tables, served: Mapping[str, DataFrame | None]) -> DataF
             "gold_rows", "served_rows",
             F.abs(F.col("gold_rows") - F.col("served_rows")).alias("failing"),
             same.alias("passed")))
-    return _stack(parts)
+    return stack(parts)
 
 
 def enforce(report: DataFrame) -> None:

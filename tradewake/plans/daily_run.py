@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewake.operators import conform, incremental, quality, snapshot_table
 from tradewake.operators.lookups import Lookup, measure
+from tradewake.plans import gate as gate_plan
 from tradewake.plans import gold
 from tradewake.schemas import RAW_SCHEMAS
 from tradewake.session import stored
@@ -205,5 +206,5 @@ def daily_run(lake: Lake, snapshot_ts: str, full_refresh: bool = False,
     snapshot_products(lake, snapshot_ts)
     build_gold(lake, full_refresh, lookback_days)
     if gate:
-        quality.enforce(quality.full_report(gold_tables(lake)))
+        quality.enforce(gate_plan.report(lake))
     return outcome

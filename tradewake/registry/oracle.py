@@ -540,6 +540,7 @@ def oracle_queries() -> dict[str, str]:
         "dq_gap_tolerance": _union(checks["gap_tolerance"]),
         "dq_gap_breaches": f"SELECT * FROM recon WHERE {_BREACH}",
         "gate_report": _union([text for kind in run_checks.values() for text in kind]),
+        "gate_incremental": _union([text for kind in run_checks.values() for text in kind]),
         "serving_parity": _union([
             f"SELECT 'served_parity' AS \"check\", '{name}' AS subject, count(*) AS gold_rows, "
             f"count(*) AS served_rows, CAST(0 AS bigint) AS failing, count(*) > 0 AS passed "

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradewake.functions.dates import parse_day
 from tradewake.operators import conform, incremental, quality, scd2, snapshot_table
 from tradewake.operators.lookups import Lookup, measure, measured
-from tradewake.plans import daily_run, dashboards, gold, publish
+from tradewake.plans import daily_run, dashboards, gate, gold, publish, refresh_timing
 from tradewake.session import prepare, run_folder, stored
 from tradewake.registry.derived_feeds import DerivedFeeds
 from tradewake.sources.lake import Lake
@@ -553,6 +553,18 @@ def gate_report(f: DerivedFeeds) -> DataFrame:
     return quality.full_report(daily_run.gold_tables(_finished_run(f)))
 
 
+@_query
+def gate_incremental(f: DerivedFeeds) -> DataFrame:
+    """The same checks by profiles, after the last day came on top of a gated run."""
+    lake = f.once(_finished_run)
+    refresh_timing.hold_back_last_day(lake)
+    daily_run.build_marts(lake)
+    gate.report(lake)
+    daily_run.refresh_fct_sales(lake)
+    daily_run.build_marts(lake)
+    return gate.report(lake)
+
+
 def _published(f: DerivedFeeds) -> Lake:
     lake = _new_lake(f, "serving")
     lake.day_table("gold", "agg_channel_daily").replace_all(f.once(_rollup))

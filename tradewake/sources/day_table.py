@@ -168,6 +168,10 @@ class DayTable:
         both = before.withColumn("change", F.lit(-1)).unionByName(after.withColumn("change", F.lit(1)))
         return both.groupBy(*new.schema.names).agg(F.sum("change").alias("change")).filter("change <> 0")
 
+    def frame(self, chosen: Sequence[DataFile]) -> DataFrame:
+        """Rows of some files of the current version."""
+        return self._frame(self._current().schema, chosen)
+
     def days(self) -> tuple[str | None, str | None]:
         """First and last day, from the manifest alone."""
         dated = [f for f in self._current().data if f.first is not None]
