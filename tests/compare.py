@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -58,7 +59,8 @@ if __name__ == "__main__":
     folder, wanted = sys.argv[1], sys.argv[2:]
     spark = build_session("compare", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
+        "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")})
     spark.sparkContext.setLogLevel("ERROR")
     con, oracle, bad = connect(folder), oracle_sql(), []
     for name, query in queries().items():

@@ -1,40 +1,24 @@
 """Every query of the library against its SQL, complete results.
 
-The tables are the smallest given ones. Queries that write a folder for every day read them with
-the order days thinned out to 120; all others read them as they are. `tests/compare.py` does the
-same on any of the given folders.
+The tables are the smallest given ones, as they are. `tests/compare.py` does the same on any of the
+given folders.
 """
 
 from __future__ import annotations
 
 import pytest
-from compare import TABLES, connect, differences
+from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tradewake.registry.oracle import oracle_queries
 from tradewake.registry.queries import registered
 
 GIVEN = "/root/testdata/sf0.001"
-WRITES_DAYS = {"append_delta_day", "gate_report", "incremental_equals_full", "incremental_lookback",
-               "incremental_settlement", "incremental_strict", "silver_both_lanes",
-               "staging_sales", "staging_settlements"}
-
-
-@pytest.fixture(scope="module")
-def thinned(tmp_path_factory):
-    made = tmp_path_factory.mktemp("tables")
-    con = connect(GIVEN)
-    for table in TABLES:
-        con.execute(f"COPY (SELECT * FROM {table}) TO '{made}/{table}.parquet'")
-    con.execute(f"""COPY (SELECT * REPLACE (TIMESTAMP '1995-01-01' + INTERVAL 20 DAY *
-                (o_orderkey % 120) AS o_orderdate) FROM orders) TO '{made}/orders.parquet'""")
-    return str(made)
 
 
 def test_every_query_has_sql():
     assert set(registered()) == set(oracle_queries())
     assert set(oracle_sql()) <= set(queries()) and set(registered()) <= set(queries())
-    assert WRITES_DAYS <= set(registered())
 
 
 def test_entry_is_the_rollup(spark):
@@ -45,7 +29,6 @@ def test_entry_is_the_rollup(spark):
 
 
 @pytest.mark.parametrize("name", sorted(registered()))
-def test_query_matches_sql(spark, thinned, name):
-    folder = thinned if name in WRITES_DAYS else GIVEN
-    result = queries()[name](spark, folder).toPandas()
-    assert differences(result, connect(folder).execute(oracle_sql()[name]).df()) == ""
+def test_query_matches_sql(spark, name):
+    result = queries()[name](spark, GIVEN).toPandas()
+    assert differences(result, connect(GIVEN).execute(oracle_sql()[name]).df()) == ""

@@ -6,7 +6,7 @@ import argparse
 from datetime import UTC, datetime
 
 from tradewake.operators import quality
-from tradewake.plans import daily_run, publish, refresh_timing
+from tradewake.plans import daily_run, gate, publish, refresh_timing
 from tradewake.session import build_session, clear_scratch
 from tradewake.sources.jdbc import Database
 from tradewake.sources.lake import Lake
@@ -56,7 +56,7 @@ def run_batch(lake: Lake, args: argparse.Namespace) -> None:
         case "gold":
             daily_run.build_gold(lake, **refresh)
         case "gate":
-            quality.enforce(quality.full_report(daily_run.gold_tables(lake)))
+            quality.enforce(gate.report(lake))
         case "run":
             print(daily_run.daily_run(lake, args.snapshot_ts, **refresh,
                                       with_stream=args.with_stream))
@@ -89,9 +89,10 @@ def run_stream(lake: Lake, args: argparse.Namespace) -> None:
         live.ensure_live_table(spark, table)
         write, counted = live.table_upserter(table), \
             lambda: live.orders_in(live.live_table(spark, table))
-    run = live.drain_live_aggregate(messages, f"{root}/_checkpoint/orders_stream_1m", write,
-                                    counted, trigger)
-    print(f"{run.counted} orders counted, {run.late} came too late")
+    checkpoint = f"{root}/_checkpoint/orders_stream_1m"
+    run = live.drain_live_aggregate(messages, checkpoint, write, counted, trigger,
+                                    f"{checkpoint}-arrivals")
+    print(f"{run.counted} orders counted, {run.late} came too late, {run.late_so_far} in all runs")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -1,8 +1,7 @@
 """Incremental loads: select the delta of a source, replace its keys in the target.
 
-``delete_insert`` is the plain DataFrame form; ``DayTable.replace_keys`` applies it to a stored
-table and opens only files that may hold one of the delta's keys. ``upsert_in_table`` serves tables in
-folders whose name is a function of the key.
+Facts are day tables, whose ``replace_keys`` opens only files that may hold one of the delta's
+keys. ``upsert_in_table`` serves tables in folders whose name is a function of the key.
 """
 
 from __future__ import annotations
@@ -36,13 +35,8 @@ def delta_lookback(source: DataFrame, watermark: str | None, column: str, days:
     return source.filter(F.col(column) >= F.lit(day_before(watermark, days)).cast("date"))
 
 
-def delete_insert(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
-    """Target without the delta's keys, plus the delta."""
-    return target.join(delta.select(key), key, "left_anti").unionByName(delta)
-
-
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Like ``delete_insert`` for a composite key, where NULL equals NULL."""
+    """Target without the rows that have a key of the changes, plus these; NULL equals NULL."""
     changed = changes.select(*[F.col(k).alias(f"changed_{k}") for k in keys])
     same = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"changed_{k}")) for k in keys])

@@ -525,6 +525,13 @@ def oracle_queries() -> dict[str, str]:
             "SELECT count(*) AS loaded_rows, count(*) AS full_rows, CAST(0 AS bigint) AS "
             "differing FROM fact_sales"),
         "incremental_settlement": "SELECT * FROM fact_settlement",
+        "staging_views": (
+            "SELECT canonical_status, count(*) AS orders, CAST(sum(quantity) AS bigint) AS units, "
+            f"{_SUM.format('revenue_usd')} AS revenue_usd FROM sales GROUP BY canonical_status"),
+        "full_refresh": "SELECT * FROM fact_sales",
+        "refresh_counts": (
+            "SELECT count(*) AS fact_rows, count(*) FILTER (WHERE order_date = (SELECT max(order_date) "
+            "FROM fact_sales)) AS delta_rows, CAST(0 AS bigint) AS files_rewritten FROM fact_sales"),
         "marts_incremental": "SELECT * FROM healed_recon",
         "marts_incremental_daily": "SELECT * FROM healed_rollup",
         "append_delta_day": (

@@ -448,6 +448,47 @@ def marts_incremental_daily(f: DerivedFeeds) -> DataFrame:
     return f.once(_marts_loaded_twice).read("gold", "agg_channel_daily")
 
 
+def _sales_lake(f: DerivedFeeds) -> Lake:
+    """Silver sales, the two dimensions a sale refers to, and the sales fact."""
+    lake = _new_lake(f, "sales")
+    lake.day_table("silver", "sales").replace_all(f.once(_sales))
+    incremental.write_full(f.once(_channels), lake.path("gold", "dim_channel"))
+    incremental.write_full(f.once(_products), lake.path("gold", "dim_product"))
+    daily_run.refresh_fct_sales(lake)
+    return lake
+
+
+@_query
+def staging_views(f: DerivedFeeds) -> DataFrame:
+    """Units and revenue by status through SQL on a staging view."""
+    lake = _new_lake(f, "silver")
+    lake.day_table("silver", "sales").replace_all(f.once(_sales))
+    return lake.staged("sales", "stg_sales").sparkSession.sql("""
+        SELECT canonical_status, count(*) AS orders, sum(quantity) AS units,
+               CAST(sum(CAST(revenue_usd AS decimal(18,2))) AS double) AS revenue_usd
+        FROM stg_sales GROUP BY canonical_status""")
+
+
+@_query
+def full_refresh(f: DerivedFeeds) -> DataFrame:
+    """The switch that rebuilds the fact: days lost from it, old ones too, come back."""
+    lake = f.once(_sales_lake)
+    table = lake.day_table("gold", "fct_sales")
+    table.replace_all(table.read().filter(F.day("order_date") % 3 != 1))
+    daily_run.refresh_fct_sales(lake, full_refresh=True)
+    return table.read()
+
+
+@_query
+def refresh_counts(f: DerivedFeeds) -> DataFrame:
+    """What the comparison of increment and rebuild moved: rows of the fact and of its last day, and
+    files of older days that the increment rewrote."""
+    timing = refresh_timing.time_refresh(f.once(_sales_lake))
+    return f.spark.createDataFrame(
+        [(timing.fact_rows, timing.delta_rows, timing.files_rewritten)],
+        "fact_rows bigint, delta_rows bigint, files_rewritten bigint")
+
+
 @_query
 def append_delta_day(f: DerivedFeeds) -> DataFrame:
     """Silver per day after its last day was held back and then added."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -32,14 +31,6 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return any(not name.startswith(("_", ".")) for name in names(spark, path))
 
 
-def partition_names(spark: SparkSession, table_path: str, column: str) -> list[str]:
-    """Values of a table's partition folders as text, by listing alone; NULL's is left out."""
-    start = f"{column}="
-    found = [unquote(name[len(start):]) for name in names(spark, table_path)
-             if name.startswith(start)]
-    return sorted(value for value in found if value != NO_VALUE)
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _resolve(spark, path)
     fs.delete(hadoop_path, True)

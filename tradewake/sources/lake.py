@@ -73,8 +73,13 @@ class Lake:
             "cast(product_id as bigint) as product_id", "model_name", "brand", "grade",
             "cast(unit_cost as double) as unit_cost", "cast(list_price as double) as list_price")
 
+    def staged(self, table: str, view: str) -> DataFrame:
+        """Typed scan of a Silver table, also as a view of the session."""
+        frame = getattr(self, f"silver_{table}")()
+        frame.createOrReplaceTempView(view)
+        return frame
+
     def create_staging_views(self) -> None:
         """Expose the typed Silver scans to SQL users."""
-        self.silver_sales().createOrReplaceTempView("stg_sales")
-        self.silver_settlements().createOrReplaceTempView("stg_settlements")
-        self.silver_products().createOrReplaceTempView("stg_products")
+        for table in ("sales", "settlements", "products"):
+            self.staged(table, f"stg_{table}")
