@@ -29,8 +29,8 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 # Bytes of text handled at once, and words remembered between batches; neither changes a result.
-BATCH_BYTES = 4 << 20
-REMEMBERED = 400_000
+BATCH_BYTES = 1 << 20
+REMEMBERED = 150_000
 
 SHIFT = np.int64(1 << 32)
 
