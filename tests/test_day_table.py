@@ -151,22 +151,22 @@ def test_small_files_are_gathered(table, frame, rows, monkeypatch):
 
 def test_second_writer_is_refused(table, frame, rows, monkeypatch):
     made = table(("a", day(1), 1))
-    write = DayTable._write_index
+    write = DayTable._small_index
 
     def slowly(self, *args):
         with monkeypatch.context() as patch:
-            patch.setattr(DayTable, "_write_index", write)
+            patch.setattr(DayTable, "_small_index", write)
             self.replace_keys(frame(("other", day(2), 1)))
         return write(self, *args)
 
     with monkeypatch.context() as patch:
-        patch.setattr(DayTable, "_write_index", slowly)
+        patch.setattr(DayTable, "_small_index", slowly)
         with pytest.raises(Conflict):
             made.replace_keys(frame(("mine", day(2), 1)))
     assert read(rows, made) == [("a", day(1), 1), ("other", day(2), 1)]
 
 
-@pytest.mark.parametrize("fails_in", ["_write_data", "_write_index", "_commit"])
+@pytest.mark.parametrize("fails_in", ["_write_data", "_small_index", "_commit"])
 def test_cut_off_commit_shows_nothing(table, frame, rows, monkeypatch, fails_in):
     made = table(("a", day(1), 1), ("b", day(2), 1))
     delta = frame(("a", day(5), 2), ("c", day(5), 2))

@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -208,7 +208,10 @@ class DayTable:
         profile = staged.groupBy(_leading(_hash(self.key)).alias("bits")).agg(
             F.count("*").alias("rows"), F.min(self.day).cast("string").alias("first"),
             F.max(self.day).cast("string").alias("last"),
-            F.count_if(F.col(self.day).isNull()).alias("undated")).collect()  # 2^HASH_BITS + 1 at most
+            F.count_if(F.col(self.day).isNull()).alias("undated"), *(
+                span for i, column in enumerate(self.lookups) for span in (
+                    F.count(column).alias(f"held_{i}"), F.min(_hash(column)).alias(f"least_{i}"),
+                    F.max(_hash(column)).alias(f"greatest_{i}")))).collect()  # 2^HASH_BITS + 1 at most
         rows = sum(r["rows"] for r in profile)
         keys, bits, looked_up = staged.select(self.key), {r["bits"] for r in profile}, rows
         if gone is not None:
@@ -238,7 +241,8 @@ class DayTable:
             data = self._write_data(left.unionByName(staged), few=total <= SMALL_ROWS)
         kept = tuple(f for f in base.data if f not in rewritten)
         # Rows that were only moved to another file keep their day, and so their index rows.
-        index = base.index + self._write_index(staged, rows)
+        index = base.index + (self._small_index(staged, profile) if rows <= INDEX_ROWS
+                              else self._write_index(staged, rows))
         if len([f for f in index if f.rows < INDEX_ROWS]) > MOST_SMALL_FILES * len(self.lookups):
             index = self._write_index(self._frame(base.schema, kept + data), sum(f.rows for f in kept + data))
         self._commit(Manifest(base.number + 1, base.schema, kept + data, index, sources))
@@ -331,6 +335,24 @@ class DayTable:
                       for r in sorted(spans, key=lambda r: (r["least"], r["name"]))]
         return tuple(found)
 
+    def _small_index(self, rows: DataFrame, profile: list[Row]) -> tuple[IndexFile, ...]:
+        """Index of a delta, one file a column, whose range the delta's profile tells."""
+        found = []
+        for i, column in enumerate(self.lookups):
+            held = [r for r in profile if r[f"held_{i}"]]
+            if not held:
+                continue
+            folder = uuid.uuid4().hex
+            rows.select(_hash(column).alias("hash"), F.col(self.day).alias("day")) \
+                .filter("hash IS NOT NULL").coalesce(1).sortWithinPartitions("hash") \
+                .write.parquet(f"{self.path}/index/{folder}")
+            (name,) = (n for n in files.names(self.spark, f"{self.path}/index/{folder}")
+                       if n.endswith(".parquet"))
+            found.append(IndexFile(column, f"{folder}/{name}", sum(r[f"held_{i}"] for r in held),
+                                   min(r[f"least_{i}"] for r in held),
+                                   max(r[f"greatest_{i}"] for r in held)))
+        return tuple(found)
+
     def _days_with(self, manifest: Manifest, column: str, values: DataFrame, rows: int,
                    bits: set[int]) -> set[str | None]:
         """Days that may hold a column's values, from the index files in the range of their hashes."""
