@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -185,3 +186,16 @@ def test_ftrl_leaves_useless_weights_at_zero():
     rows = [(np.array([i % 2]), np.array([1.0]), i % 2) for i in range(200)]
     model = quality.fit(rows)
     assert model.weights[0] < 0 < model.weights[1] and not model.weights[2:].any()
+
+
+def test_quality_driver_holds_no_python_number_for_a_feature(spark):
+    words = np.random.default_rng(5).integers(0, 1 << 40, (24, 20_000))
+    docs = spark.createDataFrame([(i, " ".join(np.base_repr(v, 36) for v in row)) for i, row in enumerate(words)],
+                                 "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, quality int")
+    tracemalloc.start()
+    model = quality.learn(docs, marks)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert model.weights.any()
+    assert peak < 48 << 20, peak

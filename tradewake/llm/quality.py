@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.llm.flat import mix, row_ranges, text_buffers, words
-from tradewake.llm.frames import doc_texts, fingerprint, map_batches
+from tradewake.llm.frames import doc_texts, fingerprint, list_values, map_batches
 
 DIMENSIONS = 1 << 18
 # Share of a feature times this is its value; it sets the pace of learning, not its outcome.
@@ -96,7 +96,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 4, alpha:
 
     for _ in range(epochs):
         for numbers, values, label in rows:
-            at, x = np.r_[numbers, DIMENSIONS], np.r_[values, 1.0]
+            at, x = np.r_[numbers, DIMENSIONS], np.r_[np.asarray(values, np.float64), 1.0]
             w = weights(at)
             gradient = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - label) * x
             step = (np.sqrt(n[at] + gradient ** 2) - np.sqrt(n[at])) / alpha
@@ -146,10 +146,20 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality",
     rows = map_batches(texts, _sparse, "doc_id long, label int, key_text binary, numbers array<int>, "
                                        "shares array<float>") \
         .groupBy("doc_id", "label").agg(F.min(F.struct("key_text", "numbers", "shares")).alias("one")) \
-        .select("doc_id", "label", "one.numbers", "one.shares").toArrow().to_pylist() if sample.head(1) else []
-    rows.sort(key=lambda r: (mix(np.array([r["doc_id"]]).astype(np.uint64))[0], r["doc_id"]))
-    return fit([(np.array(r["numbers"], np.int64), np.array(r["shares"]), r["label"])
-                for r in rows])
+        .select("doc_id", "label", "one.numbers", "one.shares").toArrow() if sample.head(1) else None
+    return fit(examples(rows) if rows is not None else [])
+
+
+def examples(rows: pa.Table) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """(feature numbers, values, label) in order of the ids' hashes: parts of the table's own buffers."""
+    found = []
+    for batch in rows.to_batches():
+        own = [list_values(batch.column(name)) for name in ("numbers", "shares")]
+        for row, (doc_id, label) in enumerate(zip(batch.column("doc_id").to_pylist(),
+                                                  batch.column("label").to_pylist(), strict=True)):
+            key = (mix(np.array([doc_id]).astype(np.uint64))[0], doc_id)
+            found.append((key, *(values[at[row]:at[row + 1]] for at, values in own), label))
+    return [row[1:] for row in sorted(found, key=lambda row: row[0])]
 
 
 def score(model: Model) -> Column:
