@@ -60,6 +60,11 @@ def _sales(f: DerivedFeeds) -> DataFrame:
     return conform.conform_sales(f.sales_amazon(), f.sales_backmarket(), f.once(_references))
 
 
+def _stored_sales(f: DerivedFeeds) -> DataFrame:
+    """For queries that go through the sales several times: feeds are conformed once."""
+    return stored(f.once(_sales), "sales")
+
+
 def _settlements(f: DerivedFeeds) -> DataFrame:
     return conform.conform_settlements(f.settlements_oms(), f.once(_references).fx)
 
@@ -373,7 +378,7 @@ def _loaded_twice(f: DerivedFeeds, lookback_days: int | None, lake: Lake | None
                   between: Callable[[], object] = lambda: None) -> DataFrame:
     """First load with the first product snapshot, second load with the second one."""
     table = (lake or _new_lake(f, "facts")).day_table("gold", "fct_sales")
-    sales = f.once(_sales)
+    sales = f.once(_stored_sales)
     old = gold.dim_product(scd2.first_versions(conform.conform_products(f.ref_product()),
                                                _at(FIRST_SNAPSHOT)))
     dims = f.once(_dimensions)
@@ -400,7 +405,8 @@ def incremental_lookback(f: DerivedFeeds) -> DataFrame:
 @_query
 def incremental_equals_full(f: DerivedFeeds) -> DataFrame:
     """A lookback over everything must end where a full refresh ends."""
-    loaded, full = _loaded_twice(f, EVERYTHING), f.once(_fct_sales)
+    loaded = _loaded_twice(f, EVERYTHING)
+    full = _keyed_sales(f.once(_stored_sales), f.once(_dimensions))
     tagged = loaded.select(*full.columns, F.lit(1).alias("side")) \
         .unionByName(full.withColumn("side", F.lit(-1)))
     balance = tagged.groupBy(*full.columns).agg(
@@ -414,7 +420,7 @@ def incremental_equals_full(f: DerivedFeeds) -> DataFrame:
 @_query
 def incremental_settlement(f: DerivedFeeds) -> DataFrame:
     table = _new_lake(f, "facts").day_table("gold", "fct_settlement")
-    facts = f.once(_fct_settlement)
+    facts = stored(f.once(_fct_settlement), "fct-settlement")
     ends = facts.select(F.date_sub(F.max("payout_date"), FIRST_LOAD_ENDS)).scalar()
     table.replace_all(facts.filter(F.col("payout_date") <= ends))
     table.replace_keys(incremental.delta_strict(facts, table.loaded_to(), "payout_date"))
@@ -425,7 +431,7 @@ def _marts_loaded_twice(f: DerivedFeeds) -> Lake:
     """Marts built after the first loads, then brought up to the second ones by what changed."""
     lake = _new_lake(f, "marts")
     incremental.write_full(f.once(_channels), lake.path("gold", "dim_channel"))
-    cash = f.once(_fct_settlement)
+    cash = stored(f.once(_fct_settlement), "fct-settlement")
     ends = cash.select(F.date_sub(F.max("payout_date"), FIRST_LOAD_ENDS)).scalar()
     lake.day_table("gold", "fct_settlement").replace_all(cash.filter(F.col("payout_date") <= ends))
     _loaded_twice(f, LOOKBACK_DAYS, lake, between=lambda: daily_run.build_marts(lake))
@@ -493,7 +499,7 @@ def refresh_counts(f: DerivedFeeds) -> DataFrame:
 def append_delta_day(f: DerivedFeeds) -> DataFrame:
     """Silver per day after its last day was held back and then added."""
     table = _new_lake(f, "silver").day_table("silver", "sales")
-    sales = f.once(_sales)
+    sales = f.once(_stored_sales)
     last = sales.select(F.max("order_date")).first()[0]
     table.replace_all(sales.filter(F.col("order_date") < last))
     table.append(sales.filter(F.col("order_date") == last))

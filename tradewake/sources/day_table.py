@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradewake.operators.lookups import BROADCAST_BUDGET, measured
+from tradewake.session import stored
 from tradewake.sources import files
 
 # A file of fewer rows is small; beyond so many of them, a commit gathers them into one.
@@ -202,7 +203,7 @@ class DayTable:
         """
         base = self._current()
         folder = uuid.uuid4().hex
-        delta.select(*base.schema.names).hint("rebalance").sortWithinPartitions(self.day, self.key) \
+        delta.select(*base.schema.names).hint("rebalance", self.day).sortWithinPartitions(self.day, self.key) \
             .write.parquet(f"{self.path}/data/{folder}")
         staged = self.spark.read.schema(base.schema).parquet(f"{self.path}/data/{folder}")
         profile = staged.groupBy(_leading(_hash(self.key)).alias("bits")).agg(
@@ -234,9 +235,12 @@ class DayTable:
                              max((r["last"] for r in dated), default=None),
                              sum(r["undated"] for r in profile)),)
         else:
+            replaced = measured(keys.filter(F.col(self.key).isNotNull()))
             left = self._frame(base.schema, rewritten).join(
-                self._small(keys.filter(F.col(self.key).isNotNull())), self.key,
+                F.broadcast(replaced.frame) if replaced.fits else replaced.frame, self.key,
                 "left_anti").select(*base.schema.names)
+            if not replaced.fits:  # dealing rows to files goes through them twice: join them once
+                left = stored(left, "left")
             total = rows + sum(f.rows for f in rewritten)
             data = self._write_data(left.unionByName(staged), few=total <= SMALL_ROWS)
         kept = tuple(f for f in base.data if f not in rewritten)
