@@ -614,8 +614,9 @@ def gate_incremental(f: DerivedFeeds) -> DataFrame:
 
 def _published(f: DerivedFeeds) -> Lake:
     lake = _new_lake(f, "serving")
-    lake.day_table("gold", "agg_channel_daily").replace_all(f.once(_rollup))
-    lake.day_table("gold", "mart_reconciliation").replace_all(f.once(_reconciliation))
+    lake.day_table("gold", "agg_channel_daily").replace_all(_gold(f)["agg_channel_daily"])
+    lake.day_table("gold", "mart_reconciliation").replace_all(gold.mart_reconciliation(
+        _gold(f)["fct_sales"], f.once(_fct_settlement)))
     publish.publish(lake)
     return lake
 
