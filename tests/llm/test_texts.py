@@ -234,6 +234,40 @@ def test_two_passages_of_the_same_documents(spark, first, between, second):
     assert found["repeated_words"] == first + second
 
 
+@pytest.mark.parametrize("scattered", [False, True])
+def test_fuzzy_passages_are_found(spark, scattered):
+    """Every seventh word differs; where scattered, every run of five words also occurs earlier elsewhere."""
+    draw = random.Random(12)
+    words = [f"w{i}" for i in range(100_000)]
+    elsewhere, given, taken = [[] for _ in range(30)], [], []
+    for _ in range(20):
+        passage = draw.sample(words, 100)
+        for i in range(96 if scattered else 0):
+            draw.choice(elsewhere).extend(passage[i:i + 5] + draw.sample(words, 8))
+        given.append(draw.sample(words, 30) + passage + draw.sample(words, 30))
+        taken.append(draw.sample(words, 20) + [draw.choice(words) if i % 7 == 6 else w
+                                               for i, w in enumerate(passage)] + draw.sample(words, 20))
+    found = found_by_id(spark, elsewhere + given + taken)
+    lost = [i for i in range(30, 50) if i not in {p["of_doc"] for p in found[20 + i]["passages"] or []}]
+    assert len(lost) <= (8 if scattered else 3)
+
+
+def test_widened_ends_like_trying_all():
+    draw = random.Random(13)
+    for _ in range(200):
+        x = [draw.randrange(4) for _ in range(60)]
+        y = [w if draw.random() < 0.8 else 9 for w in x]
+        low, high = draw.randrange(5, 25), draw.randrange(30, 55)
+        y[low], y[high - 1] = x[low], x[high - 1]
+        same = [a == b for a, b in zip(x, y, strict=True)]
+        a, b, c, d, equal = passages.widened(x, y, low, high, low, high, sum(same[low:high]))
+        assert (a, b, equal) == (c, d, sum(same[a:b]))
+        good = [j - i for i in range(max(low - passages.STRETCH, 0), low + 1)
+                for j in range(high, min(high + passages.STRETCH, 60) + 1)
+                if same[i] and same[j - 1] and j - i >= 40 and sum(same[i:j]) >= 0.8 * (j - i) - 1e-9]
+        assert b - a == max(good, default=high - low)
+
+
 def test_similar_parts_like_trying_all():
     draw = random.Random(11)
     for _ in range(200):
