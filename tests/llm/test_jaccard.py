@@ -109,3 +109,15 @@ def test_components_of_chains(spark):
     assert {(r["node"], r["label"]) for r in found} == \
         {(i, 0) for i in range(41)} | {(100, 90), (95, 90), (90, 90)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_texts_of_classes_are_not_written(spark, monkeypatch):
+    """They go through one exchange by set, whose files both sides of a comparison read."""
+    draw = random.Random(14)
+    texts = [[f"w{draw.randrange(500)}" for _ in range(60)] for _ in range(20)]
+    rows = [(i, " ".join(t + [f"end{i % 2}"])) for i, t in enumerate(texts + texts)]
+    names, stored = [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda frame, name: names.append((name, frame.columns)) or stored(frame, name))
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {i: i % 20 for i in range(40)}
+    assert not [name for name, columns in names if "text" in columns]

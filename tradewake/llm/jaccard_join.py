@@ -289,7 +289,10 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
     first = rows.groupBy("sid").agg(F.min(F.struct("doc_id", "key_text")).alias("one"))
 
     def class_texts(pairs: DataFrame) -> DataFrame:
-        """(sid, text) of the classes in pairs (a, b): texts compress better than shingles."""
+        """(sid, text) of the classes in pairs (a, b): texts compress better than shingles.
+
+        Not stored: the exchange by set that ends it serves the joins that follow, on both sides.
+        """
         needed = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select("b")).distinct()
         keys = stored(first.join(needed, "sid", "left_semi").select(
             "sid", F.col("one.doc_id").alias("class_id"), F.col("one.key_text").alias("class_text")),
@@ -298,8 +301,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
         near = maybe_among(texts, F.xxhash64("doc_id", "key_text"),
                            keys.select(F.xxhash64("class_id", "class_text")))
         same = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key_text") == F.col("class_text"))
-        return stored(near.join(sized(keys), same).select("sid", "text").dropDuplicates(["sid"]),
-                      "class-texts")
+        return near.join(sized(keys), same).select("sid", "text").dropDuplicates(["sid"])
 
     def compared(pairs: DataFrame, own: DataFrame) -> DataFrame:
         """(a, b, n, m, overlap) of pairs of classes."""
