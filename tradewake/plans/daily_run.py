@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tradewake.operators.lookups import Lookup, measure
 from tradewake.plans import gate as gate_plan
 from tradewake.plans import gold
 from tradewake.schemas import RAW_SCHEMAS
-from tradewake.session import stored
+from tradewake.session import stored, together
 from tradewake.sources import files
 from tradewake.sources.day_table import Replaced
 from tradewake.sources.lake import Lake
@@ -43,21 +44,23 @@ class Landed:
 
 def land_bronze(lake: Lake, entities: tuple[str, ...] = ENTITIES) -> Landed:
     """Copy every raw entity with its load time; a missing one is reported, not an error."""
-    outcome = Landed()
-    for entity in entities:
-        if not lake.exists("raw", entity):
-            outcome.skipped.append(entity)
-            continue
+    def land(entity: str) -> int:
         counted = Observation(entity)
         lake.raw(entity).withColumn("_loaded_at", F.current_timestamp()) \
             .observe(counted, F.count(F.lit(1)).alias("rows")) \
             .write.mode("overwrite").parquet(lake.path("bronze", entity))
-        outcome.rows[entity] = counted.get["rows"]
-    return outcome
+        return counted.get["rows"]
+
+    there = [entity for entity in entities if lake.exists("raw", entity)]
+    rows = together(lake.spark, *(partial(land, entity) for entity in there))
+    return Landed(dict(zip(there, rows, strict=True)), [e for e in entities if e not in there])
 
 
 def build_silver(lake: Lake, with_stream: bool = False) -> None:
-    """``with_stream`` adds the orders that only the live lane knows (``conform.both_lanes``)."""
+    """``with_stream`` adds the orders that only the live lane knows (``conform.both_lanes``).
+
+    Conformed rows are stored first: dealing them to files goes through them twice.
+    """
     refs = conform.references(*(lake.read("bronze", name)
                                 for name in ("ref_sku_map", "ref_status_map", "ref_fx")))
     sales = conform.conform_sales(lake.read("bronze", "sales_amazon"),
@@ -65,11 +68,14 @@ def build_silver(lake: Lake, with_stream: bool = False) -> None:
     if with_stream and files.has_data(lake.spark, lake.events_path()):
         events = conform.latest_events(lake.spark.read.parquet(lake.events_path()))
         sales = conform.both_lanes(sales, conform.conform_events(events, refs))
-    lake.day_table("silver", "sales").replace_all(sales)
     settlements = conform.conform_settlements(lake.read("bronze", "settlements_oms"), refs.fx)
-    lake.day_table("silver", "settlements").replace_all(settlements)
     products = conform.conform_products(lake.read("bronze", "ref_product"))
-    incremental.write_full(products, lake.path("silver", "products"))
+    together(
+        lake.spark,
+        lambda: lake.day_table("silver", "sales").replace_all(stored(sales, "conformed-sales")),
+        lambda: lake.day_table("silver", "settlements").replace_all(
+            stored(settlements, "conformed-settlements")),
+        lambda: incremental.write_full(products, lake.path("silver", "products")))
 
 
 def snapshot_products(lake: Lake, snapshot_ts: str) -> None:
@@ -86,9 +92,10 @@ def _sale_days(lake: Lake) -> DataFrame:
 def build_dimensions(lake: Lake) -> None:
     sales = lake.silver_sales()
     versions = snapshot_table.read_versions(lake.spark, lake.path("snapshots", "products"))
-    incremental.write_full(gold.dim_channel(sales), lake.path("gold", "dim_channel"))
-    incremental.write_full(gold.dim_date(_sale_days(lake)), lake.path("gold", "dim_date"))
-    incremental.write_full(gold.dim_product(versions), lake.path("gold", "dim_product"))
+    dims = {"dim_channel": gold.dim_channel(sales), "dim_date": gold.dim_date(_sale_days(lake)),
+            "dim_product": gold.dim_product(versions)}
+    together(lake.spark, *(partial(incremental.write_full, dim, lake.path("gold", name))
+                           for name, dim in dims.items()))
 
 
 def fact_lookups(lake: Lake) -> dict[str, Lookup]:
@@ -173,22 +180,29 @@ def build_marts(lake: Lake, full_refresh: bool = False) -> Changed | None:
         changed = changed_since(lake, built[0].sources)
     channels = measure({"channels": lake.read("gold", "dim_channel")})["channels"]
     if changed is None:
-        recon.replace_all(gold.mart_reconciliation(sales.read(), settlements.read()), sources)
-        rollup.replace_all(gold.agg_channel_daily(sales.read(), channels), sources)
+        together(
+            lake.spark,
+            lambda: recon.replace_all(stored(gold.mart_reconciliation(sales.read(), settlements.read()),
+                                             "reconciled"), sources),
+            lambda: rollup.replace_all(gold.agg_channel_daily(sales.read(), channels), sources))
         return None
-    fresh = gold.mart_reconciliation(sales.rows_with("order_id", changed.order_ids),
-                                     settlements.rows_with("order_ref", changed.order_ids))
-    recon.replace_keys(fresh, changed.order_ids, sources)
-    rollup.replace_days(gold.agg_channel_daily(sales.read_days(changed.days), channels),
-                        changed.days, sources)
+    def reconcile() -> None:
+        fresh = gold.mart_reconciliation(*together(
+            lake.spark,
+            lambda: sales.rows_with("order_id", changed.order_ids),
+            lambda: settlements.rows_with("order_ref", changed.order_ids)))
+        recon.replace_keys(fresh, changed.order_ids, sources)
+
+    together(lake.spark, reconcile, lambda: rollup.replace_days(
+        gold.agg_channel_daily(sales.read_days(changed.days), channels), changed.days, sources))
     return changed
 
 
 def build_gold(lake: Lake, full_refresh: bool = False,
                lookback_days: int | None = None) -> None:
     build_dimensions(lake)
-    refresh_fct_sales(lake, full_refresh, lookback_days)
-    refresh_fct_settlement(lake, full_refresh, lookback_days)
+    together(lake.spark, lambda: refresh_fct_sales(lake, full_refresh, lookback_days),
+             lambda: refresh_fct_settlement(lake, full_refresh, lookback_days))
     build_marts(lake, full_refresh)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.operators import quality
-from tradewake.session import stored
+from tradewake.session import stored, together
 from tradewake.sources import files
 from tradewake.sources.day_table import DataFile
 from tradewake.sources.lake import DAY_TABLES, Lake
@@ -51,9 +51,14 @@ class Profile:
         if not files.has_data(self.spark, f"{self.path}/{part}"):
             return None
         named = self.spark.createDataFrame([(f.name,) for f in of], "file string")
-        keys = ["file", *(self.keys if part == "uses" else [])]
-        return self.spark.read.parquet(f"{self.path}/{part}").dropDuplicates(keys) \
+        kept = self.spark.read.parquet(f"{self.path}/{part}") \
             .join(F.broadcast(named), "file", "left_semi")  # as large as the manifest
+        if part == "counts":
+            return kept.dropDuplicates(["file"])
+        # Uses are about as many as rows: they are shuffled to drop repeated ones only if there are any.
+        rows = {r["file"]: r["n"] for r in kept.groupBy("file").agg(F.sum("n").alias("n")).collect()}
+        once = all(rows.get(f.name, 0) == f.rows for f in of)
+        return kept if once else kept.dropDuplicates(["file", *self.keys])
 
     def update(self) -> int:
         """Profile the files that have none yet; returns how many."""
@@ -113,12 +118,13 @@ class Profile:
 def report(lake: Lake) -> DataFrame:
     """Every check of ``quality.full_report``, of large tables by their files' profiles."""
     profiles = {name: Profile(lake, name) for name in VERSIONED}
-    for profile in profiles.values():
-        profile.update()
+    together(lake.spark, *(profile.update for profile in profiles.values()))
     small = {name: lake.read("gold", name) for name in quality.NOT_NULL if name not in profiles}
-    uses = {name: p.uses() for name, p in profiles.items() if p.keys}
-    parts = [p.counts() for p in profiles.values()]
-    parts += [p.repeated() for name, p in profiles.items() if name in quality.UNIQUE]
+    keyed = [name for name, p in profiles.items() if p.keys]
+    found = together(lake.spark, *(profiles[name].uses for name in keyed),
+                     *(p.counts for p in profiles.values()),
+                     *(p.repeated for name, p in profiles.items() if name in quality.UNIQUE))
+    uses, parts = dict(zip(keyed, found, strict=False)), found[len(keyed):]
     parts += [quality.not_null(small, {t: c for t, c in quality.NOT_NULL.items() if t in small}),
               quality.non_empty(small, [t for t in quality.NON_EMPTY if t in small]),
               quality.unique(small, {t: k for t, k in quality.UNIQUE.items() if t in small}),

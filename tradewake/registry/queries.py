@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tradewake.functions.dates import parse_day
 from tradewake.operators import conform, incremental, quality, scd2, snapshot_table
 from tradewake.operators.lookups import Lookup, measure, measured
 from tradewake.plans import daily_run, dashboards, gate, gold, publish, refresh_timing
-from tradewake.session import prepare, run_folder, stored
+from tradewake.session import prepare, run_folder, stored, together
 from tradewake.registry.derived_feeds import DerivedFeeds
 from tradewake.sources.lake import Lake
 from tradewake.sources.messages import from_files
@@ -122,8 +122,8 @@ def _new_lake(f: DerivedFeeds, name: str) -> Lake:
 
 
 def _fill_raw(f: DerivedFeeds, lake: Lake) -> Lake:
-    for entity in daily_run.ENTITIES:
-        f.feed(entity).write.parquet(lake.path("raw", entity))
+    together(f.spark, *(partial(f.feed(entity).write.parquet, lake.path("raw", entity))
+                        for entity in daily_run.ENTITIES))
     return lake
 
 
