@@ -22,14 +22,14 @@ import regex
 from pyspark.sql import DataFrame
 
 from tradewake.llm.flat import row_ranges, text_buffers
-from tradewake.llm.frames import doc_texts, map_batches
+from tradewake.llm.frames import bounded_batches, doc_texts, map_batches
 
 # Fixed values of the public byte-level pre-tokenizer: word pattern and printable stand-ins.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 # Bytes of text handled at once, and words remembered between batches; neither changes a result.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 REMEMBERED = 150_000
 
 SHIFT = np.int64(1 << 32)
@@ -232,5 +232,6 @@ def encode_decode(docs: DataFrame, path: str, full: bool = True) -> DataFrame:
     single tokens. Repeated rows give repeated rows, an empty table an empty result; other
     columns are not looked at. Nothing is truncated, padded or added.
     """
+    bounded_batches(docs.sparkSession)
     schema = DIGESTS + (", ids array<int>, decoded string" if full else "")
     return map_batches(doc_texts(docs), lambda batch: _coded(batch, path, full), schema)

@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.llm.flat import ALPHANUMERIC, LOWER, mix, row_ranges, shingles, text_buffers, words
-from tradewake.llm.frames import bitmap, doc_texts, fingerprint, map_batches, may_be, rows_of
+from tradewake.llm.frames import (bitmap, bounded_batches, doc_texts, fingerprint, map_batches, may_be,
+                                   rows_of)
 from tradewake.session import stored
 
 WINDOW = 10
 TOKEN_WORDS = 3
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 # Bits of the bitmaps that tasks look tokens up in: 2 MiB, whatever the size of the benchmark.
 BITS = 1 << 24
 
@@ -127,6 +128,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     on either side finds nothing. Other columns are not looked at.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"),
                              F.coalesce(F.col("text"), F.lit("")).alias("text"))
     windows = stored(

@@ -32,7 +32,8 @@ from pyspark.sql.window import Window
 
 from tradewake.llm.components import components
 from tradewake.llm.flat import NOT_SPACE, row_ranges, shingles, text_buffers, words
-from tradewake.llm.frames import doc_texts, fingerprint, map_batches, maybe_among, rows_of, sized
+from tradewake.llm.frames import (bounded_batches, doc_texts, fingerprint, map_batches, maybe_among,
+                                   rows_of, sized)
 from tradewake.session import stored
 
 BATCH_BYTES = 1 << 20
@@ -244,6 +245,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 4, den: int =
     looked at. Shingles are compared as 64-bit hashes.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = doc_texts(docs).withColumn("key_text", fingerprint(F.col("text")))
     described = stored(
         texts.select("doc_id", "key_text", "text").mapInArrow(

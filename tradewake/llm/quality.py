@@ -17,13 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewake.llm.flat import mix, row_ranges, text_buffers, words
-from tradewake.llm.frames import doc_texts, fingerprint, list_values, map_batches
+from tradewake.llm.frames import bounded_batches, doc_texts, fingerprint, list_values, map_batches
 
 DIMENSIONS = 1 << 18
 # Share of a feature times this is its value; it sets the pace of learning, not its outcome.
 SCALE = np.float32(32)
 PER_LABEL = 1500
-BATCH_BYTES = 2 << 20
+# Bytes of text whose features are held at once (about 60 times as many); no score depends on it.
+BATCH_BYTES = 1 << 18
 
 SIGNS = np.full(256, 3, np.uint8)
 SIGNS[[0x20, *range(0x00, 0x20), 0x7F]] = 0
@@ -135,6 +136,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality",
     label are no examples. Of several labels of an id the largest counts, of several texts the one
     with the smallest hash. Without examples all scores are 0.5.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
         .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("label").alias("label"))
