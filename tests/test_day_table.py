@@ -239,6 +239,27 @@ def test_rows_are_looked_up_and_left_out(long_table, spark, rows):
         long_table.rows_with("v", wanted)
 
 
+def test_many_looked_up_keys_do_not_go_to_the_driver(spark, table, rows, monkeypatch):
+    """Of 600,000 keys, 37 MB as rows, a broadcast's table takes twice its budget and more."""
+    made = table(("K-0000000007", day(1), 1), ("K-0000900000", day(1), 1), (None, day(2), 1))
+    many = spark.range(0, 600_000, 1, 8).selectExpr("concat('K-', lpad(string(id), 10, '0')) k")
+    seen = []
+
+    def plan(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    def noted(frame, name, store=day_table.stored):
+        seen.append((name, plan(frame)))
+        return store(frame, name)
+
+    found = made.rows_with("k", many)
+    assert "Broadcast" not in plan(found) and rows(found, "k", "v") == [("K-0000000007", 1)]
+    monkeypatch.setattr(day_table, "stored", noted)
+    made.replace_keys(made.read().limit(0), many)
+    assert [name for name, _ in seen] == ["left"] and "Broadcast" not in seen[0][1]
+    assert read(rows, made) == [(None, day(2), 1), ("K-0000900000", day(1), 1)]
+
+
 def test_days_are_replaced(table, frame, rows):
     made = table(("a", day(1), 1), ("b", day(2), 1), ("c", None, 1))
     made.replace_days(frame(("x", day(2), 2), ("y", None, 2)), {"2024-01-02", None})

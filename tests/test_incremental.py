@@ -35,6 +35,16 @@ def test_upsert_replaces_by_composite_key_including_null(spark, rows):
         (None, 1, 9), ("a", 1, 9), ("a", 2, 1), ("b", 1, 9)]
 
 
+def test_lookup_beyond_the_budget_is_never_broadcast(spark, rows):
+    """Spark's own estimate of such a small frame is far below its threshold."""
+    fact = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    lookup = measure({"l": spark.sql("SELECT * FROM VALUES ('a', 9), (NULL, 8) t(k, v)")}, budget=0)["l"]
+    for joined, found in ((lookup.left_join(fact, "k"), [(None, None), ("a", 9), ("b", None)]),
+                          (lookup.inner_join(fact, "k"), [("a", 9)])):
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert rows(joined, "k", "v") == found
+
+
 def _skewed(spark):
     """A third of the rows share one key; the others are spread."""
     return spark.range(0, 300_000, 1, 8).selectExpr(

@@ -88,8 +88,9 @@ def mart_reconciliation(sales: DataFrame, settlements: DataFrame) -> DataFrame:
 
     Remittances are summed to order grain first, so the join is one to one. Order ids should be
     unique, but a broken feed may repeat one (or none) for much of its rows, and the gate comes
-    later. The sums are stored, so that both sides of the join come straight from a shuffle:
-    then adaptive execution splits the partition of any such id, however many rows it has.
+    later. The sums are stored and never broadcast, so that both sides of the join come straight
+    from a shuffle: then adaptive execution splits the partition of any such id, however many rows
+    it has, and the driver gets none of the sums.
     """
     received = stored(settlements.filter(F.col("order_ref").isNotNull()).groupBy("order_ref").agg(
         F.sum(cents("net_usd")).alias("net"), F.sum(cents("fees_usd")).alias("fees")), "received")
@@ -97,7 +98,7 @@ def mart_reconciliation(sales: DataFrame, settlements: DataFrame) -> DataFrame:
         "order_id", "source", "order_date", "canonical_status", "revenue_usd")
     zero = F.lit(0).cast("decimal(28,2)")
     gap = cents("revenue_usd") - F.coalesce("net", zero) - F.coalesce("fees", zero)
-    joined = fulfilled.join(received, F.col("order_id") == F.col("order_ref"), "left")
+    joined = fulfilled.join(received.hint("merge"), F.col("order_id") == F.col("order_ref"), "left")
     return joined.select(
         "order_id", "source", "order_date", "canonical_status",
         F.col("revenue_usd").alias("booked_usd"),

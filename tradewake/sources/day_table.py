@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tradewake.operators.lookups import BROADCAST_BUDGET, measured
+from tradewake.operators.lookups import BROADCAST_BUDGET, Lookup, measured
 from tradewake.session import stored
 from tradewake.sources import files
 
@@ -39,7 +39,10 @@ INDEX = "hash long, day date"
 NO_SOURCES: Mapping[str, int] = {}
 # With so many days replaced, the new rows are dealt to several files.
 FEW_DAYS = 1000
-HASH_BYTES = 64  # an upper estimate of a hash in a broadcast
+# What looked up keys take in a broadcast: a hash at most, and rows of them, for which the driver holds
+# a table with each row as key and as value, and its slots, beside the rows it was made from.
+HASH_BYTES = 128
+KEYS_BUDGET = BROADCAST_BUDGET // 2
 # Readers of these versions are not disturbed, and what changed since them can be told.
 KEPT_VERSIONS = 4
 
@@ -153,7 +156,7 @@ class DayTable:
         days = self._days_with(manifest, column, values, sum(r["rows"] for r in bits),
                                {r["bits"] for r in bits})
         return self._frame(manifest.schema, [f for f in manifest.data if f.may_hold(days)]) \
-            .join(self._small(values), column, "left_semi").select(*manifest.schema.names)
+            .join(measured(values, KEYS_BUDGET).side, column, "left_semi").select(*manifest.schema.names)
 
     def changes(self, since: int) -> DataFrame | None:
         """Rows that this version has and that one had not, and the other way round, with ``change``.
@@ -235,10 +238,9 @@ class DayTable:
                              max((r["last"] for r in dated), default=None),
                              sum(r["undated"] for r in profile)),)
         else:
-            replaced = measured(keys.filter(F.col(self.key).isNotNull()))
-            left = self._frame(base.schema, rewritten).join(
-                F.broadcast(replaced.frame) if replaced.fits else replaced.frame, self.key,
-                "left_anti").select(*base.schema.names)
+            replaced = measured(keys.filter(F.col(self.key).isNotNull()), KEYS_BUDGET)
+            left = self._frame(base.schema, rewritten).join(replaced.side, self.key, "left_anti") \
+                .select(*base.schema.names)
             if not replaced.fits:  # dealing rows to files goes through them twice: join them once
                 left = stored(left, "left")
             total = rows + sum(f.rows for f in rewritten)
@@ -299,11 +301,6 @@ class DayTable:
         dated = F.col(self.day).cast("string").isin(*sorted(d for d in days if d is not None))
         return F.when(F.col(self.day).isNull(), F.lit(None in days)).otherwise(dated)
 
-    def _small(self, keys: DataFrame) -> DataFrame:
-        """Broadcast if its measured size is within the budget."""
-        found = measured(keys)
-        return F.broadcast(found.frame) if found.fits else found.frame
-
     def _write_data(self, frame: DataFrame, few: bool = False) -> tuple[DataFile, ...]:
         """Write rows in order of day and key; ``few`` fit into one file.
 
@@ -367,7 +364,7 @@ class DayTable:
         if not chosen:
             return set()
         hashes = values.select(_hash(column).alias("hash")).filter("hash IS NOT NULL")
-        side = F.broadcast(hashes) if rows * HASH_BYTES <= BROADCAST_BUDGET else hashes
+        side = Lookup(hashes, rows * HASH_BYTES <= BROADCAST_BUDGET).side
         found = self.spark.read.schema(INDEX).parquet(*(f"{self.path}/index/{f.name}" for f in chosen)) \
             .join(side, "hash", "left_semi").select(F.col("day").cast("string")).distinct()
         return {r[0] for r in found.collect()}  # at most the days of the table
