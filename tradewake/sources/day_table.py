@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tradewake.operators.lookups import BROADCAST_BUDGET, Lookup, measured
+from tradewake.operators.lookups import BROADCAST_BUDGET, Lookup
+from tradewake.operators.lookups import measured as measured_lookup
 from tradewake.session import stored
 from tradewake.sources import files
 
@@ -47,6 +48,11 @@ KEYS_BUDGET = BROADCAST_BUDGET // 2
 KEPT_VERSIONS = 4
 
 
+def measured(keys: DataFrame) -> Lookup:
+    """Looked-up keys, broadcast within their own budget."""
+    return measured_lookup(keys, KEYS_BUDGET)
+
+
 def _hash(key: str) -> Column:
     return F.when(F.col(key).isNotNull(), F.xxhash64(key))
 
@@ -156,7 +162,7 @@ class DayTable:
         days = self._days_with(manifest, column, values, sum(r["rows"] for r in bits),
                                {r["bits"] for r in bits})
         return self._frame(manifest.schema, [f for f in manifest.data if f.may_hold(days)]) \
-            .join(measured(values, KEYS_BUDGET).side, column, "left_semi").select(*manifest.schema.names)
+            .join(measured(values).side, column, "left_semi").select(*manifest.schema.names)
 
     def changes(self, since: int) -> DataFrame | None:
         """Rows that this version has and that one had not, and the other way round, with ``change``.
@@ -238,7 +244,7 @@ class DayTable:
                              max((r["last"] for r in dated), default=None),
                              sum(r["undated"] for r in profile)),)
         else:
-            replaced = measured(keys.filter(F.col(self.key).isNotNull()), KEYS_BUDGET)
+            replaced = measured(keys.filter(F.col(self.key).isNotNull()))
             left = self._frame(base.schema, rewritten).join(replaced.side, self.key, "left_anti") \
                 .select(*base.schema.names)
             if not replaced.fits:  # dealing rows to files goes through them twice: join them once
